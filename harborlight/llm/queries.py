@@ -7,13 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborlight.llm import decontamination, jaccard, mixing, substring_dedup
+from harborlight.llm import ann, decontamination, jaccard, mixing, quality, secret_scan, substring_dedup, toxicity, url_filter, warc
+from harborlight.llm._sample import fold
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return secret_scan.scan(docs, secret_scan.train(docs)).drop("text")
+
+
+def op2_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _table(spark, folder, "embeddings")
+    return ann.nearest(vectors.filter("vec_id % 20 = 0"), ann.build_index(vectors, 20), 20)
+
+
 def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     return decontamination.find_contamination(docs, _table(spark, folder, "benchmark")).drop("text")
@@ -29,10 +40,34 @@ def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.remove_repeats(_table(spark, folder, "documents"))
 
 
+def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
+    manifest = warc.write_archives(warc.plan_records(_table(spark, folder, "pages")))
+    read = warc.read_archives(manifest, with_payload=False)
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    stats = quality.document_statistics(_table(spark, folder, "documents"))
+    labels = _table(spark, folder, "labels").filter(fold(F.col("doc_id"), 5) != 0).select("doc_id", F.col("quality").alias("label"))
+    scored = quality.score(stats, quality.train(stats, labels))
+    return scored.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+
+
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    labels = _table(spark, folder, "labels").filter(fold(F.col("doc_id"), 4) != 2).select("doc_id", F.col("toxic").alias("label"))
+    scored = toxicity.score(docs, toxicity.train(docs, labels))
+    return scored.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "score", "predicted")
+
+
 def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.jaccard_components(_table(spark, folder, "documents"), shingle=4, percent=85)
 
 
+def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge(_table(spark, folder, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = globals()
     return {n: own[n] for n in sorted(own) if n.startswith("op") and n[2].isdigit()}
