@@ -79,6 +79,41 @@ def shared(need_reference: bool, wide: bool = False):
     return run
 
 
+def counted(table: pa.Table) -> pa.Table:
+    """Reducer of a bucket: the positions of hashes that occur twice or more, each with the number of occurrences (at most 255)."""
+    chunk, kind, data = (table.column(c).to_pylist() for c in ("chunk", "kind", "data"))
+    out = [(c, k, d) for c, k, d in zip(chunk, kind, data, strict=True) if k == TABLE]
+    parts = [(c, *unpack(d)) for c, k, d in zip(chunk, kind, data, strict=True) if k == OCCURRENCES]
+    if parts:
+        size = _run_sizes(np.concatenate([p[1] for p in parts]))
+        first = 0
+        for c, h, at in parts:
+            own = size[first : first + len(h)]
+            first += len(h)
+            mine = np.flatnonzero(own >= 2)
+            if len(mine):
+                out.append((c, OCCURRENCES, np.uint32(len(mine)).tobytes() + np.minimum(own[mine], 255).astype(np.uint8).tobytes() + _pack_positions(at[mine])))
+    return pa.table({"chunk": pa.array([x[0] for x in out], pa.int64()), "kind": pa.array([x[1] for x in out], pa.int32()), "data": pa.array([x[2] for x in out], pa.binary())})
+
+
+def _run_sizes(hashes: np.ndarray) -> np.ndarray:
+    """How often each hash occurs."""
+    _, inverse, count = np.unique(hashes >> hashes.dtype.type(1), return_inverse=True, return_counts=True)
+    return count[inverse]
+
+
+def positions_with_counts(table: pa.Table) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Like positions, for `counted`."""
+    kind, data = table.column("kind").to_pylist(), table.column("data").to_pylist()
+    at, count = [np.zeros(0, np.int64)], [np.zeros(0, np.uint8)]
+    for d in (d for k, d in zip(kind, data, strict=True) if k == OCCURRENCES):
+        n = int(np.frombuffer(d, np.uint32, 1)[0])
+        count.append(np.frombuffer(d, np.uint8, n, 4))
+        at.append(_unpack_positions(memoryview(d)[4 + n :], n))
+    at, first = np.unique(np.concatenate(at), return_index=True)
+    return [d for k, d in zip(kind, data, strict=True) if k == TABLE], at, np.concatenate(count)[first]
+
+
 REPORTED = "chunk long, kind int, data binary"
 
 

@@ -3,9 +3,10 @@
 Texts become sets of shingle hashes; equal sets are one class. Then
 1. Sieve. In hash order, two sets that link share many of their first tokens; how many is known from their sizes. A text
    that does not share as many of its first tokens with all other texts together (the matrix with one group per bucket)
-   links with nothing and leaves. Only 4-byte hashes move.
-2. Groups. The sets that stay are drawn to leaders: each meets the least set (in an order that changes each round) with
-   which it shares a prefix token, and joins it if they link. Linked sets form groups of similar documents.
+   links with nothing and leaves. Only 4-byte hashes move. For the sets that stay, tokens are counted, and their prefixes
+   hold the rarest tokens.
+2. Groups. Each prefix token has a few leaders, the least sets that hold it in different random orders; every other holder
+   is compared with them. Linked sets form groups of similar documents.
 3. Token-group matrix. Each group's tokens are its union. Where a prefix token occurs in two groups, the members of the
    smaller group that hold it are its queries to the other; the number of query tokens in the other's union bounds the
    overlap with every member. Only groups that reach the bound are opened.
@@ -33,7 +34,8 @@ from harborlight.llm import _text
 from harborlight.session import release, ship, stored
 
 SPREAD = 4
-LEADER_ROUNDS = 3
+#: Leaders of each token.
+LEADERS = 3
 #: Members of a group in one row of the matrix; larger groups have several rows.
 GROUP_ROWS = 64
 
@@ -148,26 +150,23 @@ def _linked(overlap: Column, n1: Column, n2: Column, percent: int) -> Column:
 def components(edges: DataFrame, labels: DataFrame) -> DataFrame:
     """labels (node, label) merged along edges (u, v) between labels: the least label of each component.
 
-    Each round, every label points to the least label next to it and pointers are followed to their end by doubling; the
-    edges are then drawn between the new labels. Labels are hashes, so a few rounds do.
+    Each round, every label points to the least label next to it, pointers are followed further, and the edges are drawn
+    between the new labels. Labels are hashes, so a few rounds do.
     """
-    spark = edges.sparkSession
     while True:
-        both = edges.filter("u <> v").select("u", "v").union(edges.filter("u <> v").select(F.col("v").alias("u"), F.col("u").alias("v")))
-        point = stored(both.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("v")), "pointers")
+        back = edges.select(F.col("v").alias("u"), F.col("u").alias("v"))
+        point = edges.union(back).groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("v"))
+        for _ in range(2):
+            point = stored(point, "pointers")
+            further = point.select(F.col("u").alias("w"), F.col("v").alias("x"))
+            point = point.join(further, F.col("v") == F.col("w"), "left").select("u", F.coalesce("x", "v").alias("v"))
+        point = stored(point, "pointers")
         if point.isEmpty():
             return labels
-        while True:
-            next_ = point.alias("p").join(point.select(F.col("u").alias("w"), F.col("v").alias("x")), F.col("v") == F.col("w"), "left")
-            doubled = stored(next_.select("u", F.coalesce("x", "v").alias("v"), (F.coalesce("x", "v") < F.col("v")).alias("moved")), "pointers")
-            point = doubled.select("u", "v")
-            if doubled.filter("moved").isEmpty():
-                break
         labels = stored(labels.join(point, F.col("label") == F.col("u"), "left").select("node", F.coalesce("v", "label").alias("label")), "labels")
-        moved = edges.join(point.select(F.col("u").alias("_u1"), F.col("v").alias("_v1")), F.col("u") == F.col("_u1"), "left")
-        moved = moved.join(point.select(F.col("u").alias("_u2"), F.col("v").alias("_v2")), F.col("v") == F.col("_u2"), "left")
-        edges = stored(moved.select(F.coalesce("_v1", "u").alias("u"), F.coalesce("_v2", "v").alias("v")).filter("u <> v").distinct(), "edges")
-        release(spark)
+        moved = edges.join(point.select(F.col("u").alias("_u1"), F.col("v").alias("_v1")), F.col("u") == F.col("_u1"))
+        moved = moved.join(point.select(F.col("u").alias("_u2"), F.col("v").alias("_v2")), F.col("v") == F.col("_u2"))
+        edges = stored(moved.select(F.col("_v1").alias("u"), F.col("_v2").alias("v")).filter("u <> v").distinct(), "edges")
 
 
 def _compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -183,24 +182,65 @@ def _fits(n1: Column, n2: Column, percent: int) -> Column:
     return (n1 * 100 >= n2 * percent) & (n2 * 100 >= n1 * percent)
 
 
+def _count_map(buckets: int):
+    """All tokens of the sets, packed; a chunk is a batch of sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            tokens = batch.column(1)
+            first = tokens.offsets.to_numpy().astype(np.int64)
+            values = tokens.values.to_numpy()[first[0] : first[-1]].view(np.uint64)
+            name = struct.unpack("<q", hashlib.blake2b(ids.tobytes(), digest_size=8).digest())[0]
+            rows = [(name % buckets, name, occ.TABLE, np.uint32(len(ids)).tobytes() + ids.tobytes() + (first - first[0]).astype(np.uint32).tobytes())]
+            rows += [(bucket, name, occ.OCCURRENCES, data) for bucket, data in occ.pack(values, np.zeros(len(values), bool), np.arange(len(values)), buckets)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int32()), pa.array([r[3] for r in rows], pa.binary())], ["bucket", "chunk", "kind", "data"])
+
+    return run
+
+
+def _rare_first(percent: int):
+    """Of each set the numbers of the tokens in its prefix that other sets have, where tokens are ordered by how many sets have them.
+
+    Tokens of no other set come first; a set with enough of them has no prefix token in common with any and is left out.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        tables, at, count = occ.positions_with_counts(table)
+        ids_out, numbers = [], []
+        for data in tables:
+            n = int(np.frombuffer(data, np.uint32, 1)[0])
+            ids = np.frombuffer(data, np.int64, n, 4)
+            first = np.frombuffer(data, np.uint32, n + 1, 4 + 8 * n).astype(np.int64)
+            edge = np.searchsorted(at, first)
+            for i in np.flatnonzero(np.diff(edge)):
+                size, own = int(first[i + 1] - first[i]), slice(edge[i], edge[i + 1])
+                take = size - needed(size, percent) + 1 - (size - int(edge[i + 1] - edge[i]))
+                if take > 0:
+                    ids_out.append(int(ids[i]))
+                    numbers.append(np.sort((at[own] - first[i])[np.argsort(count[own], kind="stable")[:take]]).astype(np.int32))
+        return pa.table({"id": pa.array(ids_out, pa.int64()), "at": pa.array(numbers, pa.list_(pa.int32()))})
+
+    return run
+
+
 def group_components(sets: DataFrame, percent: int) -> DataFrame:
     """(node, label) for sets (id, n, tokens sorted by hash): steps 2 to 4 of the module."""
     spark = sets.sparkSession
-    prefix = (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int")
-    tokens = sets.select("id", "n", F.explode(F.slice("tokens", F.lit(1), prefix)).alias("token"))
-    common = tokens.groupBy("token").count().filter("count > 1").select("token")
-    posts = stored(tokens.join(common, "token").select("id", "n", "token"), "posts")
-    labels = stored(sets.select(F.col("id").alias("node"), F.col("id").alias("label")), "labels")
-    for round_ in range(LEADER_ROUNDS):
-        here = posts.join(labels, F.col("id") == F.col("node")).select("id", "n", "token", "label")
-        rank = F.struct(F.xxhash64("id", F.lit(round_)).alias("r"), F.col("id").alias("leader"), F.col("n").alias("leader_n"), F.col("label").alias("leader_label"))
-        lead = here.groupBy("token").agg(F.min(rank).alias("m")).select("token", "m.*")
-        near = here.join(lead, "token").filter(F.col("label") != F.col("leader_label")).filter(_fits(F.col("n"), F.col("leader_n"), percent))
-        pairs = near.select(F.col("id").alias("u"), F.col("leader").alias("v"), "label", "leader_label").distinct()
-        found = _compare(pairs.select("u", "v"), sets, percent)
-        named = found.join(labels.select(F.col("node").alias("u"), F.col("label").alias("lu")), "u").join(labels.select(F.col("node").alias("v"), F.col("label").alias("lv")), "v")
-        labels = components(stored(named.select(F.col("lu").alias("u"), F.col("lv").alias("v")).distinct(), "edges"), labels)
-        release(spark)
+    buckets = SPREAD * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    packed = sets.select("id", "tokens").mapInArrow(_count_map(buckets), occ.PACKED)
+    chosen = packed.groupBy("bucket").applyInArrow(occ.counted, occ.REPORTED).groupBy("chunk").applyInArrow(_rare_first(percent), "id long, at array<int>")
+    sets = stored(sets.join(chosen.dropDuplicates(["id"]), "id"), "prefixed-sets")
+    release(spark)
+    posts = sets.select("id", "n", F.explode(F.transform("at", lambda i: F.element_at("tokens", i + 1))).alias("token"))
+    posts, sets = stored(posts, "posts"), sets.select("id", "n", "tokens")
+    labels = sets.select(F.col("id").alias("node"), F.col("id").alias("label"))
+    ranks = [F.min(F.struct(F.xxhash64("id", F.lit(r)).alias("r"), F.col("id").alias("leader"), F.col("n").alias("leader_n"))) for r in range(LEADERS)]
+    lead = posts.groupBy("token").agg(F.array(*ranks).alias("leaders"), F.count("*").alias("sets")).filter("sets > 1")
+    near = posts.join(lead, "token").select("id", "n", F.inline("leaders")).filter(F.col("id") != F.col("leader")).filter(_fits(F.col("n"), F.col("leader_n"), percent))
+    pairs = near.select(F.least("id", "leader").alias("u"), F.greatest("id", "leader").alias("v")).distinct()
+    labels = components(stored(_compare(pairs, sets, percent), "edges"), stored(labels, "labels"))
+    release(spark)
     return components(_open_groups(posts, sets, labels, percent), labels)
 
 
