@@ -34,6 +34,17 @@ def _slot_value(headers: Column, words: tuple[str, ...], i: Column) -> Column:
     return F.coalesce(*[blank_to_null(F.element_at(headers, k)) for k in keys])
 
 
+def _numbered_pairs(entries: Column, name: str, price: str) -> Column:
+    """(name, price) of each header `name N` for which there is a header `price N`, in header order."""
+
+    def paired(e: Column) -> Column:
+        wanted = F.concat(F.lit(rf"(?i)^{price}\s*"), F.regexp_extract(e["key"], "([0-9]+)$", 1), F.lit("$"))
+        match = F.get(F.filter(entries, lambda p: F.rlike(p["key"], wanted)), F.lit(0))
+        return F.struct(F.when(match.isNotNull(), blank_to_null(e["value"])).alias("name"), match["value"].alias("price"), F.lit(None).cast("int").alias("slot"))
+
+    return F.transform(F.filter(entries, lambda e: F.rlike(e["key"], F.lit(rf"(?i)^{name}\s*[0-9]+$"))), paired)
+
+
 def menu_array(row: Column, headers: Column) -> Column:
     """Menus of a source row in order (GEN-1 to GEN-4): array of menu_name, price, display_order, is_representative.
 
@@ -45,15 +56,7 @@ def menu_array(row: Column, headers: Column) -> Column:
     single = F.array(F.struct(first_of(headers, *SINGLE_NAME).alias("name"), first_of(headers, *SINGLE_PRICE).alias("price"), none.alias("slot")))
     entries = F.map_entries(row)
     found = [slots, single]
-    for name, price in PAIRS:
-        named = F.filter(entries, lambda e, name=name: F.rlike(e["key"], F.lit(rf"(?i)^{name}\s*[0-9]+$")))
-
-        def paired(e: Column, price: str = price) -> Column:
-            wanted = F.concat(F.lit(rf"(?i)^{price}\s*"), F.regexp_extract(e["key"], "([0-9]+)$", 1), F.lit("$"))
-            match = F.get(F.filter(entries, lambda p: F.rlike(p["key"], wanted)), F.lit(0))
-            return F.struct(F.when(match.isNotNull(), blank_to_null(e["value"])).alias("name"), match["value"].alias("price"), none.alias("slot"))
-
-        found.append(F.transform(named, paired))
+    found += [_numbered_pairs(entries, name, price) for name, price in PAIRS]
     kind = "array<struct<menu_name:string,price:int,display_order:int,is_representative:boolean>>"
 
     def add(done: Column, x: Column) -> Column:
