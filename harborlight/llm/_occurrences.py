@@ -31,6 +31,8 @@ def _unpack_positions(data: memoryview, n: int) -> np.ndarray:
 
 def pack(hashes: np.ndarray, flags: np.ndarray, at: np.ndarray, buckets: int, wide: bool = False):
     """(bucket, data) for the occurrences `at` (ascending) of 64-bit hashes; `flags` marks reference entries. wide keeps 63 bits of the hash, else 31."""
+    if not len(hashes):
+        return
     bucket = (hashes % np.uint64(buckets)).astype(np.int32)
     order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
     kind = np.uint64 if wide else np.uint32
