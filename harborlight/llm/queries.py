@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from harborlight.llm import ann, decontamination, jaccard, mixing, quality, secret_scan, substring_dedup, toxicity, url_filter, warc
 from harborlight.llm._sample import fold
+from harborlight.llm.sql import ORACLES
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -75,4 +76,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL over the same tables; queries without one are tested against brute force."""
-    return {}
+    return dict(ORACLES)
