@@ -16,17 +16,16 @@ def spot_price_summary(menus: DataFrame, matches: DataFrame) -> DataFrame:
     """
     firm = matches.filter("match_status = 'matched' and spot_content_id is not null").select("food_place_id", "spot_content_id")
     priced = menus.filter("price > 0").join(firm, "food_place_id")
-    order = Window.partitionBy("spot_content_id").orderBy(F.coalesce("is_representative", F.lit(False)).desc(), "price", F.col("display_order").asc_nulls_last(), "menu_name", "food_place_id")
-    ranked = priced.withColumn("_n", F.row_number().over(order))
-    first = F.col("_n") == 1
-    return ranked.groupBy("spot_content_id").agg(
+    rank = F.struct((~F.coalesce("is_representative", F.lit(False))).alias("later"), "price", F.col("display_order").isNull().alias("unordered"), "display_order", "menu_name", "food_place_id")
+    # the least rank is added up before the shuffle, so a spot with very many menus is no burden to one task
+    summed = priced.groupBy("spot_content_id").agg(
         F.min("price").alias("min_price"),
         half_up_mean("price").alias("avg_price"),
-        F.max(F.when(first, F.col("menu_name"))).alias("representative_menu_name"),
-        F.max(F.when(first, F.col("price"))).alias("representative_price"),
+        F.min(rank).alias("first"),
         F.count("*").cast("int").alias("menu_count"),
         F.countDistinct("food_place_id").cast("int").alias("food_place_count"),
     )
+    return summed.select("spot_content_id", "min_price", "avg_price", F.col("first.menu_name").alias("representative_menu_name"), F.col("first.price").alias("representative_price"), "menu_count", "food_place_count")
 
 
 def newest_by_name(stores: DataFrame) -> DataFrame:
@@ -69,8 +68,8 @@ def enrich_counters(menu_places: DataFrame, stores: DataFrame) -> DataFrame:
     flagged = enrich_flags(enrich_candidates(menu_places, stores))
     counts = flagged.agg(F.count("*").alias("store_name_matches"), F.count_if("enriched").alias("enriched_count"), F.count_if("fills_address").alias("address_filled"), F.count_if("fills_coords").alias("coords_filled"), F.count_if("fills_tel").alias("tel_filled"))
     scanned = menu_places.filter("is_active").agg(F.count("*").alias("menu_places_scanned"))
-    # three rows of one counter each
-    return scanned.crossJoin(counts).crossJoin(no_store_count(menu_places, stores))
+    parts = scanned.unionByName(counts, allowMissingColumns=True).unionByName(no_store_count(menu_places, stores), allowMissingColumns=True)
+    return parts.agg(*[F.max(c).alias(c) for c in parts.columns])
 
 
 def enrich(menu_places: DataFrame, stores: DataFrame) -> DataFrame:
