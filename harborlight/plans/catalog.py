@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harborlight.functions import similarity as sim
-from harborlight.functions import spatial as sp
 from harborlight.functions import text as tx
 from harborlight.operators import aggregates as agg
 from harborlight.operators import generators as gen
@@ -108,11 +107,11 @@ def store_enrich_counters(t) -> DataFrame:
 
 
 _TARGETS = """with f as (select food_place_id, bool_or(match_method in ('manual', 'llm')) as firm, bool_or(match_method = 'rule' and match_status = 'pending') as pend from {place_matches} group by 1)
-    select p.id, p.name, f.pend as was_pending from {named_places} p left join f on f.food_place_id = p.id
+    select p.id, p.name from {named_places} p left join f on f.food_place_id = p.id
     where p.is_active and p.map_x is not null and p.map_y is not null and p.normalized_category not in ('beauty', 'bath', 'lodging') and (f.food_place_id is null or (f.pend and not f.firm))"""
 
 
-@query(_TARGETS.replace(", f.pend as was_pending", ""))
+@query(_TARGETS)
 def match_targets(t) -> DataFrame:
     return matching.match_targets(t("named_places"), t("place_matches"), rematch_pending=True).select("id", "name")
 
@@ -446,8 +445,10 @@ def keyword_queries(t) -> DataFrame:
 _MENU8 = "(select food_place_id, string_agg('- ' || menu_name, chr(10) order by n) as lines from (select *, row_number() over (partition by food_place_id order by case when is_representative then 0 else 1 end, display_order nulls last, menu_name) as n from {menus}) where n <= 8 group by 1)"
 
 
-@query(f"""select p.id, md5('다음은 부산광역시 착한가격업소 후보입니다. 실제 존재할 법한 부산 내 주소를 추론하세요.' || chr(10) || '확실하지 않으면 confidence를 낮게 주세요. 다른 도시 주소는 금지입니다.' || chr(10) || chr(10) || '업소명: ' || p.name || chr(10) || '구군/동: ' || coalesce(p.source_region, '(없음)') || chr(10) || '전화: ' || coalesce(p.tel, '(없음)') || chr(10) || '대표메뉴: ' || '(없음)' || chr(10) || '메뉴:' || chr(10) || coalesce(m.lines, '- (없음)') || chr(10) || chr(10) || 'JSON만 반환: {{"address":"...", "confidence":0.0, "reason":"..."}}') as request_md5
-    from {{named_places}} p left join {_MENU8} m on m.food_place_id = p.id where p.is_active and coalesce(trim(p.address), '') = '' and (p.map_x is null or p.map_y is null)""".replace('{{"address":"...", "confidence":0.0, "reason":"..."}}', '{"address":"...", "confidence":0.0, "reason":"..."}'))
+_REQUEST = ["'다음은 부산광역시 착한가격업소 후보입니다. 실제 존재할 법한 부산 내 주소를 추론하세요.'", "'확실하지 않으면 confidence를 낮게 주세요. 다른 도시 주소는 금지입니다.'", "''", "'업소명: ' || p.name", "'구군/동: ' || coalesce(p.source_region, '(없음)')", "'전화: ' || coalesce(p.tel, '(없음)')", "'대표메뉴: (없음)'", "'메뉴:'", "coalesce(m.lines, '- (없음)')", "''", """'JSON만 반환: {"address":"...", "confidence":0.0, "reason":"..."}'"""]
+
+
+@query(f"select p.id, md5({' || chr(10) || '.join(_REQUEST)}) as request_md5 from {{named_places}} p left join {_MENU8} m on m.food_place_id = p.id where p.is_active and coalesce(trim(p.address), '') = '' and (p.map_x is null or p.map_y is null)")
 def inference_requests(t) -> DataFrame:
     """PRJ-41, WIN-3, FLT-3."""
     targets = normalize.work_list(t("named_places").withColumn("representative_menu", F.lit(None).cast("string")), "location")
@@ -546,8 +547,10 @@ QUERIES["observation_stream"] = observation_stream
 ORACLES["observation_stream"] = oracle("""select food_place_id, menu_name, observed_price as price from (select *, row_number() over (partition by food_place_id, menu_name order by observed_at desc, event_id desc) as n from {observations}) where n = 1""")
 
 
-@query("""select food_place_id, spot_content_id, match_status, match_method from {place_matches} where not (match_method = 'rule' and food_place_id % 2 = 0) and not exists (select 1 from {orders} o where o.o_orderkey % 3 = 0 and o.o_custkey = food_place_id and food_place_id % 2 = 0 and cast(o.o_orderkey as string) = spot_content_id and o.o_orderkey = (select max(o_orderkey) from {orders} x where x.o_custkey = food_place_id and x.o_orderkey % 3 = 0))
-    union all select food_place_id, case when food_place_id % 4 = 0 then null else cast(m as string) end, case when food_place_id % 4 = 0 then 'separate' else 'matched' end, 'rule' from (select food_place_id, max(cast(spot_content_id as bigint)) as m from {place_matches} where food_place_id % 2 = 0 group by 1)""".replace("and not exists (select 1 from {orders} o where o.o_orderkey % 3 = 0 and o.o_custkey = food_place_id and food_place_id % 2 = 0 and cast(o.o_orderkey as string) = spot_content_id and o.o_orderkey = (select max(o_orderkey) from {orders} x where x.o_custkey = food_place_id and x.o_orderkey % 3 = 0))", "and not (food_place_id % 4 = 2 and cast(spot_content_id as bigint) = (select max(cast(y.spot_content_id as bigint)) from {place_matches} y where y.food_place_id = place_matches.food_place_id))"))
+@query("""select food_place_id, spot_content_id, match_status, match_method from {place_matches} p where not (match_method = 'rule' and food_place_id % 2 = 0)
+    and not (food_place_id % 4 = 2 and cast(spot_content_id as bigint) = (select max(cast(y.spot_content_id as bigint)) from {place_matches} y where y.food_place_id = p.food_place_id))
+    union all select food_place_id, case when food_place_id % 4 = 0 then null else cast(m as string) end, case when food_place_id % 4 = 0 then 'separate' else 'matched' end, 'rule'
+    from (select food_place_id, max(cast(spot_content_id as bigint)) as m from {place_matches} where food_place_id % 2 = 0 group by 1)""")
 def match_write(t) -> DataFrame:
     """MUT-13: rule matches of decided places replaced, a manual row of the same pair overwritten."""
     target = t("place_matches").withColumn("match_score", F.lit(None).cast("double"))
