@@ -5,8 +5,8 @@ Texts become sets of shingle hashes; equal sets are one class. Then
    that does not share as many of its first tokens with all other texts together (the matrix with one group per bucket)
    links with nothing and leaves. Only 4-byte hashes move. For the sets that stay, tokens are counted, and their prefixes
    hold the rarest tokens.
-2. Groups. Each prefix token has a few leaders, the least sets that hold it in different random orders; every other holder
-   is compared with them. Linked sets form groups of similar documents.
+2. Groups. Each prefix token has a few leaders: of the sets that hold it the one with the fewest tokens of its own, and the
+   least ones in random orders; every other holder is compared with them. Linked sets form groups of similar documents.
 3. Token-group matrix. Each group's tokens are its union. Where a prefix token occurs in two groups, the members of the
    smaller group that hold it are its queries to the other; the number of query tokens in the other's union bounds the
    overlap with every member. Only groups that reach the bound are opened.
@@ -178,8 +178,9 @@ def _compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.filter(_linked(overlap, F.size("_tu").cast("long"), F.size("_tv").cast("long"), percent)).select("u", "v")
 
 
-def _fits(n1: Column, n2: Column, percent: int) -> Column:
-    return (n1 * 100 >= n2 * percent) & (n2 * 100 >= n1 * percent)
+def _fits(n1: str, s1: str, n2: str, s2: str, percent: int) -> Column:
+    """Whether two sets can link: the overlap is at most the lesser of their shared tokens, and that of their sizes."""
+    return F.least(s1, s2) * (100 + percent) >= (F.col(n1) + F.col(n2)) * percent
 
 
 def _count_map(buckets: int):
@@ -202,12 +203,13 @@ def _count_map(buckets: int):
 def _rare_first(percent: int):
     """Of each set the numbers of the tokens in its prefix that other sets have, where tokens are ordered by how many sets have them.
 
-    Tokens of no other set come first; a set with enough of them has no prefix token in common with any and is left out.
+    Tokens of no other set come first; a set with enough of them has no prefix token in common with any and is left out. Also
+    s, the number of tokens that other sets have (no overlap is larger), and rarity, which is least in the midst of a group.
     """
 
     def run(table: pa.Table) -> pa.Table:
         tables, at, count = occ.positions_with_counts(table)
-        ids_out, numbers = [], []
+        ids_out, numbers, shared, rarity = [], [], [], []
         for data in tables:
             n = int(np.frombuffer(data, np.uint32, 1)[0])
             ids = np.frombuffer(data, np.int64, n, 4)
@@ -215,11 +217,14 @@ def _rare_first(percent: int):
             edge = np.searchsorted(at, first)
             for i in np.flatnonzero(np.diff(edge)):
                 size, own = int(first[i + 1] - first[i]), slice(edge[i], edge[i + 1])
-                take = size - needed(size, percent) + 1 - (size - int(edge[i + 1] - edge[i]))
+                known = int(edge[i + 1] - edge[i])
+                take = size - needed(size, percent) + 1 - (size - known)
                 if take > 0:
                     ids_out.append(int(ids[i]))
+                    shared.append(known)
+                    rarity.append(size - known + float((1.0 / count[own]).sum()))
                     numbers.append(np.sort((at[own] - first[i])[np.argsort(count[own], kind="stable")[:take]]).astype(np.int32))
-        return pa.table({"id": pa.array(ids_out, pa.int64()), "at": pa.array(numbers, pa.list_(pa.int32()))})
+        return pa.table({"id": pa.array(ids_out, pa.int64()), "at": pa.array(numbers, pa.list_(pa.int32())), "s": pa.array(shared, pa.int64()), "rarity": pa.array(rarity, pa.float64())})
 
     return run
 
@@ -229,15 +234,16 @@ def group_components(sets: DataFrame, percent: int) -> DataFrame:
     spark = sets.sparkSession
     buckets = SPREAD * int(spark.conf.get("spark.sql.shuffle.partitions"))
     packed = sets.select("id", "tokens").mapInArrow(_count_map(buckets), occ.PACKED)
-    chosen = packed.groupBy("bucket").applyInArrow(occ.counted, occ.REPORTED).groupBy("chunk").applyInArrow(_rare_first(percent), "id long, at array<int>")
+    chosen = packed.groupBy("bucket").applyInArrow(occ.counted, occ.REPORTED).groupBy("chunk").applyInArrow(_rare_first(percent), "id long, at array<int>, s long, rarity double")
     sets = stored(sets.join(chosen.dropDuplicates(["id"]), "id"), "prefixed-sets")
     release(spark)
-    posts = sets.select("id", "n", F.explode(F.transform("at", lambda i: F.element_at("tokens", i + 1))).alias("token"))
+    posts = sets.select("id", "n", "s", "rarity", F.explode(F.transform("at", lambda i: F.element_at("tokens", i + 1))).alias("token"))
     posts, sets = stored(posts, "posts"), sets.select("id", "n", "tokens")
     labels = sets.select(F.col("id").alias("node"), F.col("id").alias("label"))
-    ranks = [F.min(F.struct(F.xxhash64("id", F.lit(r)).alias("r"), F.col("id").alias("leader"), F.col("n").alias("leader_n"))) for r in range(LEADERS)]
+    orders = [F.col("rarity"), *[F.xxhash64("id", F.lit(r)).cast("double") for r in range(LEADERS - 1)]]
+    ranks = [F.min(F.struct(o.alias("r"), F.col("id").alias("leader"), F.col("n").alias("leader_n"), F.col("s").alias("leader_s"))) for o in orders]
     lead = posts.groupBy("token").agg(F.array(*ranks).alias("leaders"), F.count("*").alias("sets")).filter("sets > 1")
-    near = posts.join(lead, "token").select("id", "n", F.inline("leaders")).filter(F.col("id") != F.col("leader")).filter(_fits(F.col("n"), F.col("leader_n"), percent))
+    near = posts.join(lead, "token").select("id", "n", "s", F.inline("leaders")).filter(F.col("id") != F.col("leader")).filter(_fits("n", "s", "leader_n", "leader_s", percent))
     pairs = near.select(F.least("id", "leader").alias("u"), F.greatest("id", "leader").alias("v")).distinct()
     labels = components(stored(_compare(pairs, sets, percent), "edges"), stored(labels, "labels"))
     release(spark)
@@ -246,18 +252,18 @@ def group_components(sets: DataFrame, percent: int) -> DataFrame:
 
 def _open_groups(posts: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Links between different groups, as edges between labels: the token-group matrix and the opened groups."""
-    here = posts.join(labels, F.col("id") == F.col("node")).select("id", "n", "token", "label")
+    here = posts.join(labels, F.col("id") == F.col("node")).select("id", "n", "s", "token", "label")
     # tokens that lie in one group only can't connect two groups
     split = here.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("token")
     open_ = stored(here.join(split, "token"), "open-posts")
     members = labels.groupBy("label").agg(F.count("*").alias("members"))
-    cells = open_.groupBy("token", "label").agg(F.min("n").alias("least"), F.max("n").alias("most")).join(members, "label")
+    cells = open_.groupBy("token", "label").agg(F.min("n").alias("least"), F.max("s").alias("most")).join(members, "label")
     other = cells.select("token", F.col("label").alias("group"), "least", "most", F.col("members").alias("group_members"))
     asks = open_.join(members, "label").join(other, "token")
-    # of two groups the one with fewer members asks, and the sizes must fit
+    # of two groups the one with fewer members asks, and some size and shared tokens must fit
     asks = asks.filter((F.col("members") < F.col("group_members")) | ((F.col("members") == F.col("group_members")) & (F.col("label") < F.col("group"))))
-    asks = asks.filter((F.col("n") * 100 >= F.col("least") * percent) & (F.col("most") * 100 >= F.col("n") * percent))
-    asks = stored(asks.select("id", "n", "label", "group").distinct(), "asks")
+    asks = asks.filter(_fits("n", "s", "least", "most", percent))
+    asks = stored(asks.select("id", "n", "s", "label", "group").distinct(), "asks")
     wanted = asks.select(F.col("group").alias("label")).distinct()
     united = sets.join(labels, F.col("id") == F.col("node")).join(wanted, "label")
     unions = united.select("label", F.pmod(F.xxhash64("id"), F.lit(1 << 20)).alias("_s"), "tokens").join(members, "label")
@@ -267,11 +273,11 @@ def _open_groups(posts: DataFrame, sets: DataFrame, labels: DataFrame, percent:
     queries = sets.select("id", "tokens")
     bounded = asks.join(unions.withColumnRenamed("label", "group"), "group").join(queries, "id")
     qualifies = F.size(F.array_intersect("tokens", "union")) >= F.ceil(F.col("n") * percent / 100)
-    opened = stored(bounded.filter(qualifies).select("id", "n", "label", "group", "part"), "opened")
-    inside = open_.select(F.col("id").alias("v"), F.col("n").alias("vn"), "token", F.col("label").alias("group")).join(members.withColumnRenamed("label", "group"), "group")
+    opened = stored(bounded.filter(qualifies).select("id", "n", "s", "label", "group", "part"), "opened")
+    inside = open_.select(F.col("id").alias("v"), F.col("n").alias("vn"), F.col("s").alias("vs"), "token", F.col("label").alias("group")).join(members.withColumnRenamed("label", "group"), "group")
     inside = inside.withColumn("part", (F.pmod(F.xxhash64("v"), F.lit(1 << 20)) % F.ceil(F.col("members") / GROUP_ROWS)).cast("long"))
     asking = open_.select("id", "token").join(opened, "id")
-    pairs = asking.join(inside, ["token", "group", "part"]).filter(_fits(F.col("n"), F.col("vn"), percent))
+    pairs = asking.join(inside, ["token", "group", "part"]).filter(_fits("n", "s", "vn", "vs", percent))
     pairs = pairs.select(F.col("id").alias("u"), "v", "label", "group").distinct()
     found = pairs.join(_compare(pairs.select("u", "v"), sets, percent), ["u", "v"])
     return stored(found.select(F.col("label").alias("u"), F.col("group").alias("v")).distinct(), "edges")
