@@ -10,7 +10,7 @@ Texts become sets of shingle hashes; equal sets are one class. Then
 3. Token-group matrix. Each group's tokens are its union. Where a prefix token occurs in two groups, the members of the
    smaller group that hold it are its queries to the other; the number of query tokens in the other's union bounds the
    overlap with every member. Only groups that reach the bound are opened.
-4. Opened groups: query and members that share a prefix token and fit in size are compared exactly. Links merge groups.
+4. Opened groups: the query is compared exactly with the members that fit in size. Links merge groups.
 The result has the connected components of all links, without pairs inside a group that is already connected.
 
 Defined results: null and wordless texts have an empty set and are alone; with fewer words than a shingle the whole
@@ -238,7 +238,7 @@ def group_components(sets: DataFrame, percent: int) -> DataFrame:
     sets = stored(sets.join(chosen.dropDuplicates(["id"]), "id"), "prefixed-sets")
     release(spark)
     posts = sets.select("id", "n", "s", "rarity", F.explode(F.transform("at", lambda i: F.element_at("tokens", i + 1))).alias("token"))
-    posts, sets = stored(posts, "posts"), sets.select("id", "n", "tokens")
+    posts, sets = stored(posts, "posts"), sets.select("id", "n", "s", "tokens")
     labels = sets.select(F.col("id").alias("node"), F.col("id").alias("label"))
     orders = [F.col("rarity"), *[F.xxhash64("id", F.lit(r)).cast("double") for r in range(LEADERS - 1)]]
     ranks = [F.min(F.struct(o.alias("r"), F.col("id").alias("leader"), F.col("n").alias("leader_n"), F.col("s").alias("leader_s"))) for o in orders]
@@ -266,23 +266,29 @@ def _open_groups(posts: DataFrame, sets: DataFrame, labels: DataFrame, percent:
     asks = stored(asks.select("id", "n", "s", "label", "group").distinct(), "asks")
     wanted = asks.select(F.col("group").alias("label")).distinct()
     united = sets.join(labels, F.col("id") == F.col("node")).join(wanted, "label")
-    unions = united.select("label", F.pmod(F.xxhash64("id"), F.lit(1 << 20)).alias("_s"), "tokens").join(members, "label")
-    # a large group has one row of the matrix for each GROUP_ROWS members
-    unions = unions.withColumn("part", (F.col("_s") % F.ceil(F.col("members") / GROUP_ROWS)).cast("long"))
+    unions = united.join(members, "label").withColumn("part", _part("id"))
     unions = unions.select("label", "part", F.explode("tokens").alias("t")).distinct().groupBy("label", "part").agg(F.collect_list("t").alias("union"))
     queries = sets.select("id", "tokens")
     bounded = asks.join(unions.withColumnRenamed("label", "group"), "group").join(queries, "id")
     qualifies = F.size(F.array_intersect("tokens", "union")) >= F.ceil(F.col("n") * percent / 100)
     opened = stored(bounded.filter(qualifies).select("id", "n", "s", "label", "group", "part"), "opened")
-    inside = open_.select(F.col("id").alias("v"), F.col("n").alias("vn"), F.col("s").alias("vs"), "token", F.col("label").alias("group")).join(members.withColumnRenamed("label", "group"), "group")
-    inside = inside.withColumn("part", (F.pmod(F.xxhash64("v"), F.lit(1 << 20)) % F.ceil(F.col("members") / GROUP_ROWS)).cast("long"))
-    asking = open_.select("id", "token").join(opened, "id")
-    pairs = asking.join(inside, ["token", "group", "part"]).filter(_fits("n", "s", "vn", "vs", percent))
-    pairs = pairs.select(F.col("id").alias("u"), "v", "label", "group").distinct()
-    found = pairs.join(_compare(pairs.select("u", "v"), sets, percent), ["u", "v"])
+    # one row per opened part with its sets; any link of the query to one of them joins the two groups
+    parts = united.join(members, "label").withColumn("part", _part("id")).select(F.col("label").alias("group"), "part", F.struct("n", "s", "tokens").alias("m"))
+    parts = parts.join(opened.select("group", "part").distinct(), ["group", "part"]).groupBy("group", "part").agg(F.collect_list("m").alias("inside"))
+
+    def links(m: Column) -> Column:
+        can = F.least("s", m["s"]) * (100 + percent) >= (F.col("n") + m["n"]) * percent
+        return can & _linked(F.size(F.array_intersect("tokens", m["tokens"])).cast("long"), F.col("n"), m["n"], percent)
+
+    found = opened.join(queries, "id").join(parts, ["group", "part"]).filter(F.exists("inside", links))
     return stored(found.select(F.col("label").alias("u"), F.col("group").alias("v")).distinct(), "edges")
 
 
+def _part(id_: str) -> Column:
+    """Number of the matrix row of a set in its group of `members` sets: one row for about GROUP_ROWS."""
+    return (F.pmod(F.xxhash64(id_), F.lit(1 << 20)) % F.ceil(F.col("members") / GROUP_ROWS)).cast("long")
+
+
 def _classes(docs: DataFrame, doc_id: str, text: str, shingle: int, percent: int) -> DataFrame:
     """Per row of docs: doc_id, _key (of id and text), n, class (one id per component)."""
     spark = docs.sparkSession
