@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from harborlight.functions import text as tx
 from harborlight.functions.spatial import point
-from harborlight.operators.generators import first_of, header_map, menu_array, number_course_items, spot_images
+from harborlight.operators.generators import first_of, number_course_items, spot_images, with_headers, with_menus
 from harborlight.sources import envelopes as env
 
 #: source of the place, source of its menus, kind of source: of each flavour of food rows.
@@ -49,9 +49,9 @@ def food_places(rows: DataFrame, flavour: str) -> tuple[DataFrame, DataFrame]:
     Rows without a name are rejects with reason and label.
     """
     place_source, menu_source, kind = FLAVOURS[flavour]
-    base = rows.withColumn("_h", header_map(F.col("row")))
+    base = with_menus(with_headers(rows))
     get = lambda f: first_of(F.col("_h"), *HEADERS[f])
-    fields = base.withColumns({f"_{f}": get(f) for f in HEADERS} | {"menus": menu_array(F.col("row"), F.col("_h"))})
+    fields = base.withColumns({f"_{f}": get(f) for f in HEADERS})
     c = F.col
     address = F.when(c("_address").isNotNull() & c("_addr2").isNotNull(), F.concat_ws(" ", "_address", "_addr2")).otherwise(c("_address"))
     tel = tx.squeeze(c("_tel"))

@@ -570,3 +570,87 @@ def recent_runs(t) -> DataFrame:
 def cascade_children(t) -> DataFrame:
     """MUT-22: children of deleted parents go with them."""
     return mutations.cascade(t("course_items"), "course_id", t("courses").filter("theme = 'F'"), "content_id").select("course_id", "pos")
+
+
+@query("""select o_orderkey, case o_orderkey % 4 when 1 then '22' when 2 then '30' when 3 then 'malformed' end as result_code, case o_orderkey % 4 when 1 then 'limit ' || o_orderpriority when 2 then 'DENIED: ' || o_orderpriority end as message from {orders} where o_orderkey % 4 <> 0""")
+def api_errors(t) -> DataFrame:
+    """SRC-7 and SRC-8: JSON and XML error bodies told from good ones."""
+    note, kind = F.col("o_orderpriority"), F.col("o_orderkey") % 4
+    body = (
+        F.when(kind == 0, F.lit('{"response":{"header":{"resultCode":"0000"},"body":{}}}'))
+        .when(kind == 1, F.concat(F.lit('{"resultCode":"22","resultMsg":"limit '), note, F.lit('"}')))
+        .when(kind == 2, F.concat(F.lit(" <r><returnReasonCode>30</returnReasonCode><returnAuthMsg>DENIED</returnAuthMsg><errMsg>"), note, F.lit("</errMsg></r>")))
+        .otherwise(F.lit("[broken"))
+    )
+    _, errors = env.split_errors(t("orders").select("o_orderkey", body.alias("payload")))
+    return errors.select("o_orderkey", F.nullif("result_code", F.lit("")).alias("result_code"), "message")
+
+
+@query("select o_orderkey, cast(o_orderkey % 5000 as int) as seconds from {orders}")
+def run_seconds(t) -> DataFrame:
+    """PRJ-48."""
+    end = F.expr("timestampadd(millisecond, cast(o_orderkey % 5000 * 1000 + 400 as int), o_orderdate)")
+    return t("orders").select("o_orderkey", tx.run_seconds(F.col("o_orderdate").cast("timestamp"), end.cast("timestamp")).alias("seconds"))
+
+
+@query("select cast(doc_id as string) as content_id, doc_id % 3 <> 0 as changed from {documents}")
+def overview_changed(t) -> DataFrame:
+    """SRC-13: stored hashes of every third document agree, of others differ or are missing."""
+    docs = t("documents").select(F.col("doc_id").cast("string").alias("content_id"), "doc_id", tx.text_hash(F.concat("text", F.lit("."))).alias("overview_hash"))
+    stored = docs.filter("doc_id % 3 <> 2").withColumn("overview_hash", F.when(F.col("doc_id") % 3 == 0, F.col("overview_hash")).otherwise("x"))
+    return normalize.overview_changed(docs, stored)
+
+
+@query("""select p_partkey, p_name as name, '051' || cast(p_partkey as string) as tel, 'food_korean' as normalized_category, 128.9 as map_x, p_type as menu_name, cast(floor(p_retailprice) as int) as price, cast(1 as int) as display_order, true as is_representative from {part}
+    union all select p_partkey, p_name, '051' || cast(p_partkey as string), 'food_korean', 128.9, p_brand, case when p_size % 2 = 0 then p_size * 1000 else null end, 2 + cast(p_partkey % 2 as int), false from {part}""")
+def food_row_parse(t) -> DataFrame:
+    """PRJ-27, PRJ-28, GEN-1 to GEN-4: rows with alias headers into places and menus."""
+    p, size = t("part"), F.col("p_size").cast("string")
+    price = F.when(F.col("p_size") % 2 == 0, F.concat(size, F.lit(",000원"))).otherwise(F.concat(size, F.lit(",0")))
+    second = F.when(F.col("p_partkey") % 2 == 0, F.lit("메뉴02")).otherwise(F.lit("item_3"))
+    second_price = F.when(F.col("p_partkey") % 2 == 0, F.lit(" 가격2")).otherwise(F.lit("PRICE3 "))
+    row = F.create_map(
+        F.lit("상호"), F.concat(F.lit(" "), "p_name"), F.lit("전화번호"), F.concat(F.lit("051 "), F.col("p_partkey").cast("string")), F.lit(" 업종"), F.lit("한식"), F.lit("lng"), F.lit("128.9"),
+        F.lit("품목1"), F.col("p_type"), F.lit("가격1"), F.floor("p_retailprice").cast("string"), second, F.col("p_brand"), second_price, price,
+        F.lit("품목5"), F.upper("p_type"), F.lit("가격5"), F.lit("1"), F.lit("key"), F.col("p_partkey").cast("string"),
+    )
+    places, _ = normalize.food_places(p.select(row.alias("row"), F.lit(None).cast("timestamp").alias("fetched_at")), "file")
+    key = F.element_at("row", "key").cast("long").alias("p_partkey")
+    return places.select(key, "name", "tel", "normalized_category", "map_x", F.inline("menus"))
+
+
+@query("""select o_orderkey, substr(msg, 1, 6) as error from (select o_orderkey, o_orderpriority || ' failed' as msg, row_number() over (partition by o_orderpriority order by o_orderkey) as n from {orders}) where n <= 50""")
+def reject_sample(t) -> DataFrame:
+    """LIM-5."""
+    rejects = t("orders").select("o_orderkey", "o_orderpriority", F.concat("o_orderpriority", F.lit(" failed")).alias("error"))
+    return runlog.error_sample(rejects, "o_orderpriority", "o_orderkey", 50, 6).select("o_orderkey", "error")
+
+
+@query("select content_id, is_active and (p_partkey % 4 = 0 or not is_active) as is_active from {spots}")
+def deactivate_unlisted(t) -> DataFrame:
+    """MUT-5 by the run's listing instead of read times."""
+    spots = t("spots").withColumn("inactive_since", F.lit(None).cast("date"))
+    after, _ = mutations.deactivate_unlisted(spots, spots.filter("p_partkey % 4 = 0"), F.lit(True), F.lit("2024-01-01").cast("date"))
+    return after.select("content_id", "is_active")
+
+
+@query("""select l_orderkey, max(case when l_linenumber = 1 then cast(l_partkey as string) end) as common, max(case when l_linenumber = 2 then cast(l_partkey as string) end) as intro from (select l_orderkey, l_linenumber, max(l_partkey) as l_partkey from {lineitem} where l_linenumber <= 2 group by 1, 2) group by 1""")
+def combine_details(t) -> DataFrame:
+    """SRC-10: endpoints of an id side by side."""
+    name = F.when(F.col("l_linenumber") == 1, "detailCommon2").otherwise("detailIntro2")
+    landed = t("lineitem").filter("l_linenumber <= 2").groupBy(F.col("l_orderkey").alias("content_id"), name.alias("endpoint")).agg(F.max("l_partkey").cast("string").alias("payload"))
+    return env.combine_details(landed).select(F.col("content_id").alias("l_orderkey"), F.col("detailCommon2").alias("common"), F.col("detailIntro2").alias("intro"))
+
+
+@query("""select id, name, food_place_id from (select n.id, n.name, s.id as food_place_id from {named_places} n join (select * from {named_places} where source = 'good_price_store') s on s.id = n.id)""")
+def known_place_ids(t) -> DataFrame:
+    """JN-9: rows whose source key is known get its place, whatever else they say."""
+    named = t("named_places").select("id", "name", "source", F.col("id").cast("string").alias("external_id"), F.col("id").alias("fetched_at"))
+    sources = named.filter("source = 'good_price_store'").select("source", "external_id", F.col("id").alias("food_place_id"))
+    return normalize.assign_ids(named, sources).filter("source = 'good_price_store'").select("id", "name", "food_place_id")
+
+
+@query("""select food_place_id, array_to_string(list(menu_name order by n), '|') as names from (select *, row_number() over (partition by food_place_id order by case when is_representative then 0 else 1 end, display_order nulls last, menu_name) as n from {menus}) where n <= 8 group by 1""")
+def top_menus(t) -> DataFrame:
+    """WIN-3."""
+    return agg.top_menus(t("menus")).select("food_place_id", F.array_join("menu_names", "|").alias("names"))
