@@ -12,9 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
-    """Make this package importable in the Python workers of every executor (once per application)."""
+    """Make this package importable in the Python workers of every executor (once per application).
+
+    Where the session keeps Spark's 10,000 rows per Arrow batch, 2,000 are set: rows hold whole texts.
+    """
     context = spark.sparkContext
+    if spark.conf.get(ARROW_ROWS, "10000") == "10000":
+        spark.conf.set(ARROW_ROWS, "2000")
     if getattr(context, "_harborlight_shipped", False):
         return
     root = os.path.dirname(os.path.abspath(__file__))
