@@ -13,7 +13,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 4 << 20
+#: Just under 2 MiB, so that power tables have 2**21 entries.
+CHUNK_BYTES = (2 << 20) - 64
 _BYTE_BASE = 0x9E3779B97F4A7C15
 _WORD_BASE = 0xD1342543DE82EF95
 _tables: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
