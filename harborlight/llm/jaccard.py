@@ -153,20 +153,19 @@ def components(edges: DataFrame, labels: DataFrame) -> DataFrame:
     Each round, every label points to the least label next to it, pointers are followed further, and the edges are drawn
     between the new labels. Labels are hashes, so a few rounds do.
     """
-    while True:
+    while not edges.isEmpty():
         back = edges.select(F.col("v").alias("u"), F.col("u").alias("v"))
         point = edges.union(back).groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("v"))
+        point = stored(point, "pointers")
+        further = point.select(F.col("u").alias("w"), F.col("v").alias("x"))
         for _ in range(2):
-            point = stored(point, "pointers")
-            further = point.select(F.col("u").alias("w"), F.col("v").alias("x"))
             point = point.join(further, F.col("v") == F.col("w"), "left").select("u", F.coalesce("x", "v").alias("v"))
         point = stored(point, "pointers")
-        if point.isEmpty():
-            return labels
         labels = stored(labels.join(point, F.col("label") == F.col("u"), "left").select("node", F.coalesce("v", "label").alias("label")), "labels")
         moved = edges.join(point.select(F.col("u").alias("_u1"), F.col("v").alias("_v1")), F.col("u") == F.col("_u1"))
         moved = moved.join(point.select(F.col("u").alias("_u2"), F.col("v").alias("_v2")), F.col("v") == F.col("_u2"))
         edges = stored(moved.select(F.col("_v1").alias("u"), F.col("_v2").alias("v")).filter("u <> v").distinct(), "edges")
+    return labels
 
 
 def _compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -286,7 +285,7 @@ def _open_groups(posts: DataFrame, sets: DataFrame, labels: DataFrame, percent:
 
 def _part(id_: str) -> Column:
     """Number of the matrix row of a set in its group of `members` sets: one row for about GROUP_ROWS."""
-    return (F.pmod(F.xxhash64(id_), F.lit(1 << 20)) % F.ceil(F.col("members") / GROUP_ROWS)).cast("long")
+    return (F.pmod(F.xxhash64(id_), F.lit(1 << 40)) % F.ceil(F.col("members") / GROUP_ROWS)).cast("long")
 
 
 def _classes(docs: DataFrame, doc_id: str, text: str, shingle: int, percent: int) -> DataFrame:
@@ -318,11 +317,12 @@ def row_key(doc_id: str, text: str) -> Column:
 
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
     """Per row of docs: doc_id, n_shingles, component_id (least doc_id reachable by links of Jaccard >= percent / 100)."""
-    rows = _classes(docs, doc_id, text, shingle, percent)
+    rows = stored(_classes(docs, doc_id, text, shingle, percent).drop("_key"), "classes")
     alone = F.col("n") == 0
-    least = rows.filter(~alone).groupBy("class").agg(F.min("doc_id").alias("component_id"))
+    # written, so that the join with a class of very many rows can be split
+    least = stored(rows.filter(~alone).groupBy("class").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("rows")).filter("rows > 1").drop("rows"), "least-ids")
     joined = rows.join(least, "class", "left")
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    return joined.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
