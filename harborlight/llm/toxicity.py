@@ -26,7 +26,7 @@ from harborlight.llm._sample import smallest
 from harborlight.session import ship
 
 BITS = 20
-TRAIN_ROWS = 12_000
+TRAIN_ROWS = 8_000
 #: At most this part of the sample is toxic; the rest, and what is left of it, is not.
 TOXIC_PART = 1 / 3
 EPOCHS = 4
@@ -112,8 +112,19 @@ def train(docs: DataFrame, labelled: DataFrame, rows: int = TRAIN_ROWS) -> Model
     found = joined.mapInArrow(_feature_rows(BITS), "doc_id string, label int, features binary" if dict(docs.dtypes)["doc_id"] == "string" else "doc_id long, label int, features binary")
     order = found.toArrow()
     keys = np.array([hash_order(k) for k in order.column("doc_id").to_pylist()], np.uint64)
-    labels, data = order.column("label").to_pylist(), order.column("features")
-    return fit([(np.frombuffer(data[int(i)].as_py(), np.int32), labels[i]) for i in np.argsort(keys, kind="stable")])
+    labels = order.column("label").to_pylist()
+    views = [view for chunk in order.column("features").chunks for view in _views(chunk)]
+    model = fit([(views[i], labels[i]) for i in np.argsort(keys, kind="stable")])
+    del views, order
+    pa.default_memory_pool().release_unused()
+    return model
+
+
+def _views(column: pa.Array) -> list[np.ndarray]:
+    """The packed coordinates of each row, as views of the column's memory."""
+    edges = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1] // 4
+    data = np.frombuffer(column.buffers()[2] or b"", np.int32)
+    return [data[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
 
 
 def hash_order(key) -> int:
