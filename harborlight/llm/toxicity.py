@@ -26,11 +26,11 @@ from harborlight.llm._sample import smallest
 from harborlight.session import ship
 
 BITS = 20
-TRAIN_ROWS = 8_000
+TRAIN_ROWS = 12_000
 #: At most this part of the sample is toxic; the rest, and what is left of it, is not.
 TOXIC_PART = 1 / 3
-EPOCHS = 4
-ALPHA, BETA, L1, L2 = 1.0, 1.0, 5.0, 0.1
+EPOCHS = 8
+ALPHA, BETA, L1, L2 = 0.5, 1.0, 5.0, 0.1
 CUT = 0.3
 
 
@@ -115,6 +115,10 @@ def train(docs: DataFrame, labelled: DataFrame, rows: int = TRAIN_ROWS) -> Model
     labels = order.column("label").to_pylist()
     views = [view for chunk in order.column("features").chunks for view in _views(chunk)]
     model = fit([(views[i], labels[i]) for i in np.argsort(keys, kind="stable")])
+    # the sample holds more toxic rows than the labels do: the intercept goes back to the odds of all labels
+    every = {r["label"]: r["count"] for r in clean.groupBy("label").count().collect()}
+    if 0 < sum(labels) < len(labels) and every.get(0) and every.get(1):
+        model.bias += float(np.log(every[1] / every[0]) - np.log(sum(labels) / (len(labels) - sum(labels))))
     del views, order
     pa.default_memory_pool().release_unused()
     return model
