@@ -64,6 +64,16 @@ def test_network_adds_and_base_stays(spark):
     assert sum("model" in r.spans for r in plain) <= 0.05 * len(plain)
 
 
+def test_threshold_keeps_recall_on_ambiguous_data():
+    """Findings that look like the others: their calibrated scores lie far below 0.5, and the threshold goes with them."""
+    rng = np.random.default_rng(3)
+    positive, negative = (rng.integers(256, 512, (n, secret_scan.LENGTH)).astype(np.int16) for n in (200, 2000))
+    net = secret_scan.fit(positive, negative, epochs=2, seed=7)
+    held = positive[np.random.default_rng(7).permutation(len(positive))][: len(positive) // 4]
+    assert net.threshold < 0.5
+    assert (net.probability(held) >= net.threshold).mean() >= secret_scan.RECALL
+
+
 def test_redact(spark):
     rows = [(1, "a 0123456789abcdef b", "en", "s", 20), (2, "clean", "en", "s", 77), (3, None, None, None, None)]
     got = {r.doc_id: (r.text, r.n_chars) for r in secret_scan.redact(frame(spark, rows), None).collect()}
