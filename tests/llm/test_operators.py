@@ -7,6 +7,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 from pyspark.sql import functions as F
@@ -74,6 +75,36 @@ def test_threshold_keeps_recall_on_ambiguous_data():
     assert (net.probability(held) >= net.threshold).mean() >= secret_scan.RECALL
 
 
+class Digits:
+    """A network that finds any digit inside a candidate."""
+
+    threshold = 0.5
+
+    def probability(self, codes):
+        return ((codes >= 256 + 48) & (codes < 256 + 58)).any(1).astype(float)
+
+
+def test_frames_cover_candidates_and_context():
+    text = "é " + "z" * 300 + " /usr/share/lib/path/to/some/thing/with/config/Pw9xQzT-KmLRwYvBnGh/tail"
+    chunk = next(secret_scan._text.chunks(pa.array([text])))
+    owner, start, end = secret_scan.candidates(chunk)
+    for n in range(12, 200):
+        which, place = secret_scan.slide(start[:1], start[:1] + n)
+        seen = np.unique(place[:, None] + np.arange(secret_scan.LENGTH))
+        assert np.isin(np.arange(start[0] - 12, start[0] + n + 12), seen).all() and (which == 0).all()
+    late = text.index("/usr")
+    assert secret_scan.scan_texts(pa.array([text]), Digits())[4].to_pylist() == [f"model:{late}:{len(text)}"]
+
+
+def test_training_frames_hold_the_finding():
+    """The finding of a long run begins after its 36th byte."""
+    secret = "0123456789abcdef"
+    batch = pa.RecordBatch.from_arrays([pa.array(["x " + "/Usr/Share/Lib" * 6 + "/" + secret + "/" + "Tail" * 30])], ["text"])
+    (rows,) = secret_scan._training_rows(iter([batch]))
+    codes = np.frombuffer(rows.column(1)[0].as_py(), np.int16)
+    assert rows.column(0).to_pylist() == [1] and np.isin(codes, [256 + ord(c) for c in "0123456789"]).any()
+
+
 def test_redact(spark):
     rows = [(1, "a 0123456789abcdef b", "en", "s", 20), (2, "clean", "en", "s", 77), (3, None, None, None, None)]
     got = {r.doc_id: (r.text, r.n_chars) for r in secret_scan.redact(frame(spark, rows), None).collect()}
