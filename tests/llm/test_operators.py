@@ -99,10 +99,29 @@ def test_frames_cover_candidates_and_context():
 def test_training_frames_hold_the_finding():
     """The finding of a long run begins after its 36th byte."""
     secret = "0123456789abcdef"
-    batch = pa.RecordBatch.from_arrays([pa.array(["x " + "/Usr/Share/Lib" * 6 + "/" + secret + "/" + "Tail" * 30])], ["text"])
-    (rows,) = secret_scan._training_rows(iter([batch]))
-    codes = np.frombuffer(rows.column(1)[0].as_py(), np.int16)
-    assert rows.column(0).to_pylist() == [1] and np.isin(codes, [256 + ord(c) for c in "0123456789"]).any()
+    column = pa.array(["x " + "/Usr/Share/Lib" * 6 + "/" + secret + "/" + "Tail" * 30])
+    ((label, codes),) = secret_scan._labelled(column)
+    assert label.tolist() == [1] and np.isin(codes, [256 + ord(c) for c in "0123456789"]).any()
+
+
+def test_network_learns_from_rare_findings(spark):
+    """Two findings among 5000 documents, both with large ids and one without an id: the network is trained, and on them."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("aeioustrn") for _ in range(14))
+    rows = [(i, f"{word()} {word()}", "en", "s", 1) for i in range(5000)]
+    rows[4321] = (4321, f"{word()} token=0f3e5d7c9b1a2f4e6d8c {word()}", "en", "s", 1)
+    rows[4999] = (None, f"{word()} token=a1b2c3d4e5f60718293a {word()}", "en", "s", 1)
+    net = secret_scan.train(frame(spark, rows))
+    assert net is not None
+
+    def scores(text):
+        chunk = next(secret_scan._text.chunks(pa.array([text])))
+        owner, start, end = secret_scan.candidates(chunk)
+        which, place = secret_scan.slide(start, end)
+        return net.probability(secret_scan.frames(chunk, owner[which], start[which], end[which], place))
+
+    assert (scores("soonest token=9a8b7c6d5e4f3a2b1c0d tones") >= net.threshold).all()
+    assert np.mean([(scores(word()) >= net.threshold).any() for _ in range(100)]) < 0.05
 
 
 def test_redact(spark):
