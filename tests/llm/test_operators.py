@@ -96,6 +96,23 @@ def test_frames_cover_candidates_and_context():
     assert secret_scan.scan_texts(pa.array([text]), Digits())[4].to_pylist() == [f"model:{late}:{len(text)}"]
 
 
+def test_model_span_beyond_a_base_finding_stays():
+    text = "é sk-live_0123456789abcdefXQZpLmN token=0123456789abcd 0123456789abcdef"
+    spans = secret_scan.scan_texts(pa.array([text]), Digits())[4].to_pylist()[0]
+    assert spans == "model:2:33,hex:10:26,assign:34:54,hex:55:71"
+    assert secret_scan.redact_text(text, spans) == "é [secret] [secret] [secret]"
+    rng = random.Random(1)
+    for _ in range(300):
+        base = [(x, x + rng.randrange(1, 9), "hex") for x in (rng.randrange(40) for _ in range(rng.randrange(6)))]
+        places = {p for x, y, _ in base for p in range(x, y)}
+        x = rng.randrange(40)
+        y = x + rng.randrange(1, 12)
+        own = set(range(x, y))
+        ranges = np.array([x]), np.array([y])
+        assert secret_scan._touching(*ranges, base).tolist() == [bool(own & places)]
+        assert secret_scan._covered(*ranges, base).tolist() == [own <= places]
+
+
 def test_training_frames_hold_the_finding():
     """The finding of a long run begins after its 36th byte."""
     secret = "0123456789abcdef"
