@@ -1,7 +1,7 @@
 """URL filter: rules first, then a path-template tree per host, judged by smoothed labelled purity.
 
 Rules (host, path, verdict) decide the urls they fit and, by that, label them. For the others, the urls of each host form a
-tree of path templates of `DEPTH` segments (deeper ones are one wildcard). A segment with a digit, or longer than
+tree of path templates, as deep as their paths. A segment with a digit, or longer than
 `LONG` characters, is a wildcard; so is a rare child where a node has more than `FANOUT` children; and a child whose share of
 blocked labels does not differ from its siblings' by more than `Z` standard errors is merged with them into the wildcard.
 A template is rejected if its share of blocked labels, smoothed with `PRIOR` labels at the overall share, reaches `REJECT`.
@@ -26,7 +26,9 @@ RULES = (
     ("net", "/es/", "block"),
     ("net", "/fr/", "block"),
 )
-DEPTH, LONG, FANOUT, SHARE = 3, 32, 50, 0.05
+#: Levels that the query's SQL writes out; it tells the templates of paths up to that long.
+DEPTH = 3
+LONG, FANOUT, SHARE = 32, 50, 0.05
 Z, LEAST_LABELS = 2.0, 5
 PRIOR, REJECT = 10.0, 0.8
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -49,35 +51,49 @@ def rule_of(host: Column, path: Column, rules: tuple = RULES) -> tuple[Column, C
     return name, verdict
 
 
-def segments(path: Column) -> list[Column]:
-    """DEPTH columns of the path: null past its end, '*' for variable ones, and '**' in the last for a deeper rest."""
+def general_path(path: Column) -> Column:
+    """'/' and segment for each segment of the path, with '*' for variable ones; '' without any."""
     parts = F.filter(F.split(path, "/"), lambda s: s != "")
-    one = lambda i: F.get(parts, F.lit(i))
-    general = [F.when(one(i).rlike("[0-9]") | (F.length(one(i)) > LONG), F.lit("*")).otherwise(one(i)) for i in range(DEPTH)]
-    general[-1] = F.when(F.size(parts) > DEPTH, F.lit("**")).otherwise(general[-1])
-    return general
+    general = F.transform(parts, lambda s: F.when(s.rlike("[0-9]") | (F.length(s) > LONG), F.lit("*")).otherwise(s))
+    return F.when(F.size(parts) > 0, F.concat(F.lit("/"), F.array_join(general, "/"))).otherwise(F.lit(""))
+
+
+def grow(open_: DataFrame, level: int) -> DataFrame:
+    """Rows (host, way, n, labels, blocked, template of `level` segments) with the template grown by a segment, and whether it is final.
+
+    A path alone in its node has nothing to merge with, so the rest of its template is its own.
+    """
+    node, sums = ["host", "template"], ("n", "labels", "blocked", "ways")
+    parts = F.split("way", "/")
+    rows = open_.withColumns({"s": F.get(parts, F.lit(level + 1)), "ways": F.lit(1)})
+    child = rows.groupBy(*node, "s").agg(*[F.sum(c).alias(c) for c in sums])
+    parent = child.groupBy(*node).agg(F.count("s").alias("kids"), *[F.sum(c).alias("p_" + c) for c in sums])
+    met = child.join(parent, node)
+    rare = (F.col("kids") > FANOUT) & (F.col("n") < SHARE * F.col("p_n"))
+    others = F.col("p_labels") - F.col("labels")
+    rate = F.col("p_blocked") / F.col("p_labels")
+    gap = F.abs(F.col("blocked") / F.col("labels") - (F.col("p_blocked") - F.col("blocked")) / others)
+    error = F.sqrt(rate * (1 - rate) * (1 / F.col("labels") + 1 / others))
+    alike = F.when((F.col("labels") >= LEAST_LABELS) & (others >= LEAST_LABELS), gap <= Z * error).otherwise(False)
+    names = met.select(*node, "s", F.when(rare | alike, F.lit("*")).otherwise(F.col("s")).alias("t"), (F.col("p_ways") == 1).alias("alone"))
+    keys = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in [*node, "s"]]
+    rest = F.slice(parts, F.lit(level + 2), F.size(parts))
+    grown = F.when(F.col("b.s").isNull(), F.lit("")).when(F.col("alone"), F.concat(F.lit("/"), F.array_join(rest, "/"))).otherwise(F.concat(F.lit("/"), F.col("t")))
+    both = rows.alias("a").join(names.alias("b"), keys)
+    return both.select("a.host", "way", "n", "labels", "blocked", F.concat("a.template", grown).alias("template"), (F.col("b.s").isNull() | F.col("alone")).alias("final"))
 
 
 def templates(counts: DataFrame) -> DataFrame:
-    """counts (host, s1.., n, labels, blocked) with t1..: the template each segment combination belongs to."""
-    done: list[str] = []
-    for level in range(1, DEPTH + 1):
-        node, s, t = ["host", *done], f"s{level}", f"t{level}"
-        child = counts.groupBy(*node, s).agg(*[F.sum(c).alias(c) for c in ("n", "labels", "blocked")])
-        parent = child.groupBy(*node).agg(F.count(s).alias("kids"), *[F.sum(c).alias("p_" + c) for c in ("n", "labels", "blocked")])
-        met = child.alias("c").join(parent.alias("p"), [F.col(f"c.{c}").eqNullSafe(F.col(f"p.{c}")) for c in node])
-        rare = (F.col("kids") > FANOUT) & (F.col("n") < SHARE * F.col("p_n"))
-        others = F.col("p_labels") - F.col("labels")
-        rate = F.col("p_blocked") / F.col("p_labels")
-        gap = F.abs(F.col("blocked") / F.col("labels") - (F.col("p_blocked") - F.col("blocked")) / others)
-        error = F.sqrt(rate * (1 - rate) * (1 / F.col("labels") + 1 / others))
-        alike = F.when((F.col("labels") >= LEAST_LABELS) & (others >= LEAST_LABELS), gap <= Z * error).otherwise(False)
-        general = F.when(F.col(s).isNull(), F.lit(None)).when(rare | alike, F.lit("*")).otherwise(F.col(s))
-        names = met.select(*[F.col(f"c.{c}").alias(c) for c in node], s, general.alias(t))
-        keys = [*node, s]
-        counts = counts.alias("a").join(names.alias("b"), [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in keys]).select("a.*", f"b.{t}")
-        done.append(t)
-    return counts
+    """counts (host, way, n, labels, blocked) with the template each way belongs to, grown level by level while any open way has a further segment."""
+    columns = ["host", "way", "n", "labels", "blocked", "template"]
+    open_, done, level = counts.withColumn("template", F.lit("")).select(columns), [], 0
+    while (open_.agg(F.max(F.size(F.split("way", "/")) - 1)).first()[0] or 0) > level:
+        grown = stored(grow(open_, level), "url-level")
+        done.append(grown.filter("final").select(columns))
+        open_, level = grown.filter("not final").select(columns), level + 1
+    for part in done:
+        open_ = open_.unionAll(part)
+    return open_
 
 
 def judge(pages: DataFrame, page_id: str = "page_id", url: str = "url", rules: tuple = RULES) -> DataFrame:
@@ -85,19 +101,15 @@ def judge(pages: DataFrame, page_id: str = "page_id", url: str = "url", rules: t
     host, path = parse(F.col(url))
     rows = pages.select(F.col(page_id).alias("page_id"), host.alias("host"), path.alias("path"))
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    rows = rows.withColumns({"rule": name, "_verdict": verdict} | {f"s{i}": c for i, c in enumerate(segments(F.col("path")), 1)})
-    levels = [f"s{i}" for i in range(1, DEPTH + 1)]
-    counts = rows.groupBy("host", *levels).agg(F.count("*").alias("n"), F.count("_verdict").alias("labels"), F.count_if(F.col("_verdict") == "block").alias("blocked"))
+    rows = rows.withColumns({"rule": name, "_verdict": verdict, "way": general_path(F.col("path"))})
+    counts = rows.groupBy("host", "way").agg(F.count("*").alias("n"), F.count("_verdict").alias("labels"), F.count_if(F.col("_verdict") == "block").alias("blocked"))
     counts = stored(counts, "url-counts")
-    named = stored(templates(counts), "url-templates")
-    keys = ["host", *[f"t{i}" for i in range(1, DEPTH + 1)]]
+    named = templates(counts)
     total = counts.agg(F.sum("labels").alias("l"), F.sum("blocked").alias("b")).first()
     share = (total["b"] or 0) / total["l"] if total["l"] else 0.0
     purity = (F.sum("blocked") + PRIOR * share) / (F.sum("labels") + PRIOR)
-    by_template = named.groupBy(*keys).agg(purity.alias("purity"))
-    judged = named.alias("a").join(by_template.alias("b"), [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in keys])
-    shown = F.concat(*[F.coalesce(F.concat(F.lit("/"), F.col(f"a.t{i}")), F.lit("")) for i in range(1, DEPTH + 1)])
-    judged = judged.select(*[F.col(f"a.{c}").alias(c) for c in ("host", *levels)], shown.alias("template"), F.col("b.purity").alias("purity"))
-    both = rows.alias("r").join(judged.alias("j"), [F.col(f"r.{c}").eqNullSafe(F.col(f"j.{c}")) for c in ("host", *levels)], "left")
+    by_template = named.groupBy("host", "template").agg(purity.alias("purity"))
+    judged = named.select("host", "way", "template").join(by_template, ["host", "template"])
+    both = rows.alias("r").join(judged.alias("j"), ["host", "way"], "left")
     last = F.coalesce("r._verdict", F.when(F.col("j.purity") >= REJECT, F.lit("block")).otherwise(F.lit("allow")))
-    return both.select("r.page_id", "r.host", "r.path", "r.rule", last.alias("verdict"), "j.template", "j.purity")
+    return both.select("r.page_id", "host", "r.path", "r.rule", last.alias("verdict"), "j.template", "j.purity")

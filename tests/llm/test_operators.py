@@ -416,3 +416,15 @@ def test_alike_branches_merge(spark):
     rules = (("h.org", "/", "block"),)
     rows = [(i, f"http://h.org/{'abc'[i % 3]}/p{i}", None) for i in range(60)]
     assert {r.template for r in url_filter.judge(frame(spark, rows, PAGES), rules=rules).collect()} == {"/*/*"}
+
+
+@pytest.mark.parametrize("stem", ["/a/b", "/a/b/c/d/e/f"])
+def test_deep_branches_are_told_apart(spark, stem):
+    """A blocked and a clean branch that part at the third segment and beyond."""
+    rules = (("h.org", f"{stem}/spam/x", "block"), ("h.org", f"{stem}/docs/x", "allow"))
+    rows = [(1000 * k + i, f"http://h.org{stem}/{b}/x{i}/in", None) for k, b in enumerate(("spam", "docs")) for i in range(60)]
+    rows += [(5000, f"http://h.org{stem}/spam/y1/in", None), (5001, f"http://h.org{stem}/docs/y1/in", None), (5002, f"http://h.org{stem}", None), (5003, "http://h.org/only/one/of/its/kind", None)]
+    got = {r.page_id: r for r in url_filter.judge(frame(spark, rows, PAGES), rules=rules).collect()}
+    assert len(got) == len(rows)
+    assert (got[5000].verdict, got[5001].verdict) == ("block", "allow")
+    assert (got[5000].template, got[5002].template, got[5003].template) == (f"{stem}/spam/*/in", stem, "/only/one/of/its/kind")
