@@ -29,9 +29,13 @@ def metres(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
     return F.sqrt(along * along + across * across)
 
 
-def cell(x: Column, y: Column, radius: float, most_latitude: float) -> tuple[Column, Column]:
-    """Grid cell whose sides are at least radius metres up to the given latitude."""
-    import math
+def band(y: Column, radius: float) -> Column:
+    """Latitude band at least radius metres high."""
+    return F.floor(y / (radius / 110574.0))
 
-    across = 111320.0 * math.cos(math.radians(most_latitude))
-    return F.floor(x / (radius / across)), F.floor(y / (radius / 110574.0))
+
+def cell(x: Column, in_band: Column, radius: float) -> Column:
+    """Longitude cell within a band, at least radius metres wide wherever the band or its neighbours reach."""
+    most = F.greatest(F.abs(in_band - 1), F.abs(in_band + 2)) * (radius / 110574.0)
+    across = F.radians(F.lit(1.0)) * AXIS * F.cos(F.radians(F.least(most, F.lit(90.0))))
+    return F.floor(x / F.least(radius / F.greatest(across, F.lit(1e-9)), F.lit(720.0)))

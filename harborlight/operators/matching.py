@@ -8,12 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from harborlight.functions import similarity as sim
-from harborlight.functions.spatial import cell, metres
+from harborlight.functions.spatial import band, cell, metres
 from harborlight.functions.text import match_address, match_name
 
 #: Categories that are not matched.
 NOT_MATCHED = ("beauty", "bath", "lodging")
-MOST_LATITUDE = 36.0
 NEAREST = 30
 
 
@@ -28,15 +27,16 @@ def match_targets(places: DataFrame, matches: DataFrame, rematch_pending: bool =
     return joined.filter(own & free).select(places.columns)
 
 
-def within(left: DataFrame, right: DataFrame, radius: float, most_latitude: float = MOST_LATITUDE) -> DataFrame:
+def within(left: DataFrame, right: DataFrame, radius: float) -> DataFrame:
     """Pairs of rows at most `radius` metres apart, with distance_m (JN-4).
 
-    left has map_x, map_y; right has spot_x, spot_y. Cells are at least a radius wide, so the neighbours of a cell hold all
-    partners: right goes to its nine cells and the join is on equality. No pair is met twice.
+    left has map_x, map_y; right has spot_x, spot_y. Cells are at least a radius wide at any latitude, so the neighbours of a
+    cell hold all partners: right goes to three cells of its latitude band and of both neighbours, by the longitude step of
+    each, and the join is on equality. No pair is met twice.
     """
-    lx, ly = cell(F.col("map_x"), F.col("map_y"), radius, most_latitude)
-    rx, ry = cell(F.col("spot_x"), F.col("spot_y"), radius, most_latitude)
-    around = F.array(*[F.struct((rx + i).alias("_cx"), (ry + j).alias("_cy")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
+    ly, ry = band(F.col("map_y"), radius), band(F.col("spot_y"), radius)
+    lx = cell(F.col("map_x"), ly, radius)
+    around = F.array(*[F.struct((cell(F.col("spot_x"), ry + j, radius) + i).alias("_cx"), (ry + j).alias("_cy")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
     far = right.filter("spot_x is not null and spot_y is not null").select("*", F.inline(around))
     near = left.filter("map_x is not null and map_y is not null").withColumns({"_cx": lx, "_cy": ly})
     pairs = near.join(far, ["_cx", "_cy"]).drop("_cx", "_cy")

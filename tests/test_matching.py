@@ -58,6 +58,22 @@ def test_within_equals_all_pairs(spark):
     assert sorted(map(tuple, got)) == sorted(map(tuple, every)) and got
 
 
+@pytest.mark.parametrize("latitude", [0.0, 38.0, 60.0, -60.0, 89.9])
+def test_within_at_any_latitude(spark, latitude):
+    import random
+
+    rng = random.Random(6)
+    wide = 0.01 / max(math.cos(math.radians(latitude)), 0.002)
+    draw = lambda: (129 + rng.uniform(0, wide), latitude + rng.uniform(0, 0.01))
+    places = spark.createDataFrame([(i, *draw()) for i in range(200)], "id long, map_x double, map_y double")
+    spots = spark.createDataFrame([(str(i), *draw()) for i in range(200)], "spot_content_id string, spot_x double, spot_y double")
+    got = matching.within(places, spots, 200.0).select("id", "spot_content_id").collect()
+    far = metres(F.col("map_x"), F.col("map_y"), F.col("spot_x"), F.col("spot_y"))
+    want = places.crossJoin(spots).filter(far <= 200.0).select("id", "spot_content_id").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len(want) > 100
+
+
+
 def run(spark, places, spots, matches=()):
     return matching.run_matching(spark.createDataFrame(places, PLACES), spark.createDataFrame(spots, SPOTS), spark.createDataFrame(list(matches), MATCHES), sim.similarity_udf(spark))
 
