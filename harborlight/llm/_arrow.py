@@ -11,14 +11,22 @@ from pyspark.sql import types as T
 from harborlight.session import ship
 
 
+def spare(name: str, columns: list[str]) -> str:
+    """The name, or it with underscores before it, that no column has in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def add_columns(df: DataFrame, text: str, fields: list[T.StructField], function: Callable[[pa.Array], list[pa.Array]]) -> DataFrame:
     """df with `fields` computed from its `text` column, batch by batch and without a shuffle.
 
     Columns of df that have the name of a new field are replaced.
     """
-    names = {f.name for f in fields}
-    kept = df.select(*[c for c in df.columns if c not in names or c == text])
-    keep_text = text not in names
+    names = {f.name.lower() for f in fields}
+    kept = df.select(*[f"`{c}`" for c in df.columns if c.lower() not in names or c == text])
+    keep_text = text.lower() not in names
     schema = T.StructType([f for f in kept.schema.fields if keep_text or f.name != text] + fields)
     ship(df.sparkSession)
 

@@ -125,6 +125,15 @@ def words(chunk: Chunk, inside: np.ndarray, codes: np.ndarray) -> Words:
     return Words(hashes, start, end, np.searchsorted(start, offsets).astype(np.int64))
 
 
+def stems(chunk: Chunk, found: Words, size: int, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the words of more than `size` bytes, and the hash of the first `size` bytes of each."""
+    long = np.flatnonzero(found.end - found.start > size)
+    hashes = np.zeros(len(long), np.uint64)
+    for k in range(size):
+        hashes = mix(hashes ^ codes[chunk.data[found.start[long] + k]])
+    return long, hashes
+
+
 def windows(found: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash of the k words from each word on, and whether all k lie in one text; positions are word numbers."""
     n = len(found.hash)
