@@ -88,9 +88,9 @@ def _url_sql() -> str:
         same = lambda a, b, cols: " and ".join(f"{a}.{c} is not distinct from {b}.{c}" for c in cols)
         parts.append(f"k{i} as (select {keys}, {s}, sum(n) as n, sum(labels) as labels, sum(blocked) as blocked from c{i - 1} group by all)")
         parts.append(f"p{i} as (select {keys}, count({s}) as kids, sum(n) as p_n, sum(labels) as p_labels, sum(blocked) as p_blocked from k{i} group by all)")
-        rate = "(p_blocked / p_labels)"
-        error = f"sqrt({rate} * (1 - {rate}) * (1 / labels + 1 / (p_labels - labels)))"
-        alike = f"(case when labels >= {url_filter.LEAST_LABELS} and p_labels - labels >= {url_filter.LEAST_LABELS} then abs(blocked / labels - (p_blocked - blocked) / (p_labels - labels)) <= {url_filter.Z} * {error} else false end)"
+        ll = lambda k, n: f"(case when {k} > 0 then {k} * ln({k} / {n}) else 0.0 end + case when {n} > {k} then ({n} - {k}) * ln(({n} - {k}) / {n}) else 0.0 end)"
+        others = ll("(p_blocked - blocked)", "(p_labels - labels)")
+        alike = f"(kids > 1 and 2 * ({ll('blocked', 'labels')} + {others} - {ll('p_blocked', 'p_labels')}) <= {url_filter.RATIO})"
         rare = f"(kids > {url_filter.FANOUT} and n < {url_filter.SHARE}::double * p_n)"
         parts.append(f"m{i} as (select {', '.join('k.' + c for c in node)}, k.{s}, case when k.{s} is null then null when {rare} or {alike} then '*' else k.{s} end as t{i} from k{i} k join p{i} p on {same('k', 'p', node)})")
         parts.append(f"c{i} as (select a.*, b.t{i} from c{i - 1} a join m{i} b on {same('a', 'b', [*node, s])})")

@@ -2,10 +2,14 @@
 
 Rules (host, path, verdict) decide the urls they fit and, by that, label them. For the others, the urls of each host form a
 tree of path templates, as deep as their paths. A segment with a digit, or longer than
-`LONG` characters, is a wildcard; so is a rare child where a node has more than `FANOUT` children; and a child whose share of
-blocked labels does not differ from its siblings' by more than `Z` standard errors is merged with them into the wildcard.
-A template is rejected if its share of blocked labels, smoothed with `PRIOR` labels at the overall share, reaches `REJECT`.
-All steps group and join counts of (host, template), never lists of urls.
+`LONG` characters, is a wildcard; so is a rare child where a node has more than `FANOUT` children; and a child is merged with
+its siblings into the wildcard unless the labels speak against it: unless one share of blocked labels for each is likelier than
+one share for all by a ratio above `RATIO` (twice its logarithm). A branch without labels has nothing against it and goes with
+its siblings, so labels reach it. A template is rejected if its share of blocked labels, smoothed with `PRIOR` labels at the
+overall share, reaches `REJECT`. All steps group and join counts of (host, template), never lists of urls.
+
+`PRIOR` and `REJECT` are set by `held_out`: the labels of one part of the labelled urls, or of whole first segments of hosts, are
+hidden, and their templates judge them.
 
 Defined results: null urls and urls without '://' have empty host and path, fit no rule and form one template; without
 labels all templates are allowed; equal rows count each; an empty table gives an empty result.
@@ -29,8 +33,9 @@ RULES = (
 #: Levels that the query's SQL writes out; it tells the templates of paths up to that long.
 DEPTH = 3
 LONG, FANOUT, SHARE = 32, 50, 0.05
-Z, LEAST_LABELS = 2.0, 5
-PRIOR, REJECT = 10.0, 0.8
+#: Twice the logarithm of the likelihood ratio above which a child is a branch of its own (two standard errors).
+RATIO = 4.0
+PRIOR, REJECT = 2.0, 0.8
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -58,6 +63,15 @@ def general_path(path: Column) -> Column:
     return F.when(F.size(parts) > 0, F.concat(F.lit("/"), F.array_join(general, "/"))).otherwise(F.lit(""))
 
 
+def log_likelihood(blocked: Column, labels: Column) -> Column:
+    """Logarithm of the likelihood of the labels at their own share; 0 without any."""
+
+    def part(n: Column) -> Column:
+        return F.when(n > 0, n * F.ln(n / labels)).otherwise(0.0)
+
+    return part(blocked) + part(labels - blocked)
+
+
 def grow(open_: DataFrame, level: int) -> DataFrame:
     """Rows (host, way, n, labels, blocked, template of `level` segments) with the template grown by a segment, and whether it is final.
 
@@ -70,11 +84,9 @@ def grow(open_: DataFrame, level: int) -> DataFrame:
     parent = child.groupBy(*node).agg(F.count("s").alias("kids"), *[F.sum(c).alias("p_" + c) for c in sums])
     met = child.join(parent, node)
     rare = (F.col("kids") > FANOUT) & (F.col("n") < SHARE * F.col("p_n"))
-    others = F.col("p_labels") - F.col("labels")
-    rate = F.col("p_blocked") / F.col("p_labels")
-    gap = F.abs(F.col("blocked") / F.col("labels") - (F.col("p_blocked") - F.col("blocked")) / others)
-    error = F.sqrt(rate * (1 - rate) * (1 / F.col("labels") + 1 / others))
-    alike = F.when((F.col("labels") >= LEAST_LABELS) & (others >= LEAST_LABELS), gap <= Z * error).otherwise(False)
+    left, blocked = F.col("p_labels") - F.col("labels"), F.col("p_blocked") - F.col("blocked")
+    ratio = 2 * (log_likelihood(F.col("blocked"), F.col("labels")) + log_likelihood(blocked, left) - log_likelihood(F.col("p_blocked"), F.col("p_labels")))
+    alike = (F.col("kids") > 1) & (ratio <= RATIO)
     names = met.select(*node, "s", F.when(rare | alike, F.lit("*")).otherwise(F.col("s")).alias("t"), (F.col("p_ways") == 1).alias("alone"))
     keys = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in [*node, "s"]]
     rest = F.slice(parts, F.lit(level + 2), F.size(parts))
@@ -96,20 +108,45 @@ def templates(counts: DataFrame) -> DataFrame:
     return open_
 
 
-def judge(pages: DataFrame, page_id: str = "page_id", url: str = "url", rules: tuple = RULES) -> DataFrame:
-    """Per row: page_id, host, path, rule, verdict, template (the host's path template) and purity (its smoothed blocked share)."""
+def read_rules(pages: DataFrame, page_id: str = "page_id", url: str = "url", rules: tuple = RULES) -> DataFrame:
+    """Per row: page_id, host, path, rule, _verdict (the rule's, else null), way (the path with wildcards for variable segments)."""
     host, path = parse(F.col(url))
     rows = pages.select(F.col(page_id).alias("page_id"), host.alias("host"), path.alias("path"))
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    rows = rows.withColumns({"rule": name, "_verdict": verdict, "way": general_path(F.col("path"))})
-    counts = rows.groupBy("host", "way").agg(F.count("*").alias("n"), F.count("_verdict").alias("labels"), F.count_if(F.col("_verdict") == "block").alias("blocked"))
+    return rows.withColumns({"rule": name, "_verdict": verdict, "way": general_path(F.col("path"))})
+
+
+def judge_ways(rows: DataFrame, label: Column) -> DataFrame:
+    """host, way, template, purity for rows (host, way) labelled 'block', 'allow' or null."""
+    counts = rows.groupBy("host", "way").agg(F.count("*").alias("n"), F.count(label).alias("labels"), F.count_if(label == "block").alias("blocked"))
     counts = stored(counts, "url-counts")
     named = templates(counts)
     total = counts.agg(F.sum("labels").alias("l"), F.sum("blocked").alias("b")).first()
     share = (total["b"] or 0) / total["l"] if total["l"] else 0.0
     purity = (F.sum("blocked") + PRIOR * share) / (F.sum("labels") + PRIOR)
     by_template = named.groupBy("host", "template").agg(purity.alias("purity"))
-    judged = named.select("host", "way", "template").join(by_template, ["host", "template"])
-    both = rows.alias("r").join(judged.alias("j"), ["host", "way"], "left")
-    last = F.coalesce("r._verdict", F.when(F.col("j.purity") >= REJECT, F.lit("block")).otherwise(F.lit("allow")))
-    return both.select("r.page_id", "host", "r.path", "r.rule", last.alias("verdict"), "j.template", "j.purity")
+    return named.select("host", "way", "template").join(by_template, ["host", "template"])
+
+
+def _said(purity: str) -> Column:
+    return F.when(F.col(purity) >= REJECT, F.lit("block")).otherwise(F.lit("allow"))
+
+
+def judge(pages: DataFrame, page_id: str = "page_id", url: str = "url", rules: tuple = RULES) -> DataFrame:
+    """Per row: page_id, host, path, rule, verdict, template (the host's path template) and purity (its smoothed blocked share)."""
+    rows = read_rules(pages, page_id, url, rules)
+    both = rows.alias("r").join(judge_ways(rows, F.col("_verdict")).alias("j"), ["host", "way"], "left")
+    return both.select("r.page_id", "host", "r.path", "r.rule", F.coalesce("r._verdict", _said("j.purity")).alias("verdict"), "j.template", "j.purity")
+
+
+def held_out(pages: DataFrame, part: int = 0, parts: int = 5, whole_branches: bool = False, url: str = "url", rules: tuple = RULES) -> DataFrame:
+    """truth, judged, urls: labelled urls of one part, their labels hidden, against the verdict of their templates.
+
+    Urls are dealt to parts by hash; with whole_branches by that of host and first segment, so that no url of the branch is known.
+    """
+    rows = read_rules(pages, url, url, rules)
+    own = F.xxhash64("host", F.get(F.split("way", "/"), F.lit(1))) if whole_branches else F.xxhash64("page_id")
+    rows = rows.withColumn("_hidden", F.pmod(own, F.lit(parts)) == part)
+    judged = judge_ways(rows, F.when(~F.col("_hidden"), F.col("_verdict")))
+    both = rows.filter(F.col("_hidden") & F.col("_verdict").isNotNull()).join(judged, ["host", "way"])
+    return both.groupBy(F.col("_verdict").alias("truth"), _said("purity").alias("judged")).agg(F.count("*").alias("urls"))
