@@ -20,8 +20,7 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model, trained on the labelled ones of the corpus, does not reject."""
     labels = _read(spark, sf_dir, "labels").filter(fold(F.col("doc_id"), 4) != 2).select("doc_id", F.col("toxic").alias("label"))
-    scored = toxicity.score(docs, toxicity.train(docs, labels))
-    return scored.filter(F.col("predicted") == 0).select(docs.columns)
+    return toxicity.drop_toxic(docs, toxicity.train(docs, labels))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
