@@ -3,9 +3,12 @@
 Equal vectors are one node that carries its smallest ids (k + 1 of them, which is all that any result can show). Nodes go to
 shards by hash, `SHARD_ROWS` a shard. In a shard the graph is built in batches: beam searches on the graph so far propose
 neighbours, robust pruning (a neighbour is dropped if a kept one is closer to it by the factor `RELAX`) keeps diverse edges,
-and the reverse edges are added and pruned alike. Nodes are lifted by one coordinate to equal norm, so that nearness on the
-sphere is nearness by inner product. Shards are written once; then every block of queries runs a beam search in every shard,
-and the best of all shards are merged. The work of one task is one shard and one block of queries at a time.
+and the reverse edges are added and pruned alike. A search begins at the best of `ENTRIES` random nodes, so that clusters far
+from each other need no edges between them. Near means near in direction here. Where lengths differ, the largest inner
+products lie elsewhere, so each node also gets edges to the `REACH` largest ones that a search with it as query finds.
+Shards are written once. Queries go in blocks; every shard meets every block in tasks of one shard and at most `BLOCKS` blocks,
+a beam search by inner product answers them, and the best of all shards are merged. Only queries and k rows for each query
+and shard move; a shard is copied once for every `BLOCKS` blocks.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components take no part, nor do rows without
 id; vectors of another length are another index; equal rows count once; of an id with different vectors each is a query and
@@ -25,28 +28,43 @@ from pyspark.sql import functions as F
 from harborlight.session import ship, stored
 
 SHARD_ROWS = 8192
-DEGREE, BUILD_BEAM, SEARCH_BEAM = 24, 48, 96
+DEGREE, REACH, BUILD_BEAM, SEARCH_BEAM = 24, 16, 48, 128
+#: Nodes of each shard that a search begins with, the best of them.
+ENTRIES = 256
 RELAX = 1.2
-QUERY_BLOCK = 1024
+QUERY_BLOCK, BLOCKS = 1024, 32
 BATCH = 1024
 
 
-def lift(vectors: np.ndarray) -> np.ndarray:
-    """Vectors with one coordinate more, all of the largest norm."""
-    norms = (vectors.astype(float) ** 2).sum(1)
-    return np.concatenate([vectors, np.sqrt(np.maximum(norms.max() - norms, 0))[:, None]], 1).astype(np.float32)
+def directions(vectors: np.ndarray) -> np.ndarray:
+    """The vectors at length 1; none is zero. Scaled first, so that no square overflows."""
+    scaled = vectors / np.abs(vectors).max(1, keepdims=True)
+    return (scaled / np.sqrt((scaled**2).sum(1, keepdims=True))).astype(np.float32)
 
 
-def beam_search(nodes: np.ndarray, edges: np.ndarray, entry: int, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
-    """Best `beam` nodes (-1 past the end) by inner product for each query, found greedily, all queries in step; and their products."""
+def comparable(vectors: np.ndarray) -> np.ndarray:
+    """The vectors in single precision, scaled together to a largest component of 1."""
+    return (vectors / np.abs(vectors).max()).astype(np.float32)
+
+
+def entries(n: int) -> np.ndarray:
+    """The nodes of a shard of n that searches begin with; also the order of building begins with them."""
+    return np.random.default_rng(3).permutation(n)[:ENTRIES]
+
+
+def beam_search(nodes: np.ndarray, edges: np.ndarray, begin: np.ndarray, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
+    """Best `beam` nodes (-1 past the end) by inner product for each query, found greedily from `begin`, all queries in step; and their products."""
     q, n = len(queries), len(nodes)
     degree = edges.shape[1]
     ids = np.full((q, beam), -1, np.int64)
     near = np.full((q, beam), -np.inf, np.float32)
     done = np.ones((q, beam), bool)
-    ids[:, 0], near[:, 0], done[:, 0] = entry, queries @ nodes[entry], False
+    known = queries @ nodes[begin].T
+    best = np.argsort(-known, 1, kind="stable")[:, :beam]
+    width = best.shape[1]
+    ids[:, :width], near[:, :width], done[:, :width] = begin[best], np.take_along_axis(known, best, 1), False
     seen = np.zeros((q, n), bool)
-    seen[:, entry] = True
+    seen[:, begin] = True
     live = np.arange(q)
     while len(live):
         first = (~done[live]).argmax(1)
@@ -92,26 +110,36 @@ def robust_prune(nodes: np.ndarray, own: np.ndarray, candidates: np.ndarray, deg
     return out
 
 
-def build_graph(vectors: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM, relax: float = RELAX, seed: int = 3) -> tuple[np.ndarray, int]:
-    """Edges (n, degree; -1: none) and the entry node, the one nearest to the mean."""
-    nodes = lift(vectors)
+def build_graph(vectors: np.ndarray, degree: int = DEGREE, reach: int = REACH, beam: int = BUILD_BEAM, relax: float = RELAX) -> np.ndarray:
+    """Edges (n, degree + reach; -1: none)."""
+    nodes, raw = directions(vectors), comparable(vectors)
     n = len(nodes)
     edges = np.full((n, degree), -1, np.int64)
-    entry = int((nodes @ nodes.mean(0)).argmax())
-    order = np.random.default_rng(seed).permutation(n)
-    order = np.concatenate([[entry], order[order != entry]])
-    for factor in (1.0, relax):
-        done = 1 if factor == 1.0 else n
-        i = 0 if factor > 1.0 else 1
-        while i < n:
-            size = min(BATCH, n - i, max(1, done)) if factor == 1.0 else min(BATCH, n - i)
-            batch = order[i : i + size]
-            found, _ = beam_search(nodes, edges, entry, nodes[batch], beam)
-            edges[batch] = robust_prune(nodes, batch, np.concatenate([found, edges[batch]], 1), degree, factor)
-            _add_reverse(nodes, edges, batch, degree, factor)
-            i += size
-            done += size
-    return edges, entry
+    far = np.full((n, reach), -1, np.int64)
+    begin = entries(n)
+    order = np.random.default_rng(3).permutation(n)
+    done = 1
+    while done < n:
+        batch = order[done : done + min(BATCH, done)]
+        found, _ = beam_search(nodes, edges, begin[:done], nodes[batch], beam)
+        edges[batch] = robust_prune(nodes, batch, found, degree, 1.0)
+        _add_reverse(nodes, edges, batch, degree, 1.0)
+        done += len(batch)
+    for i in range(0, n, BATCH):
+        batch = order[i : i + BATCH]
+        found, _ = beam_search(nodes, edges, begin, nodes[batch], beam)
+        edges[batch] = robust_prune(nodes, batch, np.concatenate([found, edges[batch]], 1), degree, relax)
+        _add_reverse(nodes, edges, batch, degree, relax)
+    for i in range(0, n if reach else 0, BATCH):
+        batch = order[i : i + BATCH]
+        found, _ = beam_search(raw, np.concatenate([edges, far], 1), begin, nodes[batch], beam)
+        # no edge twice, or a step would find its end twice
+        known = np.concatenate([batch[:, None], edges[batch]], 1)
+        found[(found[:, :, None] == known[:, None, :]).any(2)] = -1
+        # those found lie before those that aren't, nearest first
+        first = np.argsort(found < 0, 1, kind="stable")[:, :reach]
+        far[batch, : first.shape[1]] = np.take_along_axis(found, first, 1)
+    return np.concatenate([edges, far], 1)
 
 
 def _add_reverse(nodes: np.ndarray, edges: np.ndarray, batch: np.ndarray, degree: int, relax: float) -> None:
@@ -146,7 +174,7 @@ def _clean(df: DataFrame, vec_id: str, vector: str) -> DataFrame:
     return rows.filter(good & F.exists(v, lambda x: x != 0)).distinct()
 
 
-SHARD = "dim int, shard int, size int, entry int, vectors binary, edges binary, ids binary, edge binary"
+SHARD = "dim int, shard int, size int, vectors binary, edges binary, ids binary, edge binary"
 
 
 def _build(table: pa.Table) -> pa.Table:
@@ -157,10 +185,10 @@ def _build(table: pa.Table) -> pa.Table:
     order = np.lexsort(vectors.T[::-1])
     vectors = vectors[order]
     ids = [table.column("ids")[int(i)].as_py() for i in order]
-    edges, entry = build_graph(vectors)
+    edges = build_graph(vectors)
     count = np.cumsum([0, *map(len, ids)]).astype(np.int64)
-    row = {"dim": dim, "shard": shard, "size": len(vectors), "entry": entry, "vectors": vectors.tobytes(), "edges": edges.astype(np.int32).tobytes(), "ids": np.concatenate(ids).astype(np.int64).tobytes(), "edge": count.tobytes()}
-    schema = pa.schema([("dim", pa.int32()), ("shard", pa.int32()), ("size", pa.int32()), ("entry", pa.int32()), ("vectors", pa.binary()), ("edges", pa.binary()), ("ids", pa.binary()), ("edge", pa.binary())])
+    row = {"dim": dim, "shard": shard, "size": len(vectors), "vectors": vectors.tobytes(), "edges": edges.astype(np.int32).tobytes(), "ids": np.concatenate(ids).astype(np.int64).tobytes(), "edge": count.tobytes()}
+    schema = pa.schema([("dim", pa.int32()), ("shard", pa.int32()), ("size", pa.int32()), ("vectors", pa.binary()), ("edges", pa.binary()), ("ids", pa.binary()), ("edge", pa.binary())])
     return pa.Table.from_pylist([row], schema)
 
 
@@ -184,32 +212,42 @@ def _block(table: pa.Table) -> pa.Table:
     return pa.table({"dim": pa.array([dim], pa.int32()), "block": pa.array([block], pa.int32()), "query_ids": pa.array([ids.tobytes()], pa.binary()), "queries": pa.array([vectors.tobytes()], pa.binary())})
 
 
+FOUND = "query_id long, row int, block int, vec_id long, score double"
+
+
 def _search(k: int, beam: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                dim = row["dim"]
-                vectors = np.frombuffer(row["vectors"], np.float64).reshape(-1, dim)
-                edges = np.frombuffer(row["edges"], np.int32).reshape(len(vectors), -1)
-                ids, edge = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["edge"], np.int64)
-                owner = np.frombuffer(row["query_ids"], np.int64)
-                queries = np.frombuffer(row["queries"], np.float64).reshape(-1, dim)
-                lifted = np.concatenate([queries, np.zeros((len(queries), 1))], 1).astype(np.float32)
-                found, _ = beam_search(lift(vectors), edges, row["entry"], lifted, beam)
-                q, c = np.nonzero(found >= 0)
-                node = found[q, c]
-                product = np.einsum("ij,ij->i", queries[q], vectors[node])
-                size = edge[node + 1] - edge[node]
-                inner = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-                one_q, one_s = np.repeat(q, size), np.repeat(product, size)
-                one_id = ids[np.repeat(edge[node], size) + inner]
-                other = one_id != owner[one_q]
-                one_q, one_s, one_id = one_q[other], one_s[other], one_id[other]
-                order = np.lexsort((one_id, -one_s, one_q))
-                one_q, one_s, one_id = one_q[order], one_s[order], one_id[order]
-                start = np.searchsorted(one_q, np.arange(len(queries)))
-                keep = np.arange(len(one_q)) - start[one_q] < k
-                yield pa.RecordBatch.from_arrays([pa.array(owner[one_q[keep]]), pa.array(one_q[keep].astype(np.int32)), pa.array(np.full(keep.sum(), row["block"], np.int32)), pa.array(one_id[keep]), pa.array(one_s[keep])], ["query_id", "row", "block", "vec_id", "score"])
+    """Of one shard and some blocks of queries: the k best of each query."""
+
+    def answer(shard: dict, vectors: np.ndarray, nodes: np.ndarray, block: dict) -> pa.RecordBatch:
+        edges = np.frombuffer(shard["edges"], np.int32).reshape(len(vectors), -1)
+        ids, edge = np.frombuffer(shard["ids"], np.int64), np.frombuffer(shard["edge"], np.int64)
+        owner = np.frombuffer(block["query_ids"], np.int64)
+        queries = np.frombuffer(block["queries"], np.float64).reshape(len(owner), -1)
+        found, _ = beam_search(nodes, edges, entries(len(vectors)), directions(queries), beam)
+        q, c = np.nonzero(found >= 0)
+        node = found[q, c]
+        product = np.einsum("ij,ij->i", queries[q], vectors[node])
+        size = edge[node + 1] - edge[node]
+        inner = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        one_q, one_s = np.repeat(q, size), np.repeat(product, size)
+        one_id = ids[np.repeat(edge[node], size) + inner]
+        other = one_id != owner[one_q]
+        one_q, one_s, one_id = one_q[other], one_s[other], one_id[other]
+        order = np.lexsort((one_id, -one_s, one_q))
+        one_q, one_s, one_id = one_q[order], one_s[order], one_id[order]
+        start = np.searchsorted(one_q, np.arange(len(queries)))
+        keep = np.arange(len(one_q)) - start[one_q] < k
+        columns = [pa.array(owner[one_q[keep]]), pa.array(one_q[keep].astype(np.int32)), pa.array(np.full(keep.sum(), block["block"], np.int32)), pa.array(one_id[keep]), pa.array(one_s[keep])]
+        return pa.RecordBatch.from_arrays(columns, ["query_id", "row", "block", "vec_id", "score"])
+
+    def run(shards: pa.Table, blocks: pa.Table) -> pa.Table:
+        schema = pa.schema([("query_id", pa.int64()), ("row", pa.int32()), ("block", pa.int32()), ("vec_id", pa.int64()), ("score", pa.float64())])
+        out = []
+        for shard in shards.to_pylist() if blocks.num_rows else []:
+            vectors = np.frombuffer(shard["vectors"], np.float64).reshape(-1, shard["dim"])
+            nodes = comparable(vectors)
+            out += [answer(shard, vectors, nodes, b) for b in blocks.to_pylist()]
+        return pa.Table.from_batches(out, schema)
 
     return run
 
@@ -220,12 +258,16 @@ def nearest(queries: DataFrame, index: DataFrame, k: int, vec_id: str = "vec_id"
     ship(spark)
     rows = _clean(queries, vec_id, vector).withColumn("dim", F.size("v"))
     count = max(1, math.ceil(rows.count() / block_rows))
+    parts = math.ceil(count / BLOCKS)
     rows = rows.withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), F.lit(count)).cast("int"))
     blocks = rows.select("dim", "block", "vec_id", "v").groupBy("dim", "block").applyInArrow(_block, "dim int, block int, query_ids binary, queries binary")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # each shard meets each block of queries of its length; one pair is the unit of work
-    met = index.join(stored(blocks, "ann-queries"), "dim").repartition(parts, "shard", "block")
-    found = met.mapInArrow(_search(max(k, 1), max(beam, k)), "query_id long, row int, block int, vec_id long, score double")
+    blocks = stored(blocks, "ann-queries").withColumn("part", F.pmod("block", F.lit(parts)))
+    # every block goes to every shard of its length, and every shard to every part of the blocks
+    shards = index.groupBy("dim").agg(F.max("shard").alias("last"))
+    asked = blocks.join(F.broadcast(shards), "dim").withColumn("shard", F.explode(F.sequence(F.lit(0), "last"))).drop("last")
+    copies = index.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    key = ["dim", "shard", "part"]
+    found = copies.groupBy(*key).cogroup(asked.groupBy(*key)).applyInArrow(_search(max(k, 1), max(beam, k)), FOUND)
     best = Window.partitionBy("query_id", "block", "row").orderBy(F.col("score").desc(), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
