@@ -19,22 +19,20 @@ def spare(name: str, columns: list[str]) -> str:
     return name
 
 
-def add_columns(df: DataFrame, text: str, fields: list[T.StructField], function: Callable[[pa.Array], list[pa.Array]]) -> DataFrame:
-    """df with `fields` computed from its `text` column, batch by batch and without a shuffle.
+def add_columns(df: DataFrame, text: str, fields: list[T.StructField], function: Callable[..., list[pa.Array]], also: tuple[str, ...] = ()) -> DataFrame:
+    """df with `fields` computed from its `text` column and the `also` columns, batch by batch and without a shuffle.
 
     Columns of df that have the name of a new field are replaced.
     """
     names = {f.name.lower() for f in fields}
-    kept = df.select(*[f"`{c}`" for c in df.columns if c.lower() not in names or c == text])
-    keep_text = text.lower() not in names
-    schema = T.StructType([f for f in kept.schema.fields if keep_text or f.name != text] + fields)
+    kept = df.select(*[f"`{c}`" for c in df.columns if c.lower() not in names or c == text or c in also])
+    schema = T.StructType([f for f in kept.schema.fields if f.name.lower() not in names] + fields)
     ship(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            position = batch.schema.get_field_index(text)
-            new = function(batch.column(position))
-            old = [(n, c) for n, c in zip(batch.schema.names, batch.columns, strict=True) if keep_text or n != text]
+            new = function(*[batch.column(batch.schema.get_field_index(c)) for c in (text, *also)])
+            old = [(n, c) for n, c in zip(batch.schema.names, batch.columns, strict=True) if n.lower() not in names]
             yield pa.RecordBatch.from_arrays([c for _, c in old] + new, [n for n, _ in old] + [f.name for f in fields])
 
     return kept.mapInArrow(run, schema)

@@ -1,41 +1,46 @@
 """Benchmark decontamination with suffix arrays of the training texts.
 
-Each batch of documents is a shard: its words (as 64-bit hashes) get a suffix array, sorted by the first `WINDOW` words.
-Every suffix of every benchmark item is searched in it by bisection; the suffixes of the shard that begin with the
-item's window are the places where it occurs, and each is extended to the longest verbatim match. A shard never leaves
-its task, so there is no shuffle. The benchmark reaches the tasks in blocks of at most `BLOCK_BYTES` of text; a larger
-benchmark is searched block after block in the same tasks, so nothing broadcast grows beyond a block.
+Each batch of documents is a shard: its words (as 64-bit hashes) get a suffix array, ordered by the first `WINDOW` words and
+then, by doubling, as far as suffixes agree. Every suffix of every benchmark item is searched in it by bisection; the suffixes
+of the shard that begin with the item's window are the places where it occurs, and each is extended to the longest verbatim
+match. A shard never leaves its task, so there is no shuffle. The benchmark reaches the tasks in blocks of at most
+`BLOCK_BYTES` of text. A larger benchmark takes one pass over the documents for each block, with what was found so far
+written between passes, so that driver, executors and tasks hold one block at a time.
 
 Defined results: null and wordless texts have no words and no hits; wordless items take no part; an item shorter than a
 window must occur whole; equal items count under each of their ids; repeated item ids count once; an item without id
-hits words and counts as an item named ''; an empty benchmark leaves every document clean.
+hits words and counts as an item named ''; an empty benchmark leaves every document clean. find_contamination replaces columns
+of `docs` with the names of the report; decontaminate keeps them.
 """
 
 from __future__ import annotations
 
-import hashlib
 import math
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from harborlight.llm import _text
-from harborlight.llm._arrow import add_columns
+from harborlight.llm._arrow import add_columns, spare
+from harborlight.session import stored
 
 WINDOW = 10
 BLOCK_BYTES = 8 << 20
 #: Matches of short items expanded at once, which bounds memory.
 EXPAND = 1 << 20
 
-REPORT = [
+#: What is known of a document: its words, those hit (and where, as pairs of start and end), items, longest match.
+FOUND = [
     T.StructField("n_words", T.LongType()),
     T.StructField("n_hit", T.LongType()),
-    T.StructField("n_items", T.LongType()),
-    T.StructField("items_sha256", T.StringType()),
-    T.StructField("contaminated", T.BooleanType()),
+    T.StructField("items", T.ArrayType(T.StringType())),
+    T.StructField("hits", T.BinaryType()),
     T.StructField("longest_match", T.LongType()),
     T.StructField("longest_at", T.LongType()),
 ]
@@ -64,12 +69,15 @@ def _pair(words: np.ndarray, at: np.ndarray, level: int) -> np.ndarray:
 
 
 def suffix_array(words: np.ndarray, n: int, depth: int) -> np.ndarray:
-    """Positions 0..n-1 ordered by the next `depth` words (by the upper halves of their hashes); `words` is padded."""
+    """Positions 0..n-1 ordered by all words from there on (by the upper halves of their hashes).
+
+    The first `depth` words are compared by pairs, more of them by the ranks of what follows; `words` is padded.
+    """
     order = np.argsort(_pair(words, np.arange(n), 0), kind="stable")
     key = _pair(words, order, 0)
     new = np.ones(n, bool)
     new[1:] = key[1:] != key[:-1]
-    for level in range(1, math.ceil(depth / 2)):
+    for level in range(1, math.ceil(depth / 2)):  # an odd depth is ordered by one word more
         group = np.cumsum(new) - 1
         tied = ~new
         tied[:-1] |= ~new[1:]
@@ -83,7 +91,22 @@ def suffix_array(words: np.ndarray, n: int, depth: int) -> np.ndarray:
         fresh = np.ones(len(where), bool)
         fresh[1:] = (key[1:] != key[:-1]) | (group[where][1:] != group[where][:-1])
         new[where] |= fresh
-    return order
+    while True:
+        tied = ~new
+        tied[:-1] |= ~new[1:]
+        where = np.flatnonzero(tied)
+        if not len(where):
+            return order
+        # equal ones share the rank of their first, which is right for `depth` words and then for twice as many
+        start = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+        rank = np.full(n + 1, -1, np.int32)
+        rank[order] = start
+        key, group = rank[np.minimum(order[where] + depth, n)], start[where]
+        inner = np.argsort(group.astype(np.int64) * (n + 1) + key + 1, kind="stable")
+        order[where] = order[where][inner]
+        key = key[inner]
+        new[where[1:]] |= (key[1:] != key[:-1]) | (group[1:] != group[:-1])
+        depth *= 2
 
 
 def search(words: np.ndarray, order: np.ndarray, queries: Queries, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -140,42 +163,53 @@ def _match(found: _text.Words, queries: Queries, window: int):
         a = b
 
 
-def search_texts(column: pa.Array, blocks: list[tuple[list[str], list[str]]], window: int = WINDOW) -> list[pa.Array]:
-    """The report columns for each text of a batch; blocks: (item ids, item texts), by broadcast."""
-    prepared = [(ids, Queries(texts, window)) for ids, texts in blocks if texts]
-    out: list[list] = [[] for _ in REPORT]
+def search_texts(column: pa.Array, ids: list[str], queries: Queries | None, window: int = WINDOW, before: tuple[pa.Array, ...] = ()) -> list[pa.Array]:
+    """FOUND for each text of a batch after one block, given what was found `before` (items, hits, longest_match, longest_at)."""
+    known = [b.to_pylist() for b in before]
+    out: list[list] = [[] for _ in FOUND]
     for chunk in _text.chunks(column):
         found = _text.words(chunk, _text.ALNUM, _text.CODES_LOWER)
         texts, n = chunk.hi - chunk.lo, len(found.hash)
         edge = np.zeros(n + 1, np.int64)
         items: list[set[str]] = [set() for _ in range(texts)]
         longest, longest_at = np.zeros(texts, np.int64), np.full(texts, -1, np.int64)
+        for i in range(texts if known else 0):
+            items[i] |= set(known[0][chunk.lo + i])
+            longest[i], longest_at[i] = known[2][chunk.lo + i], known[3][chunk.lo + i]
+            spans = np.frombuffer(known[1][chunk.lo + i] or b"", np.int64).reshape(-1, 2) + found.first[i]
+            edge[spans[:, 0]] += 1
+            edge[spans[:, 1]] -= 1
         doc = found.doc
-        for ids, queries in prepared if n else []:
-            for query, place, length in _match(found, queries, window):
-                size = queries.length[query]
-                edge += np.bincount(place, minlength=n + 1) - np.bincount(place + size, minlength=n + 1)
-                owner = doc[place]
-                for i, j in np.unique(np.stack([owner, queries.item[query]], 1), axis=0):
-                    items[i].add(ids[j])
-                rank = np.lexsort((place, -length, owner))
-                first = rank[np.unique(owner[rank], return_index=True)[1]] if len(rank) else rank
-                better = length[first] > longest[owner[first]]
-                first = first[better]
-                longest[owner[first]] = length[first]
-                longest_at[owner[first]] = (place - found.first[owner])[first]
-        hit = _text.per_text(np.cumsum(edge)[:n] > 0, found.first)
+        for query, place, length in _match(found, queries, window) if n and queries else []:
+            size = queries.length[query]
+            edge += np.bincount(place, minlength=n + 1) - np.bincount(place + size, minlength=n + 1)
+            owner = doc[place]
+            for i, j in np.unique(np.stack([owner, queries.item[query]], 1), axis=0):
+                items[i].add(ids[j])
+            rank = np.lexsort((place, -length, owner))
+            first = rank[np.unique(owner[rank], return_index=True)[1]] if len(rank) else rank
+            at = (place - found.first[owner])[first]
+            better = (length[first] > longest[owner[first]]) | ((length[first] == longest[owner[first]]) & (at < longest_at[owner[first]]))
+            longest[owner[first[better]]], longest_at[owner[first[better]]] = length[first[better]], at[better]
+        hit = np.cumsum(edge)[:n] > 0
         out[0].append(np.diff(found.first))
-        out[1].append(hit)
-        out[2].append([len(x) for x in items])
-        out[3].append([hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in items])
-        out[4].append(hit > 0)
-        out[5].append(longest)
-        out[6].append(longest_at)
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.int64(), pa.int64()]
+        out[1].append(_text.per_text(hit, found.first))
+        out[2].append([sorted(x) for x in items])
+        out[3].append([_spans(hit[a:b]) for a, b in zip(found.first[:-1], found.first[1:], strict=True)])
+        out[4].append(longest)
+        out[5].append(longest_at)
+    kinds = [pa.int64(), pa.int64(), pa.list_(pa.string()), pa.binary(), pa.int64(), pa.int64()]
     return [pa.array([v for part in parts for v in part], kind) for parts, kind in zip(out, kinds, strict=True)]
 
 
+def _spans(hit: np.ndarray) -> bytes | None:
+    """Start and end of each run of hit words."""
+    if not hit.any():
+        return None
+    turn = np.flatnonzero(np.diff(hit.astype(np.int8), prepend=0, append=0))
+    return turn.astype(np.int64).tobytes()
+
+
 def benchmark_blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> list[DataFrame]:
     """The benchmark as DataFrames of at most about block_bytes of text each (an item is never split)."""
     items = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item_id"), F.col(text).alias("text")).filter("text is not null").distinct()
@@ -184,17 +218,50 @@ def benchmark_blocks(benchmark: DataFrame, item_id: str = "item_id", text: str =
     return [items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == i) for i in range(count)]
 
 
+def _search(docs: DataFrame, benchmark: DataFrame, text: str, window: int, names: list[str]) -> DataFrame:
+    """docs with FOUND under the given names; one pass for each block of the benchmark."""
+    fields = [T.StructField(n, f.dataType) for n, f in zip(names, FOUND, strict=True)]
+    blocks = benchmark_blocks(benchmark)
+    for number, block in enumerate(blocks):
+        rows = sorted(block.collect())  # at most a block
+        held = docs.sparkSession.sparkContext.broadcast(([r[0] for r in rows], [r[1] for r in rows]))
+        docs = add_columns(docs, text, fields, _pass(held, window), tuple(names[2:]) if number else ())
+        if number + 1 < len(blocks):
+            docs = stored(docs, "benchmark-pass")
+            held.unpersist()
+    return docs
+
+
+def _pass(held: Broadcast, window: int) -> Callable[..., list[pa.Array]]:
+    prepared: list[tuple[list[str], Queries | None]] = []
+
+    def run(column: pa.Array, *before: pa.Array) -> list[pa.Array]:
+        if not prepared:  # once per task
+            ids, texts = held.value
+            prepared.append((ids, Queries(texts, window) if texts else None))
+        return search_texts(column, *prepared[0], window, before)
+
+    return run
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:
-    """docs with the report columns; the benchmark's blocks are the only thing sent to all tasks."""
-    spark = docs.sparkSession
-    held = []
-    for block in benchmark_blocks(benchmark):
-        rows = sorted(block.collect())
-        held.append(spark.sparkContext.broadcast(([r[0] for r in rows], [r[1] for r in rows])))
-    return add_columns(docs, text, REPORT, lambda column: search_texts(column, [b.value for b in held], window))
+    """docs with n_words, n_hit, n_items, items_sha256, contaminated, longest_match, longest_at (word number, -1 without a match)."""
+    names = [spare(f"_{f.name}", docs.columns) for f in FOUND]
+    words, hit, items, _, longest, at = (F.col(n) for n in names)
+    report = {
+        "n_words": words,
+        "n_hit": hit,
+        "n_items": F.size(items).cast("long"),
+        "items_sha256": F.sha2(F.array_join(items, ","), 256),
+        "contaminated": hit > 0,
+        "longest_match": longest,
+        "longest_at": at,
+    }
+    own = [f"`{c}`" for c in docs.columns if c.lower() not in report]
+    return _search(docs, benchmark, text, window, names).select(*own, *[c.alias(n) for n, c in report.items()])
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:
     """The documents of which no word lies in a benchmark window, with their own columns."""
-    report = {f.name for f in REPORT}
-    return find_contamination(docs, benchmark, text, window).filter(~F.col("contaminated")).select(*[c for c in docs.columns if c not in report])
+    names = [spare(f"_{f.name}", docs.columns) for f in FOUND]
+    return _search(docs, benchmark, text, window, names).filter(F.col(names[1]) == 0).select(*[f"`{c}`" for c in docs.columns])
