@@ -3,7 +3,8 @@
 A map task packs, for each chunk of texts, the occurrences of each hash bucket into one binary row: the hash (4 bytes
 where later steps verify, else 8) and a position, delta-coded to about one byte. A reducer sees all occurrences of its hashes and reports the positions
 that are shared; the reports meet their chunk's table (one entry per text) again by chunk id. All groups are bounded:
-a bucket by the number of buckets, a chunk by its size, and a hot hash costs a row of 6 bytes per occurrence.
+a bucket by the number of buckets, a chunk by its size. Occurrences of one hash in a chunk are combined: the first one is
+sent, the table keeps the others, so a hot hash costs a reducer 6 bytes per chunk, however often it occurs.
 """
 
 from __future__ import annotations
@@ -29,15 +30,41 @@ def _unpack_positions(data: memoryview, n: int) -> np.ndarray:
     return np.cumsum(gaps)
 
 
+def combine(hashes: np.ndarray, references: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
+    """One entry for each hash of a chunk: hash, flags (1: a reference is among its occurrences, 2: there are several), first place; and the others, packed for `expand`."""
+    order = np.argsort(hashes, kind="stable")
+    new = np.ones(len(order), bool)
+    new[1:] = hashes[order[1:]] != hashes[order[:-1]]
+    run = np.cumsum(new) - 1
+    first = order[new]
+    size = np.bincount(run, minlength=len(first))
+    flags = (np.bincount(run, weights=references[order], minlength=len(first)) > 0) + 2 * (size > 1)
+    other = order[~new]
+    lead = at[first[run[~new]]]
+    by_place = np.argsort(other)
+    rest = np.uint32(len(other)).tobytes() + lead[by_place].astype(np.uint32).tobytes() + _pack_positions(at[other[by_place]])
+    back = np.argsort(first)
+    return hashes[first[back]], flags[back], at[first[back]], rest
+
+
+def expand(rest: memoryview, hits: np.ndarray) -> np.ndarray:
+    """The hits (first places) with the other places of their hashes, in order."""
+    n = int(np.frombuffer(rest, np.uint32, 1)[0])
+    if not n or not len(hits):
+        return hits
+    lead = np.frombuffer(rest, np.uint32, n, 4)
+    return np.union1d(hits, _unpack_positions(rest[4 + 4 * n :], n)[np.isin(lead, hits)])
+
+
 def pack(hashes: np.ndarray, flags: np.ndarray, at: np.ndarray, buckets: int, wide: bool = False):
-    """(bucket, data) for the occurrences `at` (ascending) of 64-bit hashes; `flags` marks reference entries. wide keeps 63 bits of the hash, else 31."""
+    """(bucket, data) for the entries `at` (ascending) of 64-bit hashes, with two flag bits each. wide keeps 62 bits of the hash, else 30."""
     if not len(hashes):
         return
     bucket = (hashes % np.uint64(buckets)).astype(np.int32)
     order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
     kind = np.uint64 if wide else np.uint32
     short = (hashes if wide else hashes >> np.uint64(32)).astype(kind)
-    short = short >> kind(1) << kind(1) | flags.astype(kind)
+    short = short >> kind(2) << kind(2) | flags.astype(kind)
     short, place = short[order], at[order]
     edges = np.flatnonzero(np.diff(bucket[order], prepend=-1))
     for a, b in zip(edges, [*edges[1:], len(order)], strict=True):
@@ -60,14 +87,14 @@ def shared(need_reference: bool, wide: bool = False):
         if parts:
             hashes = np.concatenate([p[1] for p in parts])
             order = np.argsort(hashes, kind="stable")
-            key = hashes[order] >> hashes.dtype.type(1)
+            key = hashes[order] >> hashes.dtype.type(2)
             new = np.ones(len(key), bool)
             new[1:] = key[1:] != key[:-1]
             run_of = np.cumsum(new) - 1
-            size = np.bincount(run_of)
-            good = size >= 2
+            flags = hashes[order] & hashes.dtype.type(3)
+            good = np.bincount(run_of, weights=1 + (flags >> hashes.dtype.type(1))) >= 2
             if need_reference:
-                good &= np.bincount(run_of, weights=hashes[order] & hashes.dtype.type(1)) > 0
+                good &= np.bincount(run_of, weights=flags & hashes.dtype.type(1)) > 0
             hit = np.zeros(len(key), bool)
             hit[order] = good[run_of]
             first = 0
@@ -100,7 +127,7 @@ def counted(table: pa.Table) -> pa.Table:
 
 def _run_sizes(hashes: np.ndarray) -> np.ndarray:
     """How often each hash occurs."""
-    _, inverse, count = np.unique(hashes >> hashes.dtype.type(1), return_inverse=True, return_counts=True)
+    _, inverse, count = np.unique(hashes >> hashes.dtype.type(2), return_inverse=True, return_counts=True)
     return count[inverse]
 
 

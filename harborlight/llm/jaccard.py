@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 
 from harborlight.llm import _occurrences as occ
 from harborlight.llm import _text
+from harborlight.llm._arrow import spare
+from harborlight.llm._keys import KEY, keyed, row_key
 from harborlight.session import release, ship, stored
 
 SPREAD = 4
@@ -38,6 +40,8 @@ SPREAD = 4
 LEADERS = 3
 #: Members of a group in one row of the matrix; larger groups have several rows.
 GROUP_ROWS = 64
+#: Questions to a group that meet it in one task, and the groups with more that are broadcast.
+SALT_ROWS, BROADCAST_GROUPS = 64, 50_000
 
 
 def shingle_sets(chunk: _text.Chunk, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -79,10 +83,10 @@ def _set_keys(values: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nda
 def _sieve_map(k: int, percent: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = batch.column(0).to_numpy(zero_copy_only=False)
-            for chunk in _text.chunks(batch.column(1)):
+            keys = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(2)]).astype(np.int64)
+            for chunk in _text.chunks(batch.column(2)):
                 values, first = shingle_sets(chunk, k)
-                mine = keys[chunk.lo : chunk.hi].astype(np.int64)
+                mine = keys[:, chunk.lo : chunk.hi]
                 size = np.diff(first)
                 a, b = _set_keys(values, first)
                 name = struct.unpack("<q", hashlib.blake2b(mine.tobytes() + str(chunk.lo).encode(), digest_size=8).digest())[0]
@@ -93,9 +97,10 @@ def _sieve_map(k: int, percent: int, buckets: int):
                 prefix = size - needed(size, percent) + _probes(size, percent)
                 use = np.flatnonzero((np.arange(len(values)) - first[owner] < prefix[owner]) & speaks[owner])
                 need = np.where(size > 0, _probes(needed(size, percent), percent), 1 << 30)
-                table = np.uint32(len(mine)).tobytes() + mine.tobytes() + a.tobytes() + b.tobytes() + size.astype(np.uint32).tobytes() + need.astype(np.uint32).tobytes()
+                *entries, rest = occ.combine(values[use], np.zeros(len(use), bool), use - first[owner[use]] + _slots(prefix)[owner[use]])
+                table = np.uint32(len(size)).tobytes() + mine.tobytes() + a.tobytes() + b.tobytes() + size.astype(np.uint32).tobytes() + need.astype(np.uint32).tobytes() + rest
                 rows = [(name % buckets, name, occ.TABLE, table)]
-                rows += [(bucket, name, occ.OCCURRENCES, data) for bucket, data in occ.pack(values[use], np.zeros(len(use), bool), use - first[owner[use]] + _slots(prefix)[owner[use]], buckets)]
+                rows += [(bucket, name, occ.OCCURRENCES, data) for bucket, data in occ.pack(*entries, buckets)]
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int32()), pa.array([r[3] for r in rows], pa.binary())], ["bucket", "chunk", "kind", "data"])
 
     return run
@@ -111,22 +116,24 @@ def _slots(prefix: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(prefix)])[:-1]
 
 
-SIEVED = "_key long, a long, b long, n long, stays boolean"
+SIEVED = "_key long, _more long, a long, b long, n long, stays boolean"
 
 
 def _sieve_resolve(percent: int):
     def run(table: pa.Table) -> pa.Table:
-        tables, hits = occ.positions(table)
+        tables, reported = occ.positions(table)
         out = []
         for data in tables:
             n = int(np.frombuffer(data, np.uint32, 1)[0])
-            keys, a, b = (np.frombuffer(data, np.int64, n, 4 + 8 * n * j) for j in range(3))
-            size, need = (np.frombuffer(data, np.uint32, n, 4 + 24 * n + 4 * n * j).astype(np.int64) for j in range(2))
+            keys, more, a, b = (np.frombuffer(data, np.int64, n, 4 + 8 * n * j) for j in range(4))
+            size, need = (np.frombuffer(data, np.uint32, n, 4 + 32 * n + 4 * n * j).astype(np.int64) for j in range(2))
+            hits = occ.expand(memoryview(data)[4 + 40 * n :], reported)
             prefix = size - needed(size, percent) + _probes(size, percent)
             edges = np.concatenate([[0], np.cumsum(prefix)])
             count = np.diff(np.searchsorted(hits, edges))
-            out.append(pa.table({"_key": keys, "a": a, "b": b, "n": size, "stays": count >= need}))
-        return pa.concat_tables(out) if out else pa.table({"_key": pa.array([], pa.int64()), "a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "n": pa.array([], pa.int64()), "stays": pa.array([], pa.bool_())})
+            out.append(pa.table({"_key": keys, "_more": more, "a": a, "b": b, "n": size, "stays": count >= need}))
+        kinds = pa.schema([*[(c, pa.int64()) for c in (*KEY, "a", "b", "n")], ("stays", pa.bool_())])
+        return pa.concat_tables(out) if out else kinds.empty_table()
 
     return run
 
@@ -263,26 +270,42 @@ def _open_groups(posts: DataFrame, sets: DataFrame, labels: DataFrame, percent:
     asks = asks.filter((F.col("members") < F.col("group_members")) | ((F.col("members") == F.col("group_members")) & (F.col("label") < F.col("group"))))
     asks = asks.filter(_fits("n", "s", "least", "most", percent))
     asks = stored(asks.select("id", "n", "s", "label", "group").distinct(), "asks")
+    asks, salts = salted(asks)
     wanted = asks.select(F.col("group").alias("label")).distinct()
     united = sets.join(labels, F.col("id") == F.col("node")).join(wanted, "label")
     unions = united.join(members, "label").withColumn("part", _part("id"))
     unions = unions.select("label", "part", F.explode("tokens").alias("t")).distinct().groupBy("label", "part").agg(F.collect_list("t").alias("union"))
     queries = sets.select("id", "tokens")
-    bounded = asks.join(unions.withColumnRenamed("label", "group"), "group").join(queries, "id")
+    unions = unions.withColumnRenamed("label", "group").join(salts, "group")
+    bounded = asks.join(unions, ["group", "salt"]).join(queries, "id")
     qualifies = F.size(F.array_intersect("tokens", "union")) >= F.ceil(F.col("n") * percent / 100)
-    opened = stored(bounded.filter(qualifies).select("id", "n", "s", "label", "group", "part"), "opened")
+    opened = stored(bounded.filter(qualifies).select("id", "n", "s", "label", "group", "salt", "part"), "opened")
     # one row per opened part with its sets; any link of the query to one of them joins the two groups
     parts = united.join(members, "label").withColumn("part", _part("id")).select(F.col("label").alias("group"), "part", F.struct("n", "s", "tokens").alias("m"))
-    parts = parts.join(opened.select("group", "part").distinct(), ["group", "part"]).groupBy("group", "part").agg(F.collect_list("m").alias("inside"))
+    wanted = opened.groupBy("group", "part").agg(F.collect_set("salt").alias("salts"))
+    parts = parts.join(wanted.drop("salts"), ["group", "part"]).groupBy("group", "part").agg(F.collect_list("m").alias("inside"))
+    parts = parts.join(wanted, ["group", "part"]).select("group", "part", "inside", F.explode("salts").alias("salt"))
 
     def links(m: Column) -> Column:
         can = F.least("s", m["s"]) * (100 + percent) >= (F.col("n") + m["n"]) * percent
         return can & _linked(F.size(F.array_intersect("tokens", m["tokens"])).cast("long"), F.col("n"), m["n"], percent)
 
-    found = opened.join(queries, "id").join(parts, ["group", "part"]).filter(F.exists("inside", links))
+    found = opened.join(queries, "id").join(parts, ["group", "part", "salt"]).filter(F.exists("inside", links))
     return stored(found.select(F.col("label").alias("u"), F.col("group").alias("v")).distinct(), "edges")
 
 
+def salted(asks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """asks with a salt, so that about SALT_ROWS of a group's asks share one, and the salts of each group."""
+    count = stored(asks.groupBy("group").agg(F.ceil(F.count("*") / SALT_ROWS).alias("count")), "ask-counts")
+    several = count.filter("count > 1")
+    # that many groups at most have several salts; where they are too many to be sent to all tasks, they are shuffled
+    if several.count() <= BROADCAST_GROUPS:
+        several = F.broadcast(several)
+    salt = F.pmod(F.xxhash64("id", F.lit("salt")), F.coalesce("count", F.lit(1)))
+    asks = asks.join(several, "group", "left").withColumn("salt", salt).drop("count")
+    return asks, count.select("group", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1)).alias("salt"))
+
+
 def _part(id_: str) -> Column:
     """Number of the matrix row of a set in its group of `members` sets: one row for about GROUP_ROWS."""
     return (F.pmod(F.xxhash64(id_), F.lit(1 << 40)) % F.ceil(F.col("members") / GROUP_ROWS)).cast("long")
@@ -293,31 +316,27 @@ def _classes(docs: DataFrame, doc_id: str, text: str, shingle: int, percent: int
     spark = docs.sparkSession
     ship(spark)
     buckets = SPREAD * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keyed = docs.select(F.col(doc_id).alias("doc_id"), row_key(doc_id, text).alias("_key"), F.col(text).cast("string").alias("_text"))
-    packed = keyed.select("_key", "_text").mapInArrow(_sieve_map(shingle, percent, buckets), occ.PACKED)
+    rows = keyed(docs, doc_id, text)
+    packed = rows.select(*KEY, "_text").mapInArrow(_sieve_map(shingle, percent, buckets), occ.PACKED)
     reported = packed.groupBy("bucket").applyInArrow(occ.shared(False), occ.REPORTED)
     sieved = reported.groupBy("chunk").applyInArrow(_sieve_resolve(percent), SIEVED)
     # equal rows of a chunk have one speaker
-    sieved = stored(sieved.groupBy("_key").agg(F.first("a").alias("a"), F.first("b").alias("b"), F.first("n").alias("n"), F.max("stays").alias("stays")), "sieved")
+    sieved = stored(sieved.groupBy(*KEY).agg(F.first("a").alias("a"), F.first("b").alias("b"), F.first("n").alias("n"), F.max("stays").alias("stays")), "sieved")
     release(spark)
     # of each class of equal sets one text is read again
-    chosen = sieved.filter("stays").groupBy("a", "b", "n").agg(F.min("_key").alias("_key")).select("_key")
-    texts = keyed.select("_key", "_text").join(chosen, "_key", "left_semi").select("_text")
+    chosen = sieved.filter("stays").groupBy("a", "b", "n").agg(F.min(F.struct(*KEY)).alias("k")).select("k.*")
+    texts = rows.select(*KEY, "_text").join(chosen, KEY, "left_semi").select("_text")
     sets = texts.mapInArrow(_sets(shingle), "a long, b long, n long, tokens array<long>").withColumn("id", F.xxhash64("a", "b", "n"))
     sets = stored(sets.dropDuplicates(["id"]).select("id", "n", "tokens"), "sets")
     release(spark)
     labels = group_components(sets, percent)
-    rows = keyed.select("doc_id", "_key").join(sieved.select("_key", "a", "b", "n"), "_key", "left").withColumn("node", F.xxhash64("a", "b", "n"))
-    return rows.join(labels, "node", "left").select("doc_id", "_key", "n", F.coalesce("label", "node").alias("class"))
-
-
-def row_key(doc_id: str, text: str) -> Column:
-    return F.xxhash64(F.col(doc_id).cast("string"), F.col(text))
+    found = rows.select("doc_id", *KEY).join(sieved.select(*KEY, "a", "b", "n"), KEY, "left").withColumn("node", F.xxhash64("a", "b", "n"))
+    return found.join(labels, "node", "left").select("doc_id", *KEY, "n", F.coalesce("label", "node").alias("class"))
 
 
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
     """Per row of docs: doc_id, n_shingles, component_id (least doc_id reachable by links of Jaccard >= percent / 100)."""
-    rows = stored(_classes(docs, doc_id, text, shingle, percent).drop("_key"), "classes")
+    rows = stored(_classes(docs, doc_id, text, shingle, percent).drop(*KEY), "classes")
     alone = F.col("n") == 0
     # written, so that the join with a class of very many rows can be split
     least = stored(rows.filter(~alone).groupBy("class").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("rows")).filter("rows > 1").drop("rows"), "least-ids")
@@ -326,14 +345,26 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each component: that with the least doc_id (rows without one last). Texts without words all stay."""
-    rows = stored(_classes(docs, doc_id, text, shingle, percent).filter("n > 0"), "classes")
-    first = rows.groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "_key")).alias("first"), F.count("*").alias("rows"))
-    gone = rows.join(first.filter("rows > 1"), "class").filter(F.col("_key") != F.col("first._key")).select("_key").distinct()
-    keyed = docs.withColumn("_key", row_key(doc_id, text))
-    kept = keyed.join(gone, "_key", "left_anti")
-    repeated = rows.groupBy("_key").count().filter("count > 1").select("_key")
+    """One document of each component: that with the least doc_id (rows without one last). Texts without words all stay.
+
+    The rows that stay are named by key, one per class, so rows of a class never meet in one task.
+    """
+    rows = _classes(docs, doc_id, text, shingle, percent)
+    rows = stored(rows.select(F.col("doc_id").isNull().alias("x"), "doc_id", *KEY, "n", "class"), "classes")
+    worded = rows.filter("n > 0")
+    first = worded.groupBy("class").agg(F.min(F.struct("x", "doc_id", *KEY)).alias("first")).select("first._key", "first._more")
+    gone = worded.select(*KEY).join(first, KEY, "left_anti").distinct()
+    names = [spare(c, docs.columns) for c in KEY]
+    named = docs.withColumns(dict(zip(names, row_key(F.col(doc_id), F.col(text)), strict=True)))
+
+    def match(df: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+        keys = keys.toDF("_other_key", "_other_more")
+        return df.join(keys, (F.col(names[0]) == F.col("_other_key")) & (F.col(names[1]) == F.col("_other_more")), how)
+
+    kept = match(named, gone, "left_anti")
+    # of equal rows one stays; only they are brought together
+    repeated = worded.groupBy(*KEY).count().filter("count > 1").select(*KEY)
     if repeated.isEmpty():
         return kept.select(docs.columns)
-    single = kept.join(repeated, "_key", "left_semi").dropDuplicates(["_key"])
-    return kept.join(repeated, "_key", "left_anti").unionByName(single).select(docs.columns)
+    single = match(kept, repeated, "left_semi").dropDuplicates(names)
+    return match(kept, repeated, "left_anti").unionByName(single).select(docs.columns)
