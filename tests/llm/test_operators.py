@@ -311,6 +311,31 @@ def test_nearest_recall_ties_and_bad_rows(spark):
     assert hot == [i for i in range(100, 160) if i != 120][:20] or float(x[120] @ x[hot[0]]) > float(x[120] @ x[100])
 
 
+@pytest.mark.parametrize("kind", ["clusters", "one length", "lengths differ"])
+def test_recall_of_several_shards(spark, kind):
+    """Four shards, many blocks of queries and columns of clashing names; vectors without any structure are the hard case."""
+    rng = np.random.default_rng(7)
+    n, d = 6000, 32
+    v = rng.normal(size=(n, d))
+    if kind == "clusters":
+        v = rng.normal(size=(50, d))[rng.integers(0, 50, n)] + 0.4 * v
+    if kind == "one length":
+        v /= np.sqrt((v**2).sum(1, keepdims=True))
+    if kind == "lengths differ":
+        v *= rng.lognormal(0, 0.4, (n, 1))
+    df = spark.createDataFrame([(i, x.tolist(), 0) for i, x in enumerate(v)], "vec_id long, embedding array<double>, dim int").withColumns({"v": F.lit("own"), "shard": F.lit(1)})
+    index = ann.build_index(df, 20, shard_rows=1500)
+    assert index.count() == 4
+    got = ann.nearest(df.filter("vec_id % 20 = 0"), index, 20, block_rows=7).toPandas()
+    right = 0
+    for q, own in got.groupby("query_id"):
+        product = v @ v[q]
+        product[q] = -np.inf
+        right += len(set(own.vec_id) & set(np.argsort(-product)[:20].tolist()))
+        assert len(own) == 20 and own.score.to_numpy() == pytest.approx(product[own.vec_id])
+    assert right / (20 * 300) >= 0.95, right / 6000
+
+
 def test_nearest_with_few_or_none(spark):
     few = spark.createDataFrame([(0, [1.0, 0.0], 0), (1, [0.5, 0.5], 0), (2, [-1.0, 0.0], 0)], VECTORS)
     got = ann.nearest(few.filter("vec_id = 0"), ann.build_index(few, 20), 20).orderBy("rank").collect()

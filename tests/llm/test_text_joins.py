@@ -59,6 +59,22 @@ def brute_hits(text, found):
     return len(w), len(hit), len(items), hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
 
 
+def brute_longest(text, items, length=10):
+    """Words of the longest verbatim match that begins with a window, and where the first of them lies."""
+    w, best = ALNUM.findall(lower(text)), (0, -1)
+    for _, t in items:
+        v = ALNUM.findall(lower(t))
+        for k in range(max(1, len(v) - length + 1)) if v else []:
+            least = min(length, len(v))
+            for i in range(len(w) - least + 1):
+                if w[i : i + least] == v[k : k + least]:
+                    n = least
+                    while i + n < len(w) and k + n < len(v) and w[i + n] == v[k + n]:
+                        n += 1
+                    best = max(best, (n, -i if n else -1), key=lambda x: (x[0], x[1])) if best[0] else (n, -i)
+    return (best[0], -best[1]) if best[0] else (0, -1)
+
+
 @pytest.mark.parametrize("block_bytes", [1 << 23, 300])
 def test_decontamination(spark, block_bytes, monkeypatch):
     rows = corpus()
@@ -77,8 +93,10 @@ def test_decontamination(spark, block_bytes, monkeypatch):
         assert (r.n_words, r.n_hit, r.n_items, r.items_sha256) == brute_hits(r.text, found), r.doc_id
         assert r.contaminated == (r.n_hit > 0)
     assert any(r.longest_match > 10 for r in got)
-    clean = decontamination.decontaminate(docs.drop("n_hit"), benchmark)
-    assert clean.columns == ["doc_id", "text", "lang", "source", "n_chars"] and clean.count() == sum(r.n_hit == 0 for r in got)
+    clean = decontamination.decontaminate(docs, benchmark)
+    assert clean.columns == docs.columns and {r.n_hit for r in clean.collect()} == {"clash"} and clean.count() == sum(r.n_hit == 0 for r in got)
+    for r in got:
+        assert (r.longest_match, r.longest_at) == brute_longest(r.text, items)
 
 
 def test_decontamination_of_nothing(spark):
@@ -91,11 +109,13 @@ def test_suffix_array_order():
     import numpy as np
 
     rng = np.random.default_rng(0)
-    words = rng.integers(0, 4, 300).astype(np.uint64) << np.uint64(40)
-    padded = np.concatenate([words, np.zeros(12, np.uint64)])
-    order = decontamination.suffix_array(padded, 300, 10)
-    keys = [tuple(padded[i : i + 10] >> np.uint64(32)) for i in order]
-    assert keys == sorted(keys) and sorted(order) == list(range(300))
+    for size, depth in ((300, 10), (300, 2), (1, 10), (257, 4)):
+        for words in (rng.integers(1, 4, size), np.tile(rng.integers(1, 4, 40), 8)[:size], np.ones(size, int)):
+            words = words.astype(np.uint64) << np.uint64(40)
+            padded = np.concatenate([words, np.zeros(depth + 2, np.uint64)])
+            order = decontamination.suffix_array(padded, size, depth)
+            keys = [tuple(words[i:]) for i in order]
+            assert keys == sorted(keys) and sorted(order) == list(range(size))
 
 
 def brute_repeats(rows, length=35):
@@ -172,6 +192,61 @@ def test_jaccard_components(spark, k, percent, seed):
     assert sorted([(r.doc_id, r.n_shingles, r.component_id) for r in got], key=str) == brute_components(rows, k, percent)
 
 
+#: Rows whose ids and texts could be taken for one another.
+CONFUSED = [(None, "5", None, None, None), (5, None, None, None, None), (None, None, None, None, None), (None, "", None, None, None), (5, "", None, None, None), (5, "5", None, None, None), (5, "6 6", None, None, None), (55, None, None, None, None), (None, "55", None, None, None)]
+
+
+def test_null_ids_and_texts_are_not_confused(spark):
+    docs = spark.createDataFrame(CONFUSED + CONFUSED[:1], SCHEMA)
+    rows = [(i, t) for i, t, *_ in CONFUSED + CONFUSED[:1]]
+    got = jaccard.jaccard_components(docs, shingle=4, percent=85).collect()
+    assert sorted([(r.doc_id, r.n_shingles, r.component_id) for r in got], key=str) == brute_components(rows, 4, 85)
+    got = substring_dedup.remove_repeats(docs, with_text=True).collect()
+    assert sorted([(r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got], key=str) == brute_repeats(rows)
+    kept = sorted([(r.doc_id, r.text) for r in jaccard.keep_one(docs).collect()], key=str)
+    assert kept == sorted([(5, None), (None, None), (None, ""), (5, ""), (5, "5"), (5, "6 6"), (55, None), (None, "55")], key=str)
+
+
+def test_keep_one_keeps_clashing_columns(spark):
+    docs = spark.createDataFrame(corpus(4, 30), SCHEMA).withColumns({c: F.lit(f"own {c}") for c in ("_KEY", "_more", "n", "class")})
+    kept = jaccard.keep_one(docs)
+    assert kept.columns == docs.columns and {(r["_KEY"], r["_more"], r["n"], r["class"]) for r in kept.collect()} == {("own _KEY", "own _more", "own n", "own class")}
+
+
+def test_questions_to_a_large_group_are_dealt_out(spark, monkeypatch):
+    """Two large groups of near copies that link only through single members, with few questions to a salt and few sets to a part."""
+    monkeypatch.setattr(jaccard, "SALT_ROWS", 3)
+    monkeypatch.setattr(jaccard, "GROUP_ROWS", 4)
+    rng = random.Random(6)
+    base = [f"b{i}" for i in range(100)]
+    rows = [(i, " ".join(f"b{j}" for j in range(i, i + 60)), None, None, None) for i in range(80)]
+    rows += [(1000 + i, edited(rng, base, i % 5), None, None, None) for i in range(80)]
+    for broadcast in (50_000, -1):
+        monkeypatch.setattr(jaccard, "BROADCAST_GROUPS", broadcast)
+        got = jaccard.jaccard_components(spark.createDataFrame(rows, SCHEMA), shingle=2, percent=80).collect()
+        assert sorted([(r.doc_id, r.n_shingles, r.component_id) for r in got], key=str) == brute_components(rows, 2, 80)
+
+
+def test_combined_occurrences():
+    import numpy as np
+
+    from harborlight.llm import _occurrences as occ
+
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        n = int(rng.integers(0, 200))
+        hashes, flags = rng.integers(0, 30, n).astype(np.uint64) << np.uint64(40), rng.random(n) < 0.2
+        at = np.cumsum(rng.integers(1, 400, n))
+        own, marks, first, rest = occ.combine(hashes, flags, at)
+        assert len(np.unique(own)) == len(own) and (np.diff(first) > 0).all()
+        for h, m, p in zip(own, marks, first, strict=True):
+            mine = hashes == h
+            assert p == at[mine][0] and m == int(flags[mine].any()) + 2 * int(mine.sum() > 1)
+        for pick in (own[::2], own[:0], own):
+            hits = np.sort(first[np.isin(own, pick)])
+            assert occ.expand(memoryview(rest), hits).tolist() == at[np.isin(hashes, pick)].tolist()
+
+
 def test_jaccard_of_nothing(spark):
     assert jaccard.jaccard_components(spark.createDataFrame([], SCHEMA)).count() == 0
     alone = spark.createDataFrame([(1, None, None, None, None), (2, "", None, None, None)], SCHEMA)
