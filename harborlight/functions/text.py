@@ -134,9 +134,22 @@ def fallback_id(row: Column, name: Column, address: Column, tel: Column) -> Colu
     return F.substring(F.sha2(F.concat_ws("|", F.coalesce(name, none), F.coalesce(address, none), F.coalesce(tel, none), F.to_json(items)), 256), 1, 32)
 
 
+#: Folding of each character that has one, by Python's Unicode tables.
+_FOLDED = {chr(i): chr(i).casefold() for i in range(0x10000) if not 0xD800 <= i < 0xE000 and chr(i).casefold() != chr(i)}
+_FOLDED_ONE, _FOLDED_MORE = ({k: v for k, v in _FOLDED.items() if (len(v) == 1) == one} for one in (True, False))
+
+
+def casefold(c: Column) -> Column:
+    """Text without case, as str.casefold: also ß as ss, and one form of sigma."""
+    wider = F.create_map(*[F.lit(x) for pair in _FOLDED_MORE.items() for x in pair])
+    widened = F.array_join(F.transform(F.split(c, ""), lambda ch: F.coalesce(F.element_at(wider, ch), ch)), "")
+    text = F.when(c.rlike("[" + "".join(_FOLDED_MORE) + "]"), widened).otherwise(c)
+    return F.translate(text, "".join(_FOLDED_ONE), "".join(_FOLDED_ONE.values()))
+
+
 def menu_store_id(name: Column) -> Column:
     """Id shared by the rows of one store in the menu source (PRJ-15)."""
-    return F.concat(F.lit("bsshNm:"), F.lower(name))
+    return F.concat(F.lit("bsshNm:"), casefold(name))
 
 
 def digits_as_int(c: Column) -> Column:

@@ -37,10 +37,10 @@ def cache_reason(row: dict[str, Column], max_failure: float = MAX_FAILURE, max_n
     return reason if min_match is None else reason.when((row["upserted"] - row["unmatched"]) / stored < min_match, "low_match_rate")
 
 
-def listing_complete(listing: DataFrame) -> DataFrame:
-    """One row: whether every content type reached its last page (GRD-3). listing: content_type_id, page, last_page."""
-    per_type = listing.groupBy("content_type_id").agg((F.max("page") >= F.max("last_page")).alias("terminal"))
-    return per_type.agg(F.coalesce(F.bool_and("terminal"), F.lit(False)).alias("complete"))
+def listing_complete(pages: DataFrame, types: list[str], full: int) -> DataFrame:
+    """One row: whether every content type reached its last page, one with fewer than `full` items (GRD-3). pages: content_type_id, page, items."""
+    per_type = pages.groupBy("content_type_id").agg(F.bool_or(F.col("items") < full).alias("terminal")).filter(F.col("content_type_id").isin(types))
+    return per_type.agg((F.coalesce(F.bool_and("terminal"), F.lit(False)) & (F.count("*") == len(types))).alias("complete"))
 
 
 def decide(figures: DataFrame, reason: Column) -> tuple[str | None, dict]:

@@ -64,9 +64,14 @@ def existing_or_null(rows: DataFrame, column: str, known: DataFrame, known_key:
     return joined.withColumn(column, F.col("_known")).select(rows.columns)
 
 
+def of_run(region: str, types: list[str]) -> Column:
+    """Condition: active spots from the API that a run over region and types should meet."""
+    return (F.col("l_dong_regn_cd") == region) & F.col("content_type_id").isin(types) & F.col("source_tour_api") & F.col("is_active")
+
+
 def deactivation_candidates(spots: DataFrame, region: str, types: list[str], started: Column) -> Column:
-    """Condition: active spots of region and types that this run has not seen (FLT-6)."""
-    return (F.col("l_dong_regn_cd") == region) & F.col("content_type_id").isin(types) & F.col("source_tour_api") & F.col("is_active") & (F.col("synced_at") < started)
+    """Condition: active spots of region and types that this run has not read (FLT-6)."""
+    return of_run(region, types) & (F.col("synced_at") < started)
 
 
 def deactivate(spots: DataFrame, condition: Column, at: Column) -> tuple[DataFrame, DataFrame]:
@@ -77,11 +82,15 @@ def deactivate(spots: DataFrame, condition: Column, at: Column) -> tuple[DataFra
     return after, ids
 
 
+def mark_listed(spots: DataFrame, listing: DataFrame) -> DataFrame:
+    """spots with `_seen`, null where the run's listing does not have the spot."""
+    seen = listing.select(F.col("content_id").alias("_seen")).distinct()
+    return spots.join(seen, F.col("content_id") == F.col("_seen"), "left")
+
+
 def deactivate_unlisted(spots: DataFrame, listing: DataFrame, condition: Column, at: Column) -> tuple[DataFrame, DataFrame]:
     """Like deactivate, but a spot is missing if the run's listing does not have it, whether or not it was re-read."""
-    seen = listing.select(F.col("content_id").alias("_seen")).distinct()
-    marked = spots.join(seen, F.col("content_id") == F.col("_seen"), "left")
-    after, ids = deactivate(marked, condition & F.col("_seen").isNull(), at)
+    after, ids = deactivate(mark_listed(spots, listing), condition & F.col("_seen").isNull(), at)
     return after.drop("_seen"), ids
 
 
@@ -149,8 +158,10 @@ def require_source(batch: DataFrame, column: str, allowed: str) -> DataFrame:
 
 
 def cascade(children: DataFrame, key: str, parents: DataFrame, parent_key: str) -> DataFrame:
-    """Children of existing parents only: ON DELETE CASCADE (MUT-22)."""
-    return children.join(parents.select(F.col(parent_key).alias(key)).distinct(), key, "left_semi")
+    """Children whose parent exists, and those that name none: ON DELETE CASCADE (MUT-22)."""
+    known = parents.select(F.col(parent_key).alias("_known")).distinct()
+    joined = children.join(known, F.col(key) == F.col("_known"), "left")
+    return joined.filter(F.col("_known").isNotNull() | F.col(key).isNull()).select(children.columns)
 
 
 def orphans(children: DataFrame, key: str, parents: DataFrame, parent_key: str) -> DataFrame:

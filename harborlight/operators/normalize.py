@@ -18,7 +18,9 @@ FLAVOURS = {
     "file": ("good_price_file", "good_price_file", "file_import"),
     "guide": ("busan_food", "admin_manual", "api"),
 }
-# Headers of each field, in order.
+#: What tells which of two rows of one place came later.
+PLACE_ORDER = ["fetched_at", "page", "ordinal"]
+# Headers of each field, and names of payload fields, in order.
 HEADERS = {
     "name": ("업소명", "업소", "상호", "상호명", "bsshNm", "sj", "SJ", "MAIN_TITLE", "PLACE", "name", "shopName", "bsnsNm"),
     "address": ("주소", "주소(도로명 새주소)", "도로명주소", "소재지주소", "사업장 주소", "adres", "ADDR", "ADDR1", "addr", "address"),
@@ -46,9 +48,13 @@ PARTS = ("lclsSystm1Nm", "lclsSystm2Nm", "lclsSystm3Nm", "lclsSystmNm1", "lclsSy
 def food_places(rows: DataFrame, flavour: str) -> tuple[DataFrame, DataFrame]:
     """(places with their menus, rejects) from rows with `row` (map of header to text) and fetched_at (PRJ-27, PRJ-28, FLT-10).
 
+    `page` and `ordinal` (of a page of items, or file and row number) say where a row stood; without them both are 0.
     Rows without a name are rejects with reason and label.
     """
     place_source, menu_source, kind = FLAVOURS[flavour]
+    for n in PLACE_ORDER[1:]:
+        if n not in rows.columns:
+            rows = rows.withColumn(n, F.lit(0))
     base = with_menus(with_headers(rows))
     get = lambda f: first_of(F.col("_h"), *HEADERS[f])
     fields = base.withColumns({f"_{f}": get(f) for f in HEADERS})
@@ -78,9 +84,9 @@ def food_places(rows: DataFrame, flavour: str) -> tuple[DataFrame, DataFrame]:
         "row",
         F.lit(menu_source).alias("menu_source"),
         F.lit(kind).alias("source_type"),
-        "fetched_at",
+        *PLACE_ORDER,
     )
-    rejects = fields.filter("_name is null").select(tx.reject_label(c("row")).alias("label"), F.lit("food place name is required").alias("error"))
+    rejects = fields.filter("_name is null").select(tx.reject_label(c("row")).alias("label"), F.lit("food place name is required").alias("error"), *PLACE_ORDER[1:])
     return places, rejects
 
 
@@ -145,6 +151,14 @@ def classification_codes(landed: DataFrame) -> DataFrame:
     return env.list_items(landed).select(triple.alias("t"), name.alias("name"), F.struct("page", "ordinal").alias("ordinal")).filter("t is not null").select("t.*", "name", "ordinal")
 
 
+def listing(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(content_id, source_modified_time of listed items, last page first where an id comes twice; items without id) of landed list pages (PRJ-46, FLT-9)."""
+    i = F.col("item")
+    rows = env.list_items(pages).select("content_type_id", "page", "ordinal", env.item_id(i).alias("content_id"), tx.kst_timestamp(env.modified_text(i)).alias("source_modified_time"), F.to_json("item").alias("label"))
+    good = rows.filter("content_id is not null").groupBy("content_id").agg(F.max_by("source_modified_time", F.struct("page", "ordinal")).alias("source_modified_time"))
+    return good, rows.filter("content_id is null").select(F.substring("label", 1, 120).alias("label"), F.lit("content id is missing").alias("error"))
+
+
 def skip_unchanged(listing: DataFrame, stored: DataFrame) -> DataFrame:
     """Listed ids whose modified time differs from the stored one, or is unknown (FLT-5, SRC-12)."""
     old = stored.select("content_id", F.col("source_modified_time").alias("_old"))
@@ -164,14 +178,20 @@ def districts(codes: DataFrame, area: str) -> DataFrame:
 
 
 def assign_ids(places: DataFrame, sources: DataFrame) -> DataFrame:
-    """places with food_place_id: the known one of (source, external_id), else a stable hash of both (JN-9). The last row of a key counts."""
-    from harborlight.operators.mutations import last_write
-
-    known = sources.select("source", "external_id", F.col("food_place_id").alias("_known"))
-    unique = last_write(places, ["source", "external_id"], ["fetched_at"])
-    joined = unique.join(known, ["source", "external_id"], "left")
-    fresh = F.abs(F.xxhash64("source", "external_id") % F.lit(1 << 53))
-    return joined.withColumn("food_place_id", F.coalesce("_known", fresh)).drop("_known")
+    """places with food_place_id: the known one of (source, external_id), else a 63-bit hash of both (JN-9).
+
+    Of keys whose hashes agree, with each other or with a known id, the later ones are hashed again with their number.
+    """
+    key = ["source", "external_id"]
+    known = sources.select(*key, F.col("food_place_id").alias("_known"))
+    hashed = lambda *more: F.xxhash64(*key, *more).bitwiseAND(F.lit((1 << 63) - 1))
+    fresh = places.select(*key).distinct().join(known, key, "left_anti").select(*key, hashed().alias("_id"), F.lit(1).alias("_new"))
+    none = F.lit(None).cast("string")
+    taken = known.select(none.alias("source"), none.alias("external_id"), F.col("_known").alias("_id"), F.lit(0).alias("_new")).distinct()
+    number = rank_in(["_id"], [F.col("_new"), *[F.col(k) for k in key]])
+    given = fresh.unionByName(taken).withColumn("_n", number).filter("_new = 1")
+    given = given.select(*key, F.when(F.col("_n") == 1, F.col("_id")).otherwise(hashed("_n")).alias("_known"))
+    return places.join(known.unionByName(given).withColumnRenamed("_known", "food_place_id"), key, "left")
 
 
 def work_list(places: DataFrame, kind: str, limit: int | None = None) -> DataFrame:

@@ -16,13 +16,6 @@ DOMAINS = {
     ("matches", "match_method"): ("rule", "manual", "llm"),
     ("run_log", "run_type"): ("scheduled", "manual", "triggered", "regression"),
     ("run_log", "status"): ("running", "success", "failed", "partial", "cancelled"),
-    ("users", "provider"): ("kakao", "naver", "google"),
-    ("users", "role"): ("user", "admin"),
-    ("generated_courses", "weight_profile"): ("balanced", "budget_focused"),
-    ("generated_courses", "generation_mode"): ("taste", "novelty", "default"),
-    ("generated_courses", "generation_method"): ("natural", "form", "recommend"),
-    ("course_decisions", "decision_type"): ("exclude", "replace", "boost"),
-    ("course_decisions", "severity"): ("critical", "warning", "info"),
 }
 # Least and most value per column (None: open).
 RANGES = {"map_x": (-180, 180), "map_y": (-90, 90), "price": (0, None), "observed_price": (0, None), "display_order": (1, None), "serial_num": (1, None), "match_score": (0, 1), "taketime_minutes": (0, None), "distance_km": (0, None), "menu_count": (0, None), "min_price": (0, None), "avg_price": (0, None), "total_cost": (0, None), "total_minutes": (0, None)}

@@ -17,7 +17,17 @@ def start_row(spark: SparkSession, run_id: int, job: str, at, run_type: str = "m
 
 def end_row(spark: SparkSession, run_id: int, job: str, started, finished, status: str, fetched: int, upserted: int, failed: int, metadata: dict, run_type: str = "manual") -> DataFrame:
     """The final row of a run, with counters and metadata as JSON (MUT-20)."""
-    return spark.createDataFrame([(run_id, job, run_type, status, started, finished, fetched, upserted, failed, json.dumps(metadata, ensure_ascii=False, sort_keys=True))], SCHEMA)
+    return spark.createDataFrame([(run_id, job, run_type, status, started, finished, fetched, upserted, failed, json.dumps(metadata, ensure_ascii=False, sort_keys=True, default=str))], SCHEMA)
+
+
+def append(spark: SparkSession, root: str, row: DataFrame) -> None:
+    """One row more in the written log."""
+    row.coalesce(1).write.mode("append").parquet(f"{root}/_run_log")
+
+
+def read(spark: SparkSession, root: str) -> DataFrame:
+    """The written log: start and end rows of all runs."""
+    return spark.read.schema(SCHEMA).parquet(f"{root}/_run_log")
 
 
 def latest(log: DataFrame) -> DataFrame:

@@ -145,6 +145,18 @@ def cheap_restaurants_near_spot(t) -> DataFrame:
     return ranked.select("spot_content_id", "id", F.round("distance_m", 3).alias("distance_m"))
 
 
+def jaro(pairs: str) -> str:
+    """CTEs up to `resemblance` (a, b, score): SIM-1 of the distinct pairs (a, b) of `pairs`, letter by letter."""
+    return f"""jp as (select distinct a, b, greatest(length(a), length(b)) // 2 - 1 as reach from ({pairs})),
+    jr(a, b, reach, i, taken, ours) as (select a, b, reach, 1, []::bigint[], '' from jp union all
+      select a, b, reach, i + 1, case when spot is null then taken else list_append(taken, spot) end, case when spot is null then ours else ours || substr(a, i, 1) end
+      from (select *, list_filter(range(greatest(1, i - reach), least(length(b), i + reach) + 1), lambda j: not list_contains(taken, j) and substr(b, j, 1) = substr(a, i, 1))[1] as spot from jr where i <= length(a))),
+    jm as (select a, b, len(taken) as m, len(list_filter(range(1, len(taken) + 1), lambda k: substr(ours, k, 1) <> substr(b, list_sort(taken)[k], 1))) as swapped from jr where i = length(a) + 1),
+    js as (select a, b, case when m = 0 then 0.0 else (m::double / length(a) + m::double / length(b) + (m - swapped / 2) / m) / 3.0 end as j,
+      len(list_filter(range(1, least(4, length(a), length(b)) + 1), lambda k: substr(a, 1, k) = substr(b, 1, k))) as common from jm),
+    resemblance as (select a, b, case when a = b then 1.0 else least(1.0, j + common * 0.1 * (1 - j)) end as score from js)"""
+
+
 _TEL = "case when length(a) >= 7 and length(b) >= 7 and (a = b or (length(a) >= 8 and length(b) >= 8 and right(a, 8) = right(b, 8))) then 1.0 else 0.0 end"
 _DECIDE = _PAIRS + f""", q as (select *, regexp_replace(coalesce(tel, ''), '[^0-9]', '', 'g') as a, regexp_replace(coalesce(spot_tel, ''), '[^0-9]', '', 'g') as b from d where m <= 200),
     z as (select *, {_TEL} as ts, case when name = title then 1.0 else 0.0 end as ns, greatest(0, 1 - m / 200) as ds from q),
@@ -163,15 +175,46 @@ def match_decision(t) -> DataFrame:
     return matching.pick_best(scored).select("food_place_id", "spot_content_id", "match_status")
 
 
-@query()
+def _plain_name(c: str) -> str:
+    return f"regexp_replace(regexp_replace(coalesce({c}, ''), '\\([^)]*\\)', '', 'g'), '[^0-9A-Za-z_]', '', 'g')"
+
+
+def _plain_address(c: str) -> str:
+    return f"replace(replace(coalesce({c}, ''), '부산광역시', '부산'), ' ', '')"
+
+
+_FREE = "p.is_active and p.map_x is not null and p.map_y is not null and p.normalized_category not in ('beauty', 'bath', 'lodging') and p.id not in (select food_place_id from {place_matches})"
+_MATCH = "with recursive " + _PAIRS[5:].rstrip() + f""", near as (select * from (select d.*, row_number() over (partition by id order by m, spot_content_id) as near from d join (select p.id from {{food_places}} p where {_FREE}) using (id) where m <= 200) where near <= 30),
+    q as (select *, regexp_replace(coalesce(tel, ''), '[^0-9]', '', 'g') as a, regexp_replace(coalesce(spot_tel, ''), '[^0-9]', '', 'g') as b, {_plain_name('name')} as n1, {_plain_name('title')} as n2, {_plain_address('address')} as a1, {_plain_address('spot_address')} as a2 from near),
+    {jaro('select n1 as a, n2 as b from q union all select a1, a2 from q')},
+    z as (select q.*, {_TEL.replace('(a)', '(q.a)').replace('(b)', '(q.b)').replace('a = b', 'q.a = q.b').replace('(a,', '(q.a,').replace('(b,', '(q.b,')} as ts, coalesce(x.score, case when n1 = n2 then 1.0 else 0.0 end) as ns, coalesce(y.score, case when a1 = a2 then 1.0 else 0.0 end) as ads, greatest(0, 1 - m / 200) as ds
+      from q left join resemblance x on x.a = n1 and x.b = n2 left join resemblance y on y.a = a1 and y.b = a2),
+    w as (select *, round_even(ts * 0.5 + ns * 0.3 + ads * 0.15 + ds * 0.05, 3) as score from z),
+    r as (select *, row_number() over (partition by id order by score desc, m, spot_content_id) as n, lead(score) over (partition by id order by score desc, m, spot_content_id) as second from w),
+    f as (select *, case when score >= 0.85 and not (ts > 0 or ns >= 0.95) then 'pending' when score >= 0.85 then 'matched' when score >= 0.65 then 'pending' else 'separate' end as s1 from r where n = 1),
+    done as (select id as food_place_id, spot_content_id, score as match_score, second as second_score, case when second is not null and not (score - second >= 0.08) and s1 = 'matched' then 'pending' when second is not null and not (score - second >= 0.08) and s1 = 'pending' then 'separate' else s1 end as match_status from f) """
+
+
+def _matching(t) -> tuple[DataFrame, DataFrame]:
+    places = t("food_places")
+    return matching.run_matching(places, t("spots"), t("place_matches"), sim.similarity_udf(places.sparkSession))
+
+
+@query(_MATCH + "select * from done")
 def food_spot_match(t) -> DataFrame:
     """SIM-10 with the real name similarity."""
-    places = t("food_places")
-    decided, _ = matching.run_matching(places, t("spots"), t("place_matches"), sim.similarity_udf(places.sparkSession))
-    return decided
+    return _matching(t)[0]
+
 
+@query(_MATCH + f"""select count(*) as scanned, count(*) filter (where match_status = 'matched') as matched, count(*) filter (where match_status = 'pending') as pending, count(*) filter (where match_status = 'separate') as separate,
+    count(*) filter (where match_status is null) as no_candidate from (select p.id from {{food_places}} p where {_FREE}) t left join done on done.food_place_id = t.id""")
+def food_spot_match_counters(t) -> DataFrame:
+    """AGG-4."""
+    return _matching(t)[1]
 
-@query()
+
+@query(f"""with recursive n as (select distinct p_name, string_split(p_name, ' ')[1] as w from {{part}}), {jaro('select x.p_name as a, y.p_name as b from n x join n y on x.w = y.w and x.p_name < y.p_name')}
+    select a as p_name, b as other, score as similarity from resemblance""")
 def name_similarity(t) -> DataFrame:
     """SIM-1 over distinct pairs of names that share their first word."""
     names = t("part").select("p_name").distinct().withColumn("w", F.split("p_name", " ")[0])
@@ -179,19 +222,19 @@ def name_similarity(t) -> DataFrame:
     return pairs.select("p_name", "other", sim.similarity_udf(names.sparkSession)(F.col("p_name"), F.col("other")).alias("similarity"))
 
 
-@query("""select p_name as name, round(least(1.0, j + 0.1 * c * (1 - j)), 6) as similarity from (select p_name, jaro_similarity(p_name, substr(p_name, 1, length(p_name) - 2)) as j, least(4, length(p_name) - 2) as c from (select distinct p_name from {part} where length(p_name) > 4))""")
+@query("""select p_name as name, round(least(1.0, j + 0.1 * c * (1 - j)), 6) as similarity from (select p_name, jaro_similarity(p_name, substr(p_name, 1, greatest(length(p_name) - 2, 1))) as j, least(4, greatest(length(p_name) - 2, 1)) as c from (select distinct p_name from {part}))""")
 def prefix_similarity(t) -> DataFrame:
     """SIM-1 of names and their beginnings, where SQL's plain similarity has the same matches."""
-    names = t("part").filter("length(p_name) > 4").select("p_name").distinct()
-    short = F.expr("substr(p_name, 1, length(p_name) - 2)")
+    names = t("part").select("p_name").distinct()
+    short = F.expr("substr(p_name, 1, greatest(length(p_name) - 2, 1))")
     return names.select(F.col("p_name").alias("name"), F.round(sim.similarity_udf(names.sparkSession)(F.col("p_name"), short), 6).alias("similarity"))
 
 
-@query("""select signgu_cd, raw_tats_name, min(content_id) as content_id from (select distinct cast(100 + l_suppkey % 16 as string) as signgu_cd, p_name as raw_tats_name from {lineitem} join {part} on l_partkey = p_partkey where l_linenumber = 1) a
+@query("""select signgu_cd, raw_tats_name, min(content_id) as content_id from (select distinct cast(100 + l_suppkey % 16 as string) as signgu_cd, p_name as raw_tats_name from {lineitem} join {part} on l_partkey = p_partkey) a
     left join (select l_dong_signgu_cd, regexp_replace(regexp_replace(title, '\\([^)]*\\)', '', 'g'), '\\s+', '', 'g') as k, min(content_id) as content_id from {spots} where is_active group by 1, 2) s
     on s.l_dong_signgu_cd = a.signgu_cd and s.k = regexp_replace(regexp_replace(raw_tats_name, '\\([^)]*\\)', '', 'g'), '\\s+', '', 'g') group by 1, 2""")
 def name_match_in_district(t) -> DataFrame:
-    lines = t("lineitem").filter("l_linenumber = 1").join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
+    lines = t("lineitem").join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
     names = lines.select((100 + F.col("l_suppkey") % 16).cast("string").alias("signgu_cd"), F.col("p_name").alias("raw_tats_name"))
     return matching.match_names_in_district(names, t("spots"))
 
@@ -309,13 +352,14 @@ def skip_unchanged(t) -> DataFrame:
     return normalize.skip_unchanged(listing, stored).select("content_id")
 
 
-@query("""select course_id, matched_spot_id, pos from {course_items} where cast(course_id as bigint) % 4 <> 0 and pos < 3
-    union all select course_id, matched_spot_id, pos from {course_items} where cast(course_id as bigint) % 4 = 0 and pos > 2""")
+@query("""select course_id, matched_spot_id, pos from {course_items} where cast(course_id as bigint) % 4 <> 0
+    union all select course_id, 'new', pos + 100 from {course_items} where cast(course_id as bigint) % 4 = 0 and pos > 2""")
 def images_replace(t) -> DataFrame:
     """MUT-4: children of every fourth parent replaced; parents without new ones lose theirs."""
     items, mine = t("course_items").select("course_id", "matched_spot_id", "pos"), F.col("course_id").cast("long") % 4 == 0
     parents = t("courses").filter("o_orderkey % 4 = 0").select(F.col("content_id").alias("course_id"))
-    return mutations.replace_children(items.filter("pos < 3"), items.filter(mine & (F.col("pos") > 2)), parents, "course_id")
+    new = items.filter(mine & (F.col("pos") > 2)).withColumns({"matched_spot_id": F.lit("new"), "pos": F.col("pos") + 100})
+    return mutations.replace_children(items, new, parents, "course_id")
 
 
 @query("""select course_id, row_number() over (partition by course_id order by subnum is null, cast(subnum as int), pos, cast(matched_spot_id as bigint)) as serial_num, s.content_id as matched_spot_id
@@ -327,16 +371,16 @@ def course_items_replace(t) -> DataFrame:
     return mutations.existing_or_null(numbered, "matched_spot_id", t("spots"), "content_id").select("course_id", F.col("serial_num").cast("long").alias("serial_num"), "matched_spot_id")
 
 
-@query("""with w as (select l_orderkey, l_linenumber, min(cast(floor(l_extendedprice) as int)) as price, min(case when l_linenumber = 6 then null else 'menu ' || cast(l_suppkey % 5 as string) end) as menu_name from {lineitem} where l_linenumber <= 6 group by 1, 2),
+@query("""with w as (select l_orderkey, l_linenumber, min(cast(floor(l_extendedprice) as int)) as price, min(case when l_linenumber = 6 then null else 'menu ' || cast(l_suppkey % 5 as string) end) as menu_name from {lineitem} group by 1, 2),
     d as (select *, row_number() over (partition by l_orderkey, lower(menu_name) order by l_linenumber) as n from w where menu_name is not null)
     select l_orderkey, menu_name, price, l_linenumber as display_order, row_number() over (partition by l_orderkey order by l_linenumber) = 1 as is_representative from d where n = 1""")
 def menu_unpivot(t) -> DataFrame:
     named = F.when(F.col("l_linenumber") != 6, F.concat(F.lit("menu "), (F.col("l_suppkey") % 5).cast("string")))
-    cells = t("lineitem").filter("l_linenumber <= 6").select("l_orderkey", "l_linenumber", named.alias("menu"), F.floor("l_extendedprice").cast("int").alias("cost"))
-    wide = cells.groupBy("l_orderkey").pivot("l_linenumber", list(range(1, 7))).agg(F.min("menu").alias("name"), F.min("cost").alias("price"))
-    for i in range(1, 7):
-        wide = wide.withColumnRenamed(f"{i}_name", f"name{i}").withColumnRenamed(f"{i}_price", f"price{i}")
-    return gen.unpivot_menus(wide, "l_orderkey", 6)
+    cells = t("lineitem").select("l_orderkey", "l_linenumber", named.alias("menu"), F.floor("l_extendedprice").cast("int").alias("cost"))
+    slots = range(1, gen.MENU_SLOTS + 1)
+    wide = cells.groupBy("l_orderkey").pivot("l_linenumber", list(slots)).agg(F.min("menu").alias("name"), F.min("cost").alias("price"))
+    wide = wide.toDF("l_orderkey", *[f"{c}{i}" for i in slots for c in ("name", "price")])
+    return gen.unpivot_menus(wide, "l_orderkey")
 
 
 @query("""select l_orderkey, cast(l_linenumber as string) as num, cast(l_partkey as string) as part_id from {lineitem}""")
@@ -455,10 +499,24 @@ def inference_requests(t) -> DataFrame:
     return geocode.inference_requests(targets, t("menus")).select("id", F.md5("request").alias("request_md5"))
 
 
+@query("with recursive " + _PAIRS[5:].rstrip() + f""", c as (select d.*, row_number() over (partition by id order by spot_content_id) as pos, {_plain_name('name')} as n1, {_plain_name('title')} as n2 from d where m <= 300),
+    {jaro('select n1 as a, n2 as b from c')}, e as (select c.*, case when pos % 7 = 0 then 1.0 else coalesce(s.score, 0.0) end as score from c left join resemblance s on s.a = n1 and s.b = n2),
+    g as (select *, row_number() over (partition by id, pos % 2 order by score desc, pos) as n from e)
+    select id, spot_content_id from (select *, row_number() over (partition by id order by pos % 2) as first from g where n = 1 and score >= 0.75) where first = 1""")
+def geocode_best(t) -> DataFrame:
+    """SIM-11, FLT-14, PRJ-37, PRJ-38, WIN-7 and WIN-8: two queries a place, each with its documents, some with the place's telephone."""
+    pairs = matching.within(t("food_places"), matching.restaurant_spots(t("spots")), 300.0)
+    pos = normalize.rank_in(["id"], [F.col("spot_content_id")])
+    pairs = pairs.withColumn("pos", pos).withColumns({"tel": F.lit("051-123-4567"), "phone": F.when(F.col("pos") % 7 == 0, "0511234567")})
+    docs = pairs.select("id", "name", "tel", (F.col("pos") % 2).alias("query_pos"), F.col("spot_content_id").alias("query"), F.col("pos").alias("ordinal"), F.col("spot_title").alias("place_name"), "phone", F.col("spot_x").alias("x"), F.col("spot_y").alias("y"), F.col("spot_address").alias("address"))
+    best = geocode.best_documents(docs, sim.similarity_udf(docs.sparkSession))
+    return best.select("id", F.col("query").alias("spot_content_id"))
+
+
 @query(_PAIRS + """, c as (select d.*, row_number() over (partition by id order by spot_content_id) as pos, case when name = title then 1.0 else 0.8 end as score from d where m <= 300)
     select id, spot_content_id from (select *, row_number() over (partition by id order by score desc, pos) as n from c) where n = 1""")
-def geocode_best(t) -> DataFrame:
-    """SIM-11, FLT-14, WIN-7, WIN-8 with name similarity replaced by two values, so that SQL can follow."""
+def geocode_best_equal_names(t) -> DataFrame:
+    """SIM-11, FLT-14, WIN-7 with name similarity replaced by two values."""
     pairs = matching.within(t("food_places"), matching.restaurant_spots(t("spots")), 300.0)
     ordinal = normalize.rank_in(["id"], [F.col("spot_content_id")])
     docs = pairs.select("id", "name", F.lit(None).cast("string").alias("tel"), F.lit(0).alias("query_pos"), F.col("spot_content_id").alias("query"), ordinal.alias("ordinal"), F.col("spot_title").alias("place_name"), F.lit(None).cast("string").alias("phone"), F.col("spot_x").alias("x"), F.col("spot_y").alias("y"), F.col("spot_address").alias("address"))
@@ -566,10 +624,11 @@ def recent_runs(t) -> DataFrame:
     return runlog.recent(log).select("id", "job_name", "status")
 
 
-@query("select course_id, pos from {course_items} where course_id in (select content_id from {courses} where theme = 'F')")
+@query("select course_id, pos from {course_items} where pos = 5 or course_id in (select content_id from {courses} where theme = 'F')")
 def cascade_children(t) -> DataFrame:
-    """MUT-22: children of deleted parents go with them."""
-    return mutations.cascade(t("course_items"), "course_id", t("courses").filter("theme = 'F'"), "content_id").select("course_id", "pos")
+    """MUT-22: children of deleted parents go with them, those that name no parent stay."""
+    items = t("course_items").withColumn("parent", F.when(F.col("pos") != 5, F.col("course_id")))
+    return mutations.cascade(items, "parent", t("courses").filter("theme = 'F'"), "content_id").select("course_id", "pos")
 
 
 @query("""select o_orderkey, case o_orderkey % 4 when 1 then '22' when 2 then '30' when 3 then 'malformed' end as result_code, case o_orderkey % 4 when 1 then 'limit ' || o_orderpriority when 2 then 'DENIED: ' || o_orderpriority end as message from {orders} where o_orderkey % 4 <> 0""")
@@ -634,12 +693,12 @@ def deactivate_unlisted(t) -> DataFrame:
     return after.select("content_id", "is_active")
 
 
-@query("""select l_orderkey, max(case when l_linenumber = 1 then cast(l_partkey as string) end) as common, max(case when l_linenumber = 2 then cast(l_partkey as string) end) as intro from (select l_orderkey, l_linenumber, max(l_partkey) as l_partkey from {lineitem} where l_linenumber <= 2 group by 1, 2) group by 1""")
+@query("select l_orderkey, " + ", ".join(f"cast(max(l_partkey) filter (where l_linenumber % 4 = {i}) as string) as {n}" for i, n in enumerate(("common", "intro", "info", "image"))) + " from {lineitem} group by 1")
 def combine_details(t) -> DataFrame:
     """SRC-10: endpoints of an id side by side."""
-    name = F.when(F.col("l_linenumber") == 1, "detailCommon2").otherwise("detailIntro2")
-    landed = t("lineitem").filter("l_linenumber <= 2").groupBy(F.col("l_orderkey").alias("content_id"), name.alias("endpoint")).agg(F.max("l_partkey").cast("string").alias("payload"))
-    return env.combine_details(landed).select(F.col("content_id").alias("l_orderkey"), F.col("detailCommon2").alias("common"), F.col("detailIntro2").alias("intro"))
+    name = F.get(F.array(*[F.lit(e) for e in env.DETAIL_ENDPOINTS]), (F.col("l_linenumber") % 4).cast("int"))
+    landed = t("lineitem").groupBy(F.col("l_orderkey").alias("content_id"), name.alias("endpoint")).agg(F.max("l_partkey").cast("string").alias("payload"))
+    return env.combine_details(landed).toDF("l_orderkey", "common", "intro", "info", "image")
 
 
 @query("""select id, name, food_place_id from (select n.id, n.name, s.id as food_place_id from {named_places} n join (select * from {named_places} where source = 'good_price_store') s on s.id = n.id)""")

@@ -39,7 +39,7 @@ DERIVED = {
     "place_matches": """select o_custkey as food_place_id, cast(o_orderkey as string) as spot_content_id,
         case o_orderstatus when 'F' then 'matched' when 'O' then 'pending' else 'rejected' end as match_status,
         case when o_orderkey % 7 = 0 then 'manual' when o_orderkey % 11 = 0 then 'llm' else 'rule' end as match_method
-        from {orders} where o_orderkey % 3 = 0""",
+        from {orders}""",
     "named_places": """select c_custkey as id, c_mktsegment || ' ' || cast(c_custkey % 300 as string) as name,
         case when cast(floor(c_custkey / 300) as int) % 2 = 0 then 'good_price_store' else 'good_price_menu' end as source,
         case when c_custkey % 3 = 0 then null when c_custkey % 3 = 1 then ' ' else 'addr ' || cast(c_custkey as string) end as address,
@@ -93,4 +93,7 @@ def oracle(body: str) -> str:
     if not parts:
         return main
     with_ = ", ".join(f"{n} as ({t})" for n, t in parts.items())
-    return f"with {with_}, {main[5:]}" if main.lower().startswith("with ") else f"with {with_} {main}"
+    for start in ("with recursive ", "with "):
+        if main.startswith(start):
+            return f"{start}{with_}, {main[len(start):]}"
+    return f"with {with_} {main}"

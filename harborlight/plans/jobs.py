@@ -1,19 +1,21 @@
 """User-level jobs: each takes the current tables and landed inputs and returns new snapshots by name, plus `metrics` of one row.
 
-Nothing is written; with the caller dropping the snapshots every job is its own dry run (MUT-23). publish() writes them.
+The functions write nothing; run_job() publishes what they return, or not (dry run), and keeps the run log.
 """
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harborlight.functions.similarity import RADIUS
 from harborlight.operators import aggregates as agg
-from harborlight.operators import geocode, guards, matching, mutations, normalize
+from harborlight.operators import geocode, guards, matching, mutations, normalize, runlog
 from harborlight.sources import envelopes as env
+from harborlight.sources import files
 
 Tables = dict[str, DataFrame]
 
@@ -22,15 +24,24 @@ def _only(target: DataFrame, rows: DataFrame) -> DataFrame:
     return rows.select(*[c for c in rows.columns if c in target.columns])
 
 
+def _figures(**counts: DataFrame) -> DataFrame:
+    """One row with the number of rows of each table."""
+    rows = None
+    for name, df in counts.items():
+        one = df.select(F.lit(name).alias("name"))
+        rows = one if rows is None else rows.unionByName(one)
+    return rows.agg(*[F.count_if(F.col("name") == n).alias(n) for n in counts])
+
+
 def spots_sync(tables: Tables, listing: DataFrame, details: DataFrame, run: dict, at: Column) -> Tables:
-    """Listed spots that changed, upserted with details, images and raw document; missing ones deactivated if the gate allows.
+    """Listed spots that changed, upserted with details, images and raw document; spots that are not listed deactivated if the gate allows.
 
     listing: content_id, source_modified_time; details: content_id, endpoint, payload; run: region, types and the figures of
     guards.deactivation_reason.
     """
     fresh = normalize.skip_unchanged(listing, tables["spots"])
     parsed = normalize.spots(env.combine_details(details.join(fresh.select("content_id"), "content_id", "left_semi")), at, at)
-    core = _only(tables["spots"], parsed["core"].withColumns({"inactive_since": F.lit(None).cast("timestamp")}))
+    core = _only(tables["spots"], parsed["core"].withColumns({"inactive_since": F.lit(None).cast("timestamp"), "source_tour_api": F.lit(True)}))
     spots = mutations.apply_upsert(tables["spots"], core, ["content_id"], {"source_busan_food": "or"}, stamp=at if "updated_at" in tables["spots"].columns else None)
     out = {
         "details": mutations.apply_upsert(tables["details"], _only(tables["details"], parsed["detail"]), ["content_id"]),
@@ -38,15 +49,32 @@ def spots_sync(tables: Tables, listing: DataFrame, details: DataFrame, run: dict
         "images": mutations.replace_children(tables["images"], parsed["images"], parsed["core"], "content_id"),
         "rejects": parsed["rejects"],
     }
-    missing = mutations.deactivation_candidates(spots, run["region"], run["types"], at)
-    counts = agg.active_and_candidates(spots, (F.col("l_dong_regn_cd") == run["region"]) & F.col("content_type_id").isin(run["types"]), missing)
+    marked = mutations.mark_listed(spots, listing)
+    missing = mutations.of_run(run["region"], run["types"]) & F.col("_seen").isNull()
+    counts = agg.active_and_candidates(marked, (F.col("l_dong_regn_cd") == run["region"]) & F.col("content_type_id").isin(run["types"]), missing)
     figures = counts.select("*", *[F.lit(run[k]).alias(k) for k in ("stopped_by_budget", "complete", "fetched", "failed")])
     reason, _ = guards.decide(figures, guards.deactivation_reason({c: F.col(c) for c in figures.columns}))
     if reason is None:
-        spots, out["deactivated"] = mutations.deactivate(spots, missing, at)
+        after, out["deactivated"] = mutations.deactivate(marked, missing, at)
+        spots = after.drop("_seen")
     return out | {"spots": spots, "metrics": figures.withColumn("deactivation_skip_reason", F.lit(reason).cast("string"))}
 
 
+def spots_sync_pages(tables: Tables, pages: DataFrame, details: DataFrame, run: dict, at: Column, page_rows: int = 100) -> Tables:
+    """spots_sync from landed list pages (content_type_id, page, payload); run: region, types, stopped_by_budget.
+
+    Items without id are rejects and counted; the run is complete if every type reached a page of fewer than page_rows items.
+    """
+    listing, invalid = normalize.listing(pages)
+    sized = env.page_sizes(pages)
+    complete = guards.listing_complete(sized, run["types"], page_rows)
+    counts = sized.agg(F.coalesce(F.sum("items"), F.lit(0)).alias("fetched")).first()
+    skipped = invalid.agg(F.count("*").alias("n")).first()["n"]
+    known = run | {"complete": complete.first()["complete"], "fetched": counts["fetched"], "failed": run.get("failed", 0)}
+    out = spots_sync(tables, listing, details, known, at)
+    return out | {"rejects": out["rejects"].unionByName(invalid), "metrics": out["metrics"].withColumn("skip_invalid_count", F.lit(skipped))}
+
+
 def courses_sync(tables: Tables, details: DataFrame, at: Column) -> Tables:
     """Courses upserted, their items replaced (spots that do not exist null), raw documents kept."""
     parsed = normalize.courses(env.combine_details(details), at, at)
@@ -57,6 +85,7 @@ def courses_sync(tables: Tables, details: DataFrame, at: Column) -> Tables:
         "course_items": mutations.replace_children(tables["course_items"], items, parents, "course_content_id"),
         "course_raw": mutations.apply_upsert(tables["course_raw"], _only(tables["course_raw"], parsed["raw"]), ["content_id"]),
         "rejects": parsed["rejects"],
+        "metrics": _figures(upserted=parsed["courses"], failed=parsed["rejects"]).withColumn("fetched", F.col("upserted") + F.col("failed")),
     }
 
 
@@ -81,37 +110,54 @@ def cache_refresh(tables: Tables, last_run: DataFrame, as_of: Column, at: Column
 
 
 def congestion_purge(tables: Tables, as_of: Column, days: int = 7) -> Tables:
-    return {"forecast": mutations.purge_before(tables["forecast"], as_of, days)}
+    """Forecasts of the last days kept."""
+    kept = mutations.purge_before(tables["forecast"], as_of, days)
+    figures = _figures(fetched=tables["forecast"], upserted=kept)
+    return {"forecast": kept, "metrics": figures.select("*", (F.col("fetched") - F.col("upserted")).alias("purged_count"))}
 
 
 def food_rows(landed: DataFrame) -> DataFrame:
-    """Landed payloads with fetched_at as source rows (row, fetched_at)."""
-    return env.flexible_items(landed).select(env.item_map(F.col("item")).alias("row"), "fetched_at")
+    """Landed payloads with fetched_at and page as source rows (row, fetched_at, page, ordinal)."""
+    landed = landed if "page" in landed.columns else landed.withColumn("page", F.lit(0))
+    return env.flexible_items(landed).select(env.item_map(F.col("item")).alias("row"), "fetched_at", "page", "ordinal")
 
 
 def food_sync(tables: Tables, rows: DataFrame, flavour: str, keep_non_null: bool = False) -> Tables:
     """Source rows of one flavour into places, sources, menus and observations; blocked places are left out.
 
-    Serves the store, menu, guide, file-service and CSV jobs. A known place is overwritten, nulls included, unless keep_non_null.
+    Serves the store, menu, guide, file-service and CSV jobs. Rows count one after the other: of rows of one place, or of one
+    menu, the last counts; every price is an observation. A known place is overwritten, nulls included, unless keep_non_null.
     """
     parsed, rejects = normalize.food_places(rows, flavour)
-    known = normalize.assign_ids(normalize.drop_blocked(parsed), tables["sources"])
-    menus = known.select("food_place_id", "menu_source", "source_type", "fetched_at", F.inline("menus")).withColumnRenamed("menu_source", "source")
-    place = known.withColumn("id", F.col("food_place_id"))
-    policy = {c: "keep_non_null" for c in tables["places"].columns if c != "id"} if keep_non_null else {}
+    free = normalize.drop_blocked(parsed)
+    known = normalize.assign_ids(free, tables["sources"])
+    key, order = ["source", "external_id"], normalize.PLACE_ORDER
+    menus = known.select("food_place_id", F.col("menu_source").alias("source"), "source_type", *order, F.inline("menus"))
     observed = menus.filter("price is not null").select("food_place_id", "menu_name", F.col("price").alias("observed_price"), "source", "source_type", F.col("fetched_at").alias("observed_at"))
+    policy = {}
+    if keep_non_null:
+        policy = {c: "keep_non_null" for c in tables["places"].columns if c != "id"}
+        own = [c for c in known.columns if c not in (*key, "menus", "row", "food_place_id")]
+        later = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.struct(*order))).alias(c)
+        place = known.groupBy(*key, "food_place_id").agg(*[later(c) for c in own])
+    else:
+        place = mutations.last_write(known, key, order)
+    sources = mutations.last_write(known, key, order).withColumn("raw_json", F.to_json("row"))
+    counted = _figures(kept=free, parsed=parsed, failed=rejects)
     return {
-        "places": mutations.apply_upsert(tables["places"], _only(tables["places"], place), ["id"], policy),
-        "sources": mutations.apply_upsert(tables["sources"], _only(tables["sources"], known.withColumn("raw_json", F.to_json("row"))), ["source", "external_id"]),
-        "menus": mutations.apply_upsert(tables["menus"], _only(tables["menus"], menus), ["food_place_id", "menu_name", "source"]),
+        "places": mutations.apply_upsert(tables["places"], _only(tables["places"], place.withColumn("id", F.col("food_place_id"))), ["id"], policy),
+        "sources": mutations.apply_upsert(tables["sources"], _only(tables["sources"], sources), key),
+        "menus": mutations.apply_upsert(tables["menus"], _only(tables["menus"], mutations.last_write(menus, ["food_place_id", "menu_name", "source"], order)), ["food_place_id", "menu_name", "source"]),
         "observations": mutations.append(tables["observations"], observed),
         "rejects": rejects,
+        "metrics": counted.select((F.col("parsed") + F.col("failed")).alias("fetched"), F.col("kept").alias("upserted"), "failed", (F.col("parsed") - F.col("kept")).alias("skipped_keyword_count")),
     }
 
 
 def file_rows(csv: DataFrame, at: Column) -> DataFrame:
-    """Rows of read_csv_rows with their file name among the headers (CSV import)."""
-    return csv.select(F.map_concat("row", F.create_map(F.lit("_source_file"), "source_file")).alias("row"), at.alias("fetched_at"))
+    """Rows of read_csv_rows with their file name among the headers, in row order (CSV import)."""
+    named = F.map_concat("row", F.create_map(F.lit("_source_file"), "source_file"))
+    return csv.select(named.alias("row"), at.alias("fetched_at"), F.lit(0).alias("page"), F.col("row_number").alias("ordinal"))
 
 
 def store_enrich(tables: Tables) -> Tables:
@@ -133,7 +179,7 @@ def price_summary_refresh(tables: Tables, prune: bool = False) -> Tables:
     """Price summary of every matched spot, one aggregate for upsert and prune."""
     fresh = agg.spot_price_summary(tables["menus"], tables["matches"])
     merged = mutations.apply_upsert(tables["summary"], fresh, ["spot_content_id"])
-    return {"summary": mutations.prune(merged, fresh, "spot_content_id") if prune else merged}
+    return {"summary": mutations.prune(merged, fresh, "spot_content_id") if prune else merged, "metrics": _figures(upserted=fresh)}
 
 
 def place_geocode(tables: Tables, responses: DataFrame, limit: int | None = None) -> Tables:
@@ -158,12 +204,13 @@ def address_inference(tables: Tables, keyword: DataFrame, answers: DataFrame, re
 
 def classification_backfill(tables: Tables, landed: DataFrame) -> Tables:
     """New classification triples with their names."""
-    return {"codes": mutations.insert_absent(tables["codes"], agg.first_real_name(normalize.classification_codes(landed)), ["code1", "code2", "code3"])}
+    found = agg.first_real_name(normalize.classification_codes(landed))
+    return {"codes": mutations.insert_absent(tables["codes"], found, ["code1", "code2", "code3"]), "metrics": _figures(fetched=found)}
 
 
 #: Job names and what runs them.
 JOBS = {
-    "tourapi_spots_sync": spots_sync,
+    "tourapi_spots_sync": spots_sync_pages,
     "tourapi_courses_sync": courses_sync,
     "tourapi_congestion_sync": congestion_sync,
     "today_concentration_cache_refresh": cache_refresh,
@@ -180,3 +227,28 @@ JOBS = {
     "food_place_address_inference": address_inference,
     "classification_backfill": classification_backfill,
 }
+
+#: Outputs of a job that are no snapshots of tables.
+REPORTS = ("metrics", "rejects", "errors", "deactivated", "requests")
+
+
+def run_job(spark: SparkSession, root: str, name: str, run_id: int, tables: Tables, *inputs, run_type: str = "manual", dry_run: bool = False, **options) -> Tables:
+    """Run a job, publish its tables under root and log the run there: running, then success with its figures, or failed (MUT-20).
+
+    A dry run does and counts the same, but publishes nothing (MUT-23). A failure is logged and raised again.
+    """
+    started = datetime.datetime.now(datetime.UTC)
+    end = lambda status, figures: runlog.append(spark, root, runlog.end_row(spark, run_id, name, started, datetime.datetime.now(datetime.UTC), status, *[figures.pop(c, None) for c in ("fetched", "upserted", "failed")], figures, run_type))
+    runlog.append(spark, root, runlog.start_row(spark, run_id, name, started, run_type))
+    try:
+        out = JOBS[name](tables, *inputs, **options)
+        figures = out["metrics"].first().asDict() | {"dry_run": dry_run}
+        if "rejects" in out:
+            figures["errors"] = [r.asDict() for r in runlog.error_sample(out["rejects"].withColumn("run", F.lit(run_id)), "run", "label").select("label", "error").collect()]  # at most 50
+        if not dry_run:
+            files.publish(spark, {n: df for n, df in out.items() if n not in REPORTS}, root)
+    except Exception as error:
+        end("failed", {"error_message": str(error)[:300]})
+        raise
+    end("success", figures)
+    return out

@@ -39,6 +39,12 @@ def list_items(df: DataFrame, payload: str = "payload") -> DataFrame:
     return _explode(rows, _as_list(_get(F.col("_v"), "$.response.body.items.item")))
 
 
+def page_sizes(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """df with `items`, the number of items of each list page; 0 for a page without any."""
+    found = _objects(_as_list(_get(F.try_parse_json(payload), "$.response.body.items.item")))
+    return df.withColumn("items", F.coalesce(F.size(found), F.lit(0)))
+
+
 def first_item(v: Column) -> Column:
     """First item of a detail envelope (SRC-2)."""
     return F.get(_objects(_as_list(_get(v, "$.response.body.items.item"))), F.lit(0))

@@ -7,8 +7,9 @@ import os
 import duckdb
 import pytest
 
-from harborlight.plans import catalog
+from harborlight.plans import catalog, catalog_jobs, catalog_payloads
 
+CATALOGS = (catalog, catalog_payloads, catalog_jobs)
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 
