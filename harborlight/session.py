@@ -10,8 +10,6 @@ import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
@@ -38,24 +36,36 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a local one where it is unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir. Where it is unset a local session takes a folder of its own; a cluster must name one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="harborlight-shared-"))
     return context.getCheckpointDir().rstrip("/")
 
 
+def _own_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/harborlight/{spark.sparkContext.applicationId}"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write df once as Parquet in the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/harborlight/{name}-{uuid.uuid4().hex}"
+    path = f"{_own_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application. Results that were not yet written or collected can't be read after it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner drop shuffle files of finished jobs that nothing refers to any more."""
     gc.collect()

@@ -1,6 +1,8 @@
 import datetime
+import glob
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from harborlight.functions.similarity import similarity_udf
@@ -167,3 +169,24 @@ def test_csv_import_to_tables(spark, tmp_path):
 def test_course_items_empty(spark):
     empty = spark.createDataFrame([], "course_content_id string, subnum string, pos int")
     assert generators.number_course_items(empty).count() == 0
+
+
+def test_intermediate_tables_are_cleared(spark):
+    from harborlight import session
+
+    df = session.stored(spark.range(5), "some-table")
+    assert df.count() == 5 and glob.glob(f"{session.shared_dir(spark)}/harborlight/*/some-table-*")
+    session.clear(spark)
+    assert not glob.glob(f"{session.shared_dir(spark)}/harborlight/*/some-table-*")
+    assert session.stored(spark.range(2), "some-table").count() == 2
+
+
+def test_cluster_must_name_a_shared_folder(spark):
+    from types import SimpleNamespace
+
+    from harborlight import session
+
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    remote = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(remote)
