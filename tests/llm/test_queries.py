@@ -92,3 +92,60 @@ def test_pipeline_stages(spark):
     assert set(columns) <= set(mixed.columns) and mixed.groupBy("doc_id").count().agg({"count": "max"}).first()[0] <= 3
     assert corpus_pipeline.run(spark, FOLDER).count() == mixed.count()
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "ngram_jaccard_join", "benchmark_decontamination", "secret_scans", "mixing"]
+
+
+def edge_tables(spark, folder, docs):
+    """A folder of tables with the given documents, one toxic word and one benchmark passage."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score int, _key string, Copies string"
+    spark.createDataFrame(docs, schema).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(d[0], 1, int("grobian" in (d[1] or ""))) for d in docs if d[0] is not None], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(1, LEAK), (2, None)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return str(folder)
+
+
+LEAK = " ".join(f"leak{i}" for i in range(14))
+SECRET = "token=0123456789abcdef0123"
+
+
+def test_pipeline_on_edge_rows(spark, tmp_path):
+    """Nulls in any column, empty and very long texts, ties, repeated rows and clashing columns, against what each stage should keep."""
+    base = [f"b{i}" for i in range(60)]
+    own = (5, "own", "own")
+    docs = [(i, f"plain text number {i} of many with words w{i} v{i} u{i}", "en", "s", 10, *own) for i in range(300, 1200)]
+    docs += [(i, f"grobian text number {i} with a{i} b{i}", "en", "s", 10, *own) for i in range(2000, 2100)]
+    edge = [
+        (1, " ".join(base), "en", "s", 10, *own), (2, " ".join(base[:-1] + ["z"]), None, None, None, None, None, None), (3, " ".join(base), "en", "s", 10, *own),
+        (4, None, "en", None, None, *own), (None, None, None, None, None, None, None, None), (None, "4", "en", "s", 1, *own), (5, "", "en", "s", 0, *own), (6, " \n ", "en", "s", 3, *own),
+        (7, f"before {LEAK} after", "en", "s", 10, *own), (8, f"some {SECRET} here", "en", "s", 10, *own), (9, "long " * 40000 + "end", "en", "s", 10, *own),
+        (10, "the same row twice", "en", "s", 10, *own), (10, "the same row twice", "en", "s", 10, *own),
+    ]
+    folder = edge_tables(spark, tmp_path / "t", docs + edge)
+    rows = spark.read.parquet(f"{folder}/documents.parquet")
+    columns = rows.columns
+    seen = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        rows = stage(spark, rows, folder).cache()
+        assert rows.columns == columns
+        seen[name] = sorted([(r.doc_id, r.text) for r in rows.collect() if r.doc_id is None or r.doc_id < 300], key=str)
+    plain = sum(r.doc_id is not None and 300 <= r.doc_id < 1200 for r in rows.collect())
+    toxic = sum(r.doc_id is not None and r.doc_id >= 2000 for r in rows.collect())
+    assert plain == 900 and toxic <= 5
+    ids = lambda name: sorted([i for i, _ in seen[name]], key=str)
+    every = sorted([d[0] for d in edge], key=str)
+    assert ids("toxicity") == every
+    for gone in (2, 3, 10):
+        every.remove(gone)
+    assert ids("ngram_jaccard_join") == every
+    every.remove(7)
+    assert ids("benchmark_decontamination") == ids("secret_scans") == every
+    texts = dict((i, t) for i, t in seen["secret_scans"] if i is not None)
+    assert texts[8] == "some [secret] here" and texts[4] is None and texts[5] == "" and len(texts[9]) == 200003
+    kept = [r for r in rows.collect() if r.doc_id == 9]
+    assert (kept[0].score, kept[0]["_key"], kept[0]["Copies"]) == own
+    mixed = corpus_pipeline.STAGES[-1][1](spark, rows, folder)
+    assert 0 < mixed.count() <= 3 * rows.count()
+
+
+def test_pipeline_of_nothing(spark, tmp_path):
+    folder = edge_tables(spark, tmp_path / "t", [])
+    assert corpus_pipeline.run(spark, folder).count() == 0
