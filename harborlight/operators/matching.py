@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from harborlight.functions import similarity as sim
 from harborlight.functions.spatial import band, cell, metres
 from harborlight.functions.text import match_address, match_name
+from harborlight.session import stored
 
 #: Categories that are not matched.
 NOT_MATCHED = ("beauty", "bath", "lodging")
@@ -55,6 +56,18 @@ def nearest(pairs: DataFrame, key: str = "id", n: int = NEAREST) -> DataFrame:
     return pairs.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= n).drop("_n")
 
 
+def nearest_within(left: DataFrame, right: DataFrame, radius: float, n: int = NEAREST) -> DataFrame:
+    """The n nearest partners within the radius of each row of left, by its id (WIN-4).
+
+    Rows with n partners in a quarter of the radius have their nearest there; only the others look further, so that in a dense
+    area few of the pairs within the radius are ever made.
+    """
+    near = stored(nearest(within(left, right, radius / 4), n=n), "near-pairs")
+    full = near.groupBy("id").count().filter(F.col("count") == n).select("id")
+    rest = within(left.join(full, "id", "left_anti"), right, radius)
+    return near.join(full, "id", "left_semi").unionByName(nearest(rest, n=n))
+
+
 def semi_near(left: DataFrame, right: DataFrame, radius: float) -> DataFrame:
     """Rows of left with any partner within the radius (JN-12)."""
     ids = within(left, right, radius).select("id").distinct()

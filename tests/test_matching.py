@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -113,3 +114,16 @@ def test_match_targets_rules(spark):
 def test_no_rows(spark):
     decided, counters = run(spark, [], [])
     assert decided.count() == 0 and counters.first().scanned == 0
+
+
+def test_nearest_within_is_exact_in_dense_and_thin_areas(spark):
+    """Places with enough partners near by, and places that have to look as far as the radius."""
+    rng = random.Random(5)
+    near = [(f"s{i}", 129.0 + rng.random() / 100, 35.1 + rng.random() / 100) for i in range(120)] + [(f"t{i}", 129.2 + rng.random() / 20, 35.1 + rng.random() / 20) for i in range(30)]
+    spots = spark.createDataFrame(near, "spot_content_id string, spot_x double, spot_y double")
+    places = [(i, 129.0 + rng.random() / 100, 35.1 + rng.random() / 100) for i in range(40)] + [(100 + i, 129.2 + rng.random() / 20, 35.1 + rng.random() / 20) for i in range(20)] + [(999, None, 35.1)]
+    left = spark.createDataFrame(places, "id long, map_x double, map_y double")
+    got = matching.nearest_within(left, spots, 2000.0, n=10).collect()
+    want = matching.nearest(matching.within(left, spots, 2000.0), n=10).collect()
+    rows = lambda found: sorted((r.id, r.spot_content_id, round(r.distance_m, 6)) for r in found)
+    assert rows(got) == rows(want) and len({r.id for r in got if r.id >= 100}) > 5
