@@ -3,7 +3,8 @@
 Each text gives `NAMES` statistics, transformed to be closer to normal (logs and logits) and written once as a small table.
 Class means and covariances come from sums over all labelled rows, added up by Spark; covariances are shrunk towards the
 pooled one and its diagonal. The score is the logistic function of the difference of log densities (Mahalanobis distances
-by cached Cholesky factors) plus the log odds of the classes, tempered by `TEMPER`.
+by cached Cholesky factors) plus the log odds of the classes. `TEMPER` softens the difference, because the statistics are less
+independent than the densities take them to be; it was set by hand, moves no score past another, and keeps scores off 0 and 1.
 
 Defined results: null and wordless texts have the statistics of an empty text and get a score like any other; an id with
 several different labels counts once in each class; null labels are left out; without labels of both classes every score
