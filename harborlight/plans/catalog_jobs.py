@@ -81,48 +81,59 @@ def _flavour_rows(t, headers: dict[str, Column]) -> DataFrame:
     return t("part").select(row.alias("row"), at().alias("fetched_at"), F.lit(0).alias("page"), F.col("p_partkey").alias("ordinal"))
 
 
-_KEY = F.col("p_partkey")
-_STORE = {"idx": _text(_KEY % 150), "sj": F.concat(F.lit("s "), "p_name"), "adres": F.concat(F.lit("부산 "), "p_type"), "tel": F.lit("051 1"), "parkngAt": F.when(_KEY % 2 == 0, "Y").otherwise("N"), "cn": F.when(_KEY % 9 == 0, "숙박업").otherwise("한식")}
-_GUIDE = {"UC_SEQ": _text(_KEY), "MAIN_TITLE": F.col("p_name"), "LNG": F.lit("129.1"), "LAT": F.when(_KEY % 4 == 0, "x").otherwise("35.1"), "ADDR1": F.col("p_type"), "RPRSNTV_MENU": F.col("p_brand")}
+def _key() -> Column:
+    return F.col("p_partkey")
+
+
+def _store() -> dict[str, Column]:
+    """Headers of a store row: ids that repeat, and some blocked places."""
+    return {"idx": _text(_key() % 150), "sj": F.concat(F.lit("s "), "p_name"), "adres": F.concat(F.lit("부산 "), "p_type"), "tel": F.lit("051 1"), "parkngAt": F.when(_key() % 2 == 0, "Y").otherwise("N"), "cn": F.when(_key() % 9 == 0, "숙박업").otherwise("한식")}
+
+
+def _guide() -> dict[str, Column]:
+    """Headers of a guide row, some without latitude."""
+    return {"UC_SEQ": _text(_key()), "MAIN_TITLE": F.col("p_name"), "LNG": F.lit("129.1"), "LAT": F.when(_key() % 4 == 0, "x").otherwise("35.1"), "ADDR1": F.col("p_type"), "RPRSNTV_MENU": F.col("p_brand")}
+
+
 _LAST = "(select * from (select *, p_partkey % 150 as idx, row_number() over (partition by p_partkey % 150 order by p_partkey desc) as n from {part} where p_partkey % 9 <> 0) where n = 1)"
 
 
 @query(f"select 's ' || p_name as name, '부산 ' || p_type as address, '0511' as tel, p_partkey % 2 = 0 as parking_available, cast(null as varchar) as representative_menu from {_LAST}")
 def store_sync(t) -> DataFrame:
     """JOB good_price_store_sync, PRJ-28, FLT-1: the last row of an id counts, blocked places are left out."""
-    out = jobs.food_sync(food_tables(t), _flavour_rows(t, _STORE), "store")
+    out = jobs.food_sync(food_tables(t), _flavour_rows(t, _store()), "store")
     return out["places"].select("name", "address", "tel", "parking_available", "representative_menu")
 
 
 @query(f"select cast(p_partkey % 150 as varchar) as external_id, 'good_price_store' as source, cast(p_partkey as varchar) as row_key from {_LAST}")
 def store_sync_sources(t) -> DataFrame:
     """MUT-9: the stored document is that of the last row."""
-    out = jobs.food_sync(food_tables(t), _flavour_rows(t, _STORE | {"key": _text(_KEY)}), "store")
+    out = jobs.food_sync(food_tables(t), _flavour_rows(t, _store() | {"key": _text(_key())}), "store")
     return out["sources"].select("external_id", "source", F.get_json_object("raw_json", "$.key").alias("row_key"))
 
 
 @query("select p_partkey as id, case when p_partkey % 2 = 0 then p_name else 'old' end as name, case when p_partkey % 2 = 1 then 1.5 else 129.1 end as map_x, case when p_partkey % 2 = 1 then 2.5 when p_partkey % 4 <> 0 then 35.1 end as map_y, case when p_partkey % 2 = 1 then 'tel' end as tel from {part}")
 def guide_sync(t) -> DataFrame:
     """JOB busan_food_sync, MUT-8: known places are overwritten, nulls included; the others stay."""
-    known = t("part").select(F.lit("busan_food").alias("source"), _text(_KEY).alias("external_id"), _KEY.alias("food_place_id"), F.lit(None).cast("string").alias("source_region"), F.lit("old").alias("raw_json"), at().alias("fetched_at"))
+    known = t("part").select(F.lit("busan_food").alias("source"), _text(_key()).alias("external_id"), _key().alias("food_place_id"), F.lit(None).cast("string").alias("source_region"), F.lit("old").alias("raw_json"), at().alias("fetched_at"))
     none = F.lit(None).cast("string")
-    places = t("part").select(_KEY.alias("id"), F.lit("old").alias("name"), none.alias("address"), F.lit("tel").alias("tel"), none.alias("representative_menu"), none.alias("normalized_category"), F.lit(1.5).alias("map_x"), F.lit(2.5).alias("map_y"), F.lit(None).cast("boolean").alias("parking_available"), F.lit(True).alias("is_active"))
-    out = jobs.food_sync(food_tables(t, sources=known, places=places), _flavour_rows(t, _GUIDE).filter("ordinal % 2 = 0"), "guide")
+    places = t("part").select(_key().alias("id"), F.lit("old").alias("name"), none.alias("address"), F.lit("tel").alias("tel"), none.alias("representative_menu"), none.alias("normalized_category"), F.lit(1.5).alias("map_x"), F.lit(2.5).alias("map_y"), F.lit(None).cast("boolean").alias("parking_available"), F.lit(True).alias("is_active"))
+    out = jobs.food_sync(food_tables(t, sources=known, places=places), _flavour_rows(t, _guide()).filter("ordinal % 2 = 0"), "guide")
     return out["places"].select("id", "name", "map_x", "map_y", "tel")
 
 
 @query("select p_partkey as id, p_name as name, 'tel' as tel, case when p_partkey % 4 <> 0 then 35.1 else 2.5 end as map_y from {part}")
 def guide_sync_keeping(t) -> DataFrame:
     """MUT-8 with keep_non_null: incoming nulls leave what is known."""
-    known = t("part").select(F.lit("busan_food").alias("source"), _text(_KEY).alias("external_id"), _KEY.alias("food_place_id"), F.lit(None).cast("string").alias("source_region"), F.lit("old").alias("raw_json"), at().alias("fetched_at"))
+    known = t("part").select(F.lit("busan_food").alias("source"), _text(_key()).alias("external_id"), _key().alias("food_place_id"), F.lit(None).cast("string").alias("source_region"), F.lit("old").alias("raw_json"), at().alias("fetched_at"))
     none = F.lit(None).cast("string")
-    places = t("part").select(_KEY.alias("id"), F.lit("old").alias("name"), none.alias("address"), F.lit("tel").alias("tel"), none.alias("representative_menu"), none.alias("normalized_category"), F.lit(1.5).alias("map_x"), F.lit(2.5).alias("map_y"), F.lit(None).cast("boolean").alias("parking_available"), F.lit(True).alias("is_active"))
-    out = jobs.food_sync(food_tables(t, sources=known, places=places), _flavour_rows(t, _GUIDE), "guide", keep_non_null=True)
+    places = t("part").select(_key().alias("id"), F.lit("old").alias("name"), none.alias("address"), F.lit("tel").alias("tel"), none.alias("representative_menu"), none.alias("normalized_category"), F.lit(1.5).alias("map_x"), F.lit(2.5).alias("map_y"), F.lit(None).cast("boolean").alias("parking_available"), F.lit(True).alias("is_active"))
+    out = jobs.food_sync(food_tables(t, sources=known, places=places), _flavour_rows(t, _guide()), "guide", keep_non_null=True)
     return out["places"].select("id", "name", "tel", "map_y")
 
 
 def _spot_tables(t) -> jobs.Tables:
-    old = t("part").filter("p_partkey % 4 <> 3").select(_text(_KEY).alias("content_id"), F.when(_KEY % 2 == 0, "39").otherwise("12").alias("content_type_id"), F.lit("old").alias("title"), F.lit("26").alias("l_dong_regn_cd"), F.lit(True).alias("source_tour_api"), (_KEY % 3 == 0).alias("source_busan_food"), F.when(_KEY % 5 == 0, F.expr("to_timestamp(concat('2024-01-02 00:0', p_partkey % 10))")).alias("source_modified_time"), F.lit("2020-01-01").cast("timestamp").alias("synced_at"), F.lit(True).alias("is_active"), F.lit(None).cast("timestamp").alias("inactive_since"))
+    old = t("part").filter("p_partkey % 4 <> 3").select(_text(_key()).alias("content_id"), F.when(_key() % 2 == 0, "39").otherwise("12").alias("content_type_id"), F.lit("old").alias("title"), F.lit("26").alias("l_dong_regn_cd"), F.lit(True).alias("source_tour_api"), (_key() % 3 == 0).alias("source_busan_food"), F.when(_key() % 5 == 0, F.expr("to_timestamp(concat('2024-01-02 00:0', p_partkey % 10))")).alias("source_modified_time"), F.lit("2020-01-01").cast("timestamp").alias("synced_at"), F.lit(True).alias("is_active"), F.lit(None).cast("timestamp").alias("inactive_since"))
     return {"spots": old, "details": _empty(t, "content_id string, overview string, overview_hash string"), "raw": _empty(t, "content_id string, raw_json string, fetched_at timestamp"), "images": _empty(t, "content_id string, serial_num string, origin_img_url string, img_name string")}
 
 

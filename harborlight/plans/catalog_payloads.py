@@ -34,23 +34,28 @@ def _object(**fields: Column) -> Column:
     return F.struct(*[v.alias(k) for k, v in fields.items()])
 
 
-_KEY, _MINUTE = F.col("p_partkey"), F.lpad((F.col("p_partkey") % 60).cast("string"), 2, "0")
+def _key() -> Column:
+    return F.col("p_partkey")
+
+
+def _minute() -> Column:
+    return F.lpad((_key() % 60).cast("string"), 2, "0")
 
 
 def spot_details(t) -> DataFrame:
     """Landed detail payloads of parts as spots: (content_id, endpoint, payload)."""
-    parking = F.when(_KEY % 3 == 0, F.lit("가능")).when(_KEY % 3 == 1, F.lit("불가능"))
+    parking = F.when(_key() % 3 == 0, F.lit("가능")).when(_key() % 3 == 1, F.lit("불가능"))
     common = _object(
-        contentid=F.when(_KEY % 13 != 0, _text(_KEY)), contenttypeid=F.lit("39"), title=F.concat(F.lit(" "), "p_name"),
-        mapx=F.when(_KEY % 5 == 0, "x").otherwise(F.concat(F.lit("129."), _text(100 + _KEY % 900))), mapy=F.when(_KEY % 7 != 0, F.concat(F.lit("35."), _text(100 + _KEY % 900))),
-        lDongRegnCd=F.lit("26"), lDongSignguCd=_text(100 + _KEY % 16), lclsSystm1=F.substring("p_brand", 1, 5), firstimage=F.when(_KEY % 4 != 0, F.concat(F.lit("u"), _text(_KEY))),
-        modifiedtime=F.concat(F.lit("2024010209"), _MINUTE, F.when(_KEY % 11 == 0, "").otherwise("00")), createdtime=F.concat(F.lit("2023010208"), _MINUTE, F.lit("59")),
-        tel=F.when(_KEY % 2 == 0, " ").otherwise("051"), addr1=F.col("p_type"), overview=F.when(_KEY % 6 == 0, " \n").otherwise(F.concat(F.lit(" "), "p_type", F.lit("\n"))),
+        contentid=F.when(_key() % 13 != 0, _text(_key())), contenttypeid=F.lit("39"), title=F.concat(F.lit(" "), "p_name"),
+        mapx=F.when(_key() % 5 == 0, "x").otherwise(F.concat(F.lit("129."), _text(100 + _key() % 900))), mapy=F.when(_key() % 7 != 0, F.concat(F.lit("35."), _text(100 + _key() % 900))),
+        lDongRegnCd=F.lit("26"), lDongSignguCd=_text(100 + _key() % 16), lclsSystm1=F.substring("p_brand", 1, 5), firstimage=F.when(_key() % 4 != 0, F.concat(F.lit("u"), _text(_key()))),
+        modifiedtime=F.concat(F.lit("2024010209"), _minute(), F.when(_key() % 11 == 0, "").otherwise("00")), createdtime=F.concat(F.lit("2023010208"), _minute(), F.lit("59")),
+        tel=F.when(_key() % 2 == 0, " ").otherwise("051"), addr1=F.col("p_type"), overview=F.when(_key() % 6 == 0, " \n").otherwise(F.concat(F.lit(" "), "p_type", F.lit("\n"))),
     )
-    intro = _object(parkingfood=F.when(_KEY % 2 == 0, parking), parkingleports=F.when(_KEY % 2 == 1, parking), opentimefood=F.col("p_size").cast("string"))
-    image = lambda i: _object(serialnum=F.when(_KEY % 3 != 0, F.lit(f"s{i % 2}")), originimgurl=F.when((_KEY + i) % 4 != 0, F.concat(F.lit("img"), _text(_KEY), F.lit(f"-{i}"))), imgname=F.lit(f"n{i}"))
+    intro = _object(parkingfood=F.when(_key() % 2 == 0, parking), parkingleports=F.when(_key() % 2 == 1, parking), opentimefood=F.col("p_size").cast("string"))
+    image = lambda i: _object(serialnum=F.when(_key() % 3 != 0, F.lit(f"s{i % 2}")), originimgurl=F.when((_key() + i) % 4 != 0, F.concat(F.lit("img"), _text(_key()), F.lit(f"-{i}"))), imgname=F.lit(f"n{i}"))
     bodies = {"detailCommon2": envelope(common), "detailIntro2": envelope(intro), "detailImage2": envelope(F.array(*[image(i) for i in range(3)])), "detailInfo2": F.lit("[broken")}
-    rows = t("part").select(_text(_KEY).alias("content_id"), F.array(*[F.struct(F.lit(e).alias("endpoint"), b.alias("payload")) for e, b in bodies.items()]).alias("all"))
+    rows = t("part").select(_text(_key()).alias("content_id"), F.array(*[F.struct(F.lit(e).alias("endpoint"), b.alias("payload")) for e, b in bodies.items()]).alias("all"))
     return rows.select("content_id", F.inline("all"))
 
 
@@ -93,7 +98,7 @@ def spot_image_rows(t) -> DataFrame:
     case when p_partkey % 13 <> 0 then '{}' end as info from {part} where p_partkey % 13 <> 0 or p_partkey % 2 = 0""")
 def spot_raw_documents(t) -> DataFrame:
     """PRJ-22 and MUT-3: the raw document of all endpoints replaces the stored one."""
-    old = t("part").filter("p_partkey % 2 = 0").select(_text(_KEY).alias("content_id"), F.lit('{"endpoints":{"detailCommon2":{"data":{"response":{"body":{"items":{"item":{"title":" old"}}}}},"fetched_at":"old"}}}').alias("raw_json"), at().alias("fetched_at"))
+    old = t("part").filter("p_partkey % 2 = 0").select(_text(_key()).alias("content_id"), F.lit('{"endpoints":{"detailCommon2":{"data":{"response":{"body":{"items":{"item":{"title":" old"}}}}},"fetched_at":"old"}}}').alias("raw_json"), at().alias("fetched_at"))
     raw = mutations.apply_upsert(old, _spots(t)["raw"], ["content_id"])
     get = lambda path: F.get_json_object("raw_json", f"$.endpoints.{path}")
     return raw.select("content_id", F.trim(get("detailCommon2.data.response.body.items.item.title")).alias("title"), get("detailCommon2.fetched_at").alias("fetched_at"), get("detailInfo2.data").alias("info"))
@@ -353,8 +358,8 @@ def run_states(t) -> DataFrame:
 @query("select cast(p_partkey as varchar) as content_id, p_size as n, case when p_partkey % 3 = 2 then 'old' when p_partkey % 3 = 1 and p_partkey % 2 = 1 then 'old' else 'new' end as stamp from {part} where p_partkey % 3 <> 0 or p_partkey % 2 = 0")
 def stamped_upsert(t) -> DataFrame:
     """MUT-21: new and changed rows are stamped, others keep their time."""
-    rows = t("part").select(_text(_KEY).alias("content_id"), F.col("p_size").alias("n"), "p_partkey")
-    old = rows.filter("p_partkey % 3 <> 0").withColumn("n", F.when((_KEY % 3 == 1) & (_KEY % 2 == 0), F.col("n") + 1).otherwise(F.col("n"))).withColumn("updated_at", F.lit("2000-01-01").cast("timestamp"))
+    rows = t("part").select(_text(_key()).alias("content_id"), F.col("p_size").alias("n"), "p_partkey")
+    old = rows.filter("p_partkey % 3 <> 0").withColumn("n", F.when((_key() % 3 == 1) & (_key() % 2 == 0), F.col("n") + 1).otherwise(F.col("n"))).withColumn("updated_at", F.lit("2000-01-01").cast("timestamp"))
     new = rows.filter("p_partkey % 3 <> 2 and (p_partkey % 3 = 1 or p_partkey % 2 = 0)").select("content_id", "n")
     after = mutations.apply_upsert(old.drop("p_partkey"), new, ["content_id"], stamp=at())
     return after.select("content_id", "n", F.when(F.year("updated_at") == 2000, "old").otherwise("new").alias("stamp"))
@@ -372,8 +377,8 @@ def coordinates_set(t) -> DataFrame:
     union all select p_partkey, 'late ' || p_name, p_size * 100, case when p_partkey % 2 = 0 then 2 else 1 end from {part}""")
 def menu_headers(t) -> DataFrame:
     """GEN-2 and GEN-3: single-item headers, and numbered pairs beyond the slots."""
-    single = F.when(_KEY % 2 == 0, F.map_from_arrays(F.array(F.lit("itemNm"), F.lit("menuPrc")), F.array(F.concat(F.lit("single "), "p_name"), _text(F.col("p_size") * 1000))))
-    late = F.create_map(F.lit("메뉴 25"), F.concat(F.lit("late "), "p_name"), F.lit("가격 25"), _text(F.col("p_size") * 100), F.lit("key"), _text(_KEY))
+    single = F.when(_key() % 2 == 0, F.map_from_arrays(F.array(F.lit("itemNm"), F.lit("menuPrc")), F.array(F.concat(F.lit("single "), "p_name"), _text(F.col("p_size") * 1000))))
+    late = F.create_map(F.lit("메뉴 25"), F.concat(F.lit("late "), "p_name"), F.lit("가격 25"), _text(F.col("p_size") * 100), F.lit("key"), _text(_key()))
     row = F.when(single.isNotNull(), F.map_concat(late, single)).otherwise(late)
     found = gen.with_menus(gen.with_headers(t("part").select(row.alias("row"))))
     return found.select(F.element_at("row", "key").cast("long").alias("key"), F.inline("menus")).select("key", "menu_name", "price", "display_order")

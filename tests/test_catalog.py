@@ -67,3 +67,12 @@ def test_corpus_package_is_optional():
                 for node in ast.walk(tree):
                     named = [a.name for a in node.names] if isinstance(node, ast.Import) else [node.module or ""] if isinstance(node, ast.ImportFrom) else []
                     assert not any("llm" in n.split(".") for n in named), name
+
+
+def test_entry_imports_without_a_session():
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; assert set(e.oracle_sql()) <= set(e.queries())"], cwd=root, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr
