@@ -21,6 +21,7 @@ has a null id; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import math
 import struct
 from collections.abc import Iterator
 
@@ -40,8 +41,10 @@ SPREAD = 4
 LEADERS = 3
 #: Members of a group in one row of the matrix; larger groups have several rows.
 GROUP_ROWS = 64
-#: Questions to a group that meet it in one task, and the groups with more that are broadcast.
-SALT_ROWS, BROADCAST_GROUPS = 64, 50_000
+#: Rows of a key that share a salt: sets with a token, and questions to a group.
+TOKEN_ROWS, QUESTION_ROWS = 512, 64
+#: Most keys with more rows than a salt holds; they are broadcast.
+HOT_KEYS = 50_000
 
 
 def shingle_sets(chunk: _text.Chunk, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -248,8 +251,9 @@ def group_components(sets: DataFrame, percent: int) -> DataFrame:
     labels = sets.select(F.col("id").alias("node"), F.col("id").alias("label"))
     orders = [F.col("rarity"), *[F.xxhash64("id", F.lit(r)).cast("double") for r in range(LEADERS - 1)]]
     ranks = [F.min(F.struct(o.alias("r"), F.col("id").alias("leader"), F.col("n").alias("leader_n"), F.col("s").alias("leader_s"))) for o in orders]
-    lead = posts.groupBy("token").agg(F.array(*ranks).alias("leaders"), F.count("*").alias("sets")).filter("sets > 1")
-    near = posts.join(lead, "token").select("id", "n", "s", F.inline("leaders")).filter(F.col("id") != F.col("leader")).filter(_fits("n", "s", "leader_n", "leader_s", percent))
+    lead = stored(posts.groupBy("token").agg(F.array(*ranks).alias("leaders"), F.count("*").alias("rows")).filter("rows > 1"), "leaders")
+    dealt, lead = salted(posts, "token", lead, TOKEN_ROWS, posts.count())
+    near = dealt.join(lead, ["token", "salt"]).select("id", "n", "s", F.inline("leaders")).filter(F.col("id") != F.col("leader")).filter(_fits("n", "s", "leader_n", "leader_s", percent))
     pairs = near.select(F.least("id", "leader").alias("u"), F.greatest("id", "leader").alias("v")).distinct()
     labels = components(stored(_compare(pairs, sets, percent), "edges"), stored(labels, "labels"))
     release(spark)
@@ -260,17 +264,18 @@ def _open_groups(posts: DataFrame, sets: DataFrame, labels: DataFrame, percent:
     """Links between different groups, as edges between labels: the token-group matrix and the opened groups."""
     here = posts.join(labels, F.col("id") == F.col("node")).select("id", "n", "s", "token", "label")
     # tokens that lie in one group only can't connect two groups
-    split = here.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("token")
-    open_ = stored(here.join(split, "token"), "open-posts")
+    split = here.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("rows")).filter("lo <> hi").select("token", "rows")
+    dealt, split = salted(here, "token", stored(split, "split-tokens"), TOKEN_ROWS, posts.count())
+    open_ = stored(dealt.join(split, ["token", "salt"]), "open-posts")
     members = labels.groupBy("label").agg(F.count("*").alias("members"))
     cells = open_.groupBy("token", "label").agg(F.min("n").alias("least"), F.max("s").alias("most")).join(members, "label")
     other = cells.select("token", F.col("label").alias("group"), "least", "most", F.col("members").alias("group_members"))
-    asks = open_.join(members, "label").join(other, "token")
+    asks = open_.join(members, "label").join(other.join(split, "token"), ["token", "salt"])
     # of two groups the one with fewer members asks, and some size and shared tokens must fit
     asks = asks.filter((F.col("members") < F.col("group_members")) | ((F.col("members") == F.col("group_members")) & (F.col("label") < F.col("group"))))
     asks = asks.filter(_fits("n", "s", "least", "most", percent))
     asks = stored(asks.select("id", "n", "s", "label", "group").distinct(), "asks")
-    asks, salts = salted(asks)
+    asks, salts = salted(asks, "group", asks.groupBy("group").agg(F.count("*").alias("rows")), QUESTION_ROWS, asks.count())
     wanted = asks.select(F.col("group").alias("label")).distinct()
     united = sets.join(labels, F.col("id") == F.col("node")).join(wanted, "label")
     unions = united.join(members, "label").withColumn("part", _part("id"))
@@ -294,16 +299,18 @@ def _open_groups(posts: DataFrame, sets: DataFrame, labels: DataFrame, percent:
     return stored(found.select(F.col("label").alias("u"), F.col("group").alias("v")).distinct(), "edges")
 
 
-def salted(asks: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """asks with a salt, so that about SALT_ROWS of a group's asks share one, and the salts of each group."""
-    count = stored(asks.groupBy("group").agg(F.ceil(F.count("*") / SALT_ROWS).alias("count")), "ask-counts")
-    several = count.filter("count > 1")
-    # that many groups at most have several salts; where they are too many to be sent to all tasks, they are shuffled
-    if several.count() <= BROADCAST_GROUPS:
-        several = F.broadcast(several)
-    salt = F.pmod(F.xxhash64("id", F.lit("salt")), F.coalesce("count", F.lit(1)))
-    asks = asks.join(several, "group", "left").withColumn("salt", salt).drop("count")
-    return asks, count.select("group", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1)).alias("salt"))
+def salted(rows: DataFrame, key: str, counts: DataFrame, size: int, total: int) -> tuple[DataFrame, DataFrame]:
+    """rows with a salt, so that about `size` rows of a key share one, and counts (key, rows, ..) once for each salt.
+
+    Of `total` rows at most HOT_KEYS keys have more than total / HOT_KEYS each, so with that as least size the keys with several
+    salts are few enough to be broadcast.
+    """
+    size = max(size, math.ceil(total / HOT_KEYS))
+    number = F.ceil(F.col("rows") / size)
+    several = F.broadcast(counts.filter(F.col("rows") > size).select(key, number.alias("_salts")))
+    salt = F.pmod(F.xxhash64("id", F.lit("salt")), F.coalesce("_salts", F.lit(1)))
+    dealt = rows.join(several, key, "left").withColumn("salt", salt).drop("_salts")
+    return dealt, counts.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), number - 1))).drop("rows")
 
 
 def _part(id_: str) -> Column:
