@@ -215,14 +215,15 @@ def test_keep_one_keeps_clashing_columns(spark):
 
 def test_questions_to_a_large_group_are_dealt_out(spark, monkeypatch):
     """Two large groups of near copies that link only through single members, with few questions to a salt and few sets to a part."""
-    monkeypatch.setattr(jaccard, "SALT_ROWS", 3)
+    monkeypatch.setattr(jaccard, "QUESTION_ROWS", 3)
+    monkeypatch.setattr(jaccard, "TOKEN_ROWS", 2)
     monkeypatch.setattr(jaccard, "GROUP_ROWS", 4)
     rng = random.Random(6)
     base = [f"b{i}" for i in range(100)]
     rows = [(i, " ".join(f"b{j}" for j in range(i, i + 60)), None, None, None) for i in range(80)]
     rows += [(1000 + i, edited(rng, base, i % 5), None, None, None) for i in range(80)]
-    for broadcast in (50_000, -1):
-        monkeypatch.setattr(jaccard, "BROADCAST_GROUPS", broadcast)
+    for keys in (50_000, 10):
+        monkeypatch.setattr(jaccard, "HOT_KEYS", keys)
         got = jaccard.jaccard_components(spark.createDataFrame(rows, SCHEMA), shingle=2, percent=80).collect()
         assert sorted([(r.doc_id, r.n_shingles, r.component_id) for r in got], key=str) == brute_components(rows, 2, 80)
 
