@@ -103,9 +103,12 @@ def test_cache_gate(spark):
 
 
 def test_listing_complete(spark):
-    pages = spark.createDataFrame([("12", 1, 2), ("12", 2, 2), ("39", 1, 2)], "content_type_id string, page int, last_page int")
-    assert not guards.listing_complete(pages).first().complete
-    assert guards.listing_complete(pages.filter("content_type_id = '12'")).first().complete
+    """A type is read to its end by a page that is not full; one that was never read is not complete."""
+    pages = spark.createDataFrame([("12", 1, 5), ("12", 2, 3), ("39", 1, 5)], "content_type_id string, page int, items int")
+    assert not guards.listing_complete(pages, ["12", "39"], 5).first().complete
+    assert guards.listing_complete(pages, ["12"], 5).first().complete
+    assert not guards.listing_complete(pages, ["12", "14"], 5).first().complete
+    assert not guards.listing_complete(pages.limit(0), ["12"], 5).first().complete
 
 
 def test_run_log(spark):
