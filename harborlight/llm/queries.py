@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborlight.llm import ann, decontamination, jaccard, mixing, quality, secret_scan, substring_dedup, toxicity, url_filter, warc
+from harborlight.llm import ann, bpe, centroids, decontamination, fill_in_middle, jaccard, mixing, quality, secret_scan, substring_dedup, toxicity, url_filter, warc
 from harborlight.llm._sample import fold
 from harborlight.llm.sql import ORACLES
 
@@ -69,6 +69,29 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(_table(spark, folder, "pages"))
 
 
+def op11_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers  # only this query needs the vocabulary files
+
+    vocabulary = bpe.Vocabulary.read(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    encoded = bpe.encode(docs, vocabulary, public_tokenizers.PATTERN, cut_at_spaces=True).drop("text")
+    ids_sha256 = F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256)
+    return bpe.decode(encoded, vocabulary).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), ids_sha256.alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    cut = fill_in_middle.fill_in_middle(_table(spark, folder, "documents").select("doc_id", "text"))
+    restored = fill_in_middle.restore(F.col("output"), F.col("form"))
+    digests = [F.sha2("output", 256).alias("output_sha256"), F.sha2(restored, 256).alias("restored_sha256")]
+    return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+def op13_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    assigned, centres = centroids.cluster(_table(spark, folder, "embeddings"))
+    named = centres.select("cluster", "cluster_inertia", "inertia", centroids.centroid_digest(F.col("centroid")).alias("centroid_sha256"))
+    return assigned.join(F.broadcast(named), "cluster").select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")  # as many rows as clusters
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = globals()
     return {n: own[n] for n in sorted(own) if n.startswith("op") and n[2].isdigit()}

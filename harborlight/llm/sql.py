@@ -104,6 +104,34 @@ def _url_sql() -> str:
     return f"with {', '.join(parts)} select y.page_id, y.host, y.path, y.rule, {last} as verdict, j.template, j.purity from y left join j on {' and '.join(f'y.{c} is not distinct from j.{c}' for c in ('host', *levels))}"
 
 
+FILL_IN_MIDDLE = """
+with t as (select doc_id, coalesce(text, '') as text, cast(length(coalesce(text, '')) as bigint) as n, sha256('1:' || coalesce(cast(doc_id as varchar), '')) as h from documents),
+h as (select *, cast('0x' || substr(h, 1, 8) as bigint) % (n + 1) as a, cast('0x' || substr(h, 9, 8) as bigint) % (n + 1) as b, cast('0x' || substr(h, 17, 8) as bigint) % 100 as c, cast('0x' || substr(h, 25, 8) as bigint) % 100 as d from t),
+f as (select doc_id, text, n, least(a, b) as p, greatest(a, b) - least(a, b) as m, case when n = 0 or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or c >= 90 then 'plain' when d < 20 then 'spm' else 'psm' end as form from h),
+s as (select *, substr(text, 1, p) as pre, substr(text, p + 1, m) as mid, substr(text, p + m + 1) as suf from f)
+select doc_id, n, form, case when form <> 'plain' then p end as prefix_chars, case when form <> 'plain' then m end as middle_chars,
+  sha256(case form when 'plain' then text when 'spm' then '<S>' || suf || '<P>' || pre || '<M>' || mid else '<P>' || pre || '<S>' || suf || '<M>' || mid end) as output_sha256, sha256(text) as restored_sha256 from s"""
+
+
+def centroid_sql(rounds: int = 10, clusters: int = 8) -> str:
+    """Rounds of exact assignments and floors of means, written out one after the other."""
+    steps = [
+        """with k as (select row_number() over () as r, vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as q from embeddings
+where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = 64)""",
+        f"c0 as (select row_number() over (order by sha256('3:' || coalesce(cast(vec_id as varchar), '')), q) - 1 as c, q as z from k qualify c < {clusters})",
+    ]
+    for i in range(rounds + 1):
+        steps.append(f"p{i} as materialized (select r, vec_id, q, c, z, list_sum(list_transform(range(1, 65), lambda j: (q[j] - z[j]) * (q[j] - z[j]))) as d from k, c{i})")
+        steps.append(f"a{i} as materialized (select r, vec_id, q, c, cast(d as bigint) as d from p{i} qualify row_number() over (partition by r order by d, c) = 1)")
+        if i < rounds:
+            steps.append(f"u{i} as (select c, j, sum(x) as s, count(*) as n from (select c, unnest(q) as x, generate_subscripts(q, 1) as j from a{i}) group by c, j)")
+            steps.append(f"n{i} as (select c, list(cast((s - ((s % n) + n) % n) // n as bigint) order by j) as z from u{i} group by c)")
+            steps.append(f"c{i + 1} as materialized (select c{i}.c, coalesce(n{i}.z, c{i}.z) as z from c{i} left join n{i} using (c))")
+    last = f"""select vec_id, cast(c as integer) as cluster, d as distance, cast(sum(d) over (partition by c) as bigint) as cluster_inertia, cast(sum(d) over () as bigint) as inertia,
+  sha256(array_to_string(z, ',')) as centroid_sha256 from a{rounds} join (select c, z from c{rounds}) using (c)"""
+    return ",\n".join(steps) + "\n" + last
+
+
 ORACLES = {
     "op3_decontamination": DECONTAMINATION,
     "op4_mixing": MIXING,
@@ -111,4 +139,6 @@ ORACLES = {
     "op6_warc": WARC,
     "op9_jaccard_join": JACCARD,
     "op10_url_filter": _url_sql(),
+    "op12_fill_in_middle": FILL_IN_MIDDLE,
+    "op13_centroid_clustering": centroid_sql(),
 }
