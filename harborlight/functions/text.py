@@ -59,10 +59,16 @@ def blank_to_null(c: Column) -> Column:
     return F.nullif(strip(c.cast("string")), F.lit(""))
 
 
+#: What Python's float() reads, in ASCII: digits with single underscores between them, or a name.
+_DIGITS = r"[0-9](_?[0-9])*"
+NUMBER = rf"(?i)^[+-]?(({_DIGITS}\.?({_DIGITS})?|\.{_DIGITS})(e[+-]?{_DIGITS})?|inf|infinity|nan)$"
+
+
 def to_double(c: Column, commas: bool = False) -> Column:
-    """Number or null; with `commas`, thousands separators are dropped first (PRJ-2, PRJ-3)."""
+    """Number or null, in the forms of Python's float(); with `commas`, thousands separators are dropped first (PRJ-2, PRJ-3)."""
     text = blank_to_null(c)
-    return (F.replace(text, F.lit(","), F.lit("")) if commas else text).try_cast("double")
+    text = F.replace(text, F.lit(","), F.lit("")) if commas else text
+    return F.when(text.rlike(NUMBER), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
 
 
 def yes_no(c: Column) -> Column:

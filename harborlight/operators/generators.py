@@ -6,82 +6,30 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from harborlight.functions.text import blank_to_null, parse_price
+from harborlight.operators.headers import MENU_SLOTS, first_filled
 from harborlight.sources.envelopes import course_items
 
-MENU_SLOTS = 20
-# Header words of menu names and prices, and their pairs.
-NAME_WORDS, PRICE_WORDS = ("품목", "메뉴", "item", "menu"), ("가격", "price")
-PAIRS = (("품목", "가격"), ("메뉴", "가격"), ("item", "price"), ("menu", "price"))
-SINGLE_NAME, SINGLE_PRICE = ("itemNm", "ITEM_NM", "메뉴명", "품목명"), ("menuPrc", "MENU_PRC", "메뉴가격", "가격")
-
-
 def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """df with a column that later expressions read instead of computing it anew: a generator keeps the optimiser from inlining it."""
     return df.select("*", F.explode(F.array(value)).alias(name))
 
 
-def with_headers(rows: DataFrame, name: str = "_h") -> DataFrame:
-    """rows with the map of `row` by trimmed, lower-cased headers; of equal headers the last counts."""
-    lowered = F.transform(F.map_entries("row"), lambda e: F.struct(F.lower(F.trim(e["key"])).alias("key"), e["value"].alias("value")))
-    listed = once(rows, "_entries", lowered)
-    last = F.filter("_entries", lambda e, i: ~F.exists(F.slice("_entries", i + 2, F.size("_entries")), lambda later: later["key"] == e["key"]))
-    return once(listed, name, F.map_from_entries(last)).drop("_entries")
-
-
-def first_of(headers: Column, *names: str) -> Column:
-    """First non-blank value among header names, in order (PRJ-7)."""
-    return F.coalesce(*[blank_to_null(F.element_at(headers, n.lower())) for n in names])
-
-
-def _numbered(headers: Column, words: tuple[str, ...]) -> Column:
-    """Non-blank values under numbered headers (word, N, 0N, with _ or without) as (slot, rank, value), the preferred spelling of a slot first."""
-    pattern = f"^({'|'.join(words)})(_?)(0[1-9]|[1-9]|1[0-9]|{MENU_SLOTS})$"
-    hits = F.filter(F.map_entries(headers), lambda e: F.rlike(e["key"], F.lit(pattern)) & blank_to_null(e["value"]).isNotNull())
-
-    def entry(e: Column) -> Column:
-        number = F.regexp_extract(e["key"], pattern, 3)
-        word = F.array_position(F.array(*[F.lit(w) for w in words]), F.regexp_extract(e["key"], pattern, 1))
-        rank = word * 4 + F.when(number.startswith("0"), 2).otherwise(0) + F.length(F.regexp_extract(e["key"], pattern, 2))
-        return F.struct(number.cast("int").alias("slot"), rank.alias("rank"), blank_to_null(e["value"]).alias("value"))
-
-    return F.array_sort(F.transform(hits, entry))
-
-
-def _numbered_pairs(entries: Column, name: str, price: str) -> Column:
-    """(name, price) of each header `name N` for which there is a header `price N`, in header order."""
-
-    def paired(e: Column) -> Column:
-        wanted = F.concat(F.lit(rf"(?i)^{price}\s*"), F.regexp_extract(e["key"], "([0-9]+)$", 1), F.lit("$"))
-        match = F.get(F.filter(entries, lambda p: F.rlike(p["key"], wanted)), F.lit(0))
-        return F.struct(F.when(match.isNotNull(), blank_to_null(e["value"])).alias("name"), match["value"].alias("price"), F.lit(None).cast("int").alias("slot"))
-
-    return F.transform(F.filter(entries, lambda e: F.rlike(e["key"], F.lit(rf"(?i)^{name}\s*[0-9]+$"))), paired)
-
-
 def with_menus(rows: DataFrame) -> DataFrame:
-    """rows (of with_headers) with `menus`, the menus of each in order (GEN-1 to GEN-4): array of menu_name, price, display_order, is_representative.
+    """rows (of headers.resolved) with `menus`, the menus of each in order (GEN-1 to GEN-4): array of menu_name, price, display_order, is_representative.
 
     Numbered slots come first, then the single-item headers, then any other numbered pair. A name (ignoring case) counts once;
     slots keep their number as order, later ones get the running count; the first menu is representative.
     """
-    row, headers = F.col("row"), F.col("_h")
-    prepared = once(once(rows, "_names", _numbered(headers, NAME_WORDS)), "_prices", _numbered(headers, PRICE_WORDS))
-    at = lambda values, i: F.get(F.filter(values, lambda v: v["slot"] == i), F.lit(0))["value"]
-    slots = F.transform(F.sequence(F.lit(1), F.lit(MENU_SLOTS)), lambda i: F.struct(at("_names", i).alias("name"), at("_prices", i).alias("price"), i.alias("slot")))
-    none = F.lit(None).cast("int")
-    single = F.array(F.struct(first_of(headers, *SINGLE_NAME).alias("name"), first_of(headers, *SINGLE_PRICE).alias("price"), none.alias("slot")))
-    entries = F.map_entries(row)
-    found = [slots, single]
-    found += [_numbered_pairs(entries, name, price) for name, price in PAIRS]
     kind = "array<struct<menu_name:string,price:int,display_order:int,is_representative:boolean>>"
+    read = F.transform("_slots", lambda s: F.struct(first_filled(s["names"]).alias("name"), first_filled(s["prices"]).alias("price"), s["slot"].alias("slot")))
 
     def add(done: Column, x: Column) -> Column:
         known = F.exists(done, lambda d: F.lower(d["menu_name"]) == F.lower(x["name"]))
         new = F.struct(x["name"].alias("menu_name"), parse_price(x["price"]).alias("price"), F.coalesce(x["slot"], F.size(done) + 1).alias("display_order"), (F.size(done) == 0).alias("is_representative"))
-        return F.when(x["name"].isNull() | known, done).otherwise(F.concat(done, F.array(new).cast(kind)))
+        return F.when(known, done).otherwise(F.concat(done, F.array(new).cast(kind)))
 
-    candidates = once(prepared, "_found", F.filter(F.concat(*found), lambda x: x["name"].isNotNull()))
-    return once(candidates, "menus", F.aggregate("_found", F.array().cast(kind), add)).drop("_names", "_prices", "_found")
+    found = once(rows, "_found", F.filter(read, lambda x: x["name"].isNotNull()))
+    return once(found, "menus", F.aggregate("_found", F.array().cast(kind), add)).drop("_found")
 
 
 def unpivot_menus(rows: DataFrame, key: str, slots: int = MENU_SLOTS) -> DataFrame:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from harborlight.functions import text as tx
 from harborlight.functions.spatial import point
-from harborlight.operators.generators import first_of, number_course_items, spot_images, with_headers, with_menus
+from harborlight.operators import headers as hd
+from harborlight.operators.generators import number_course_items, spot_images, with_menus
 from harborlight.sources import envelopes as env
 
 #: source of the place, source of its menus, kind of source: of each flavour of food rows.
@@ -45,24 +46,23 @@ NAMES = ("lclsSystm3Nm", "lclsSystmNm3", "lclsSystm2Nm", "lclsSystm1Nm", "lclsSy
 PARTS = ("lclsSystm1Nm", "lclsSystm2Nm", "lclsSystm3Nm", "lclsSystmNm1", "lclsSystmNm2", "lclsSystmNm3")
 
 
-def food_places(rows: DataFrame, flavour: str) -> tuple[DataFrame, DataFrame]:
-    """(places with their menus, rejects) from rows with `row` (map of header to text) and fetched_at (PRJ-27, PRJ-28, FLT-10).
+def food_rows(rows: DataFrame, flavour: str) -> DataFrame:
+    """Every source row, with headers and cells or `row` (map of header to text), and fetched_at, as a place with menus, _blocked and _label (PRJ-27, PRJ-28).
 
-    `page` and `ordinal` (of a page of items, or file and row number) say where a row stood; without them both are 0.
-    Rows without a name are rejects with reason and label.
+    `page` and `ordinal` (of a page of items, or file and row number) say where a row stood; without them both are 0. Rows without a name are
+    rejects (FLT-10) with that label, blocked ones hold words of FLT-1.
     """
     place_source, menu_source, kind = FLAVOURS[flavour]
     for n in PLACE_ORDER[1:]:
         if n not in rows.columns:
             rows = rows.withColumn(n, F.lit(0))
-    base = with_menus(with_headers(rows))
-    get = lambda f: first_of(F.col("_h"), *HEADERS[f])
-    fields = base.withColumns({f"_{f}": get(f) for f in HEADERS})
+    base = with_menus(hd.resolved(hd.as_cells(rows), HEADERS))
+    fields = base.withColumns({f"_{f}": hd.first_filled(F.get("_places", F.lit(i))) for i, f in enumerate(HEADERS)} | {"row": hd.as_row()})
     c = F.col
     address = F.when(c("_address").isNotNull() & c("_addr2").isNotNull(), F.concat_ws(" ", "_address", "_addr2")).otherwise(c("_address"))
     tel = tx.squeeze(c("_tel"))
     own = tx.menu_store_id(c("_menu_store")) if flavour == "menu" else F.lit(None).cast("string")
-    places = fields.filter("_name is not null").select(
+    places = fields.select(
         F.lit(place_source).alias("source"),
         F.coalesce(own, c("_external_id"), tx.fallback_id(c("row"), c("_name"), address, tel)).alias("external_id"),
         c("_name").alias("name"),
@@ -85,14 +85,25 @@ def food_places(rows: DataFrame, flavour: str) -> tuple[DataFrame, DataFrame]:
         F.lit(menu_source).alias("menu_source"),
         F.lit(kind).alias("source_type"),
         *PLACE_ORDER,
+        tx.reject_label(c("row")).alias("_label"),
     )
-    rejects = fields.filter("_name is null").select(tx.reject_label(c("row")).alias("label"), F.lit("food place name is required").alias("error"), *PLACE_ORDER[1:])
-    return places, rejects
+    return places.withColumn("_blocked", tx.blocked_place(c("name"), c("business_category"), c("representative_menu"), c("menus")))
+
+
+def named_places(rows: DataFrame) -> DataFrame:
+    """Of food_rows, the rows with a name."""
+    return rows.filter("name is not null").drop("_label")
 
 
-def drop_blocked(places: DataFrame) -> DataFrame:
-    """Places without words that block them (FLT-1)."""
-    return places.filter(~tx.blocked_place(F.col("name"), F.col("business_category"), F.col("representative_menu"), F.col("menus")))
+def nameless(rows: DataFrame) -> DataFrame:
+    """Of food_rows, the rejects: label, error and where the row stood (FLT-10)."""
+    return rows.filter("name is null").select(F.col("_label").alias("label"), F.lit("food place name is required").alias("error"), *PLACE_ORDER[1:])
+
+
+def food_places(rows: DataFrame, flavour: str) -> tuple[DataFrame, DataFrame]:
+    """(places with their menus, rejects) from source rows."""
+    parsed = food_rows(rows, flavour)
+    return named_places(parsed).drop("_blocked"), nameless(parsed)
 
 
 def _text(v: Column, name: str) -> Column:
@@ -177,15 +188,15 @@ def districts(codes: DataFrame, area: str) -> DataFrame:
     return codes.filter(F.col("regn_cd") == area).orderBy("signgu_cd")
 
 
-def assign_ids(places: DataFrame, sources: DataFrame) -> DataFrame:
+def assign_ids(places: DataFrame, sources: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     """places with food_place_id: the known one of (source, external_id), else a 63-bit hash of both (JN-9).
 
-    Of keys whose hashes agree, with each other or with a known id, the later ones are hashed again with their number.
+    keys: rows with the keys of all places, where these can be had for less than places. Of keys whose hashes agree, with each other or with a known id, the later ones are hashed again with their number.
     """
     key = ["source", "external_id"]
     known = sources.select(*key, F.col("food_place_id").alias("_known"))
     hashed = lambda *more: F.xxhash64(*key, *more).bitwiseAND(F.lit((1 << 63) - 1))
-    fresh = places.select(*key).distinct().join(known, key, "left_anti").select(*key, hashed().alias("_id"), F.lit(1).alias("_new"))
+    fresh = (places if keys is None else keys).select(*key).distinct().join(known, key, "left_anti").select(*key, hashed().alias("_id"), F.lit(1).alias("_new"))
     none = F.lit(None).cast("string")
     taken = known.select(none.alias("source"), none.alias("external_id"), F.col("_known").alias("_id"), F.lit(0).alias("_new")).distinct()
     number = rank_in(["_id"], [F.col("_new"), *[F.col(k) for k in key]])

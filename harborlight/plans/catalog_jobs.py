@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harborlight.functions.similarity import similarity_udf
-from harborlight.operators import mutations, normalize
+from harborlight.operators import headers, mutations, normalize
 from harborlight.plans import catalog_payloads as payloads
 from harborlight.plans import jobs
 from harborlight.plans.catalog import query
 from harborlight.plans.catalog_payloads import at, envelope
+from harborlight.session import shared_dir
+from harborlight.sources import csv_records
 
 _MENUS = "food_place_id long, menu_name string, price int, display_order int, is_representative boolean, source string"
 _OBSERVATIONS = "food_place_id long, menu_name string, observed_price int, source string, source_type string, observed_at timestamp"
@@ -293,3 +297,63 @@ def price_summary_refresh(t) -> DataFrame:
     old = t("nation").select(F.concat(F.lit("gone "), _text("n_nationkey")).alias("spot_content_id"), *[F.lit(0).alias(c) for c in ("min_price", "avg_price", "representative_price", "menu_count", "food_place_count")], F.lit("m").alias("representative_menu_name"))
     out = jobs.JOBS["spot_price_summary_refresh"]({"menus": t("menus"), "matches": t("matches"), "summary": old}, prune=True)
     return out["summary"].select("spot_content_id", "min_price", "menu_count")
+
+
+def _landed_files(df: DataFrame, name: str) -> str:
+    """df as header CSV files with quoted line breaks in the shared folder; returns the folder."""
+    folder = f"{shared_dir(df.sparkSession)}/harborlight/{df.sparkSession.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    plain = {"header": True, "escape": '"', "quote": '"', "escapeQuotes": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": "", "nullValue": ""}
+    df.write.options(**plain).csv(folder)
+    return folder
+
+
+@query("select page_id, url, sha256('\"' || html || '\",' || page_id || chr(10) || 'end') as text_sha256, true as numbered from {pages}")
+def csv_rows(t) -> DataFrame:
+    """SRC-9: texts with quotes, commas and line breaks, written as files and read back; each row was written with its number in its file."""
+    number = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) + 2  # of a partition, which is a file
+    text = F.concat(F.lit('"'), "html", F.lit('",'), _text("page_id"), F.lit("\nend"))
+    folder = _landed_files(t("pages").select("url", text.alias(" text"), _text("page_id").alias("page_id"), _text(number).alias("number")), "csv-pages")
+    row = headers.as_row()
+    rows = csv_records.read_csv_rows(t("region").sparkSession, folder)
+    return rows.select(row["page_id"].cast("long").alias("page_id"), row["url"].alias("url"), F.sha2(row[" text"], 256).alias("text_sha256"), (row["number"].cast("long") == F.col("row_number")).alias("numbered"))
+
+
+def _wide_menus() -> dict[str, Column]:
+    """Headers of a file row: quoted names and menus, a menu in slots 1 and 12, and now and then a blank name or a blocked category."""
+    name = F.when(_key() % 31 == 0, " ").otherwise(F.concat(F.lit('shop "'), "p_name", F.lit('", no.\n'), _text(_key())))
+    return {"업소명": name, "업종": F.when(_key() % 9 == 0, "숙박업").otherwise("한식"), "연번": _text(_key()), "품목1": F.concat("p_type", F.lit(', "hot"')), " 가격1 ": F.lit("7,000원"), "메뉴_12": F.col("p_brand"), "가격12": _text(F.col("p_size") * 100)}
+
+
+_FILE_MENUS = """with f as (select p_partkey, 'shop "' || p_name || '", no.' || chr(10) || p_partkey as name, p_type || ', "hot"' as first, p_brand, p_size from {part} where p_partkey % 31 <> 0 and p_partkey % 9 <> 0)
+    select name, first as menu_name, 7000 as price, 1 as display_order, true as is_representative from f union all select name, p_brand, p_size * 100, 12, false from f"""
+
+
+def _menus_by_name(out: jobs.Tables) -> DataFrame:
+    names = out["places"].select(F.col("id").alias("food_place_id"), "name")
+    return out["menus"].join(names, "food_place_id").select("name", "menu_name", "price", "display_order", "is_representative")
+
+
+def _file_import(t) -> jobs.Tables:
+    rows = t("part").select(*[value.alias(h) for h, value in _wide_menus().items()])
+    return jobs.JOBS["good_price_file_import"](food_tables(t), csv_records.read_csv_rows(t("region").sparkSession, _landed_files(rows, "csv-shops")), at())
+
+
+@query(_FILE_MENUS)
+def file_import(t) -> DataFrame:
+    """JOB good_price_file_import: wide menus of CSV files whose names hold quotes, commas and line breaks."""
+    return _menus_by_name(_file_import(t))
+
+
+@query("select count(*) as fetched, count(*) filter (where p_partkey % 31 <> 0 and p_partkey % 9 <> 0) as upserted, count(*) filter (where p_partkey % 31 = 0) as failed, count(*) filter (where p_partkey % 31 <> 0 and p_partkey % 9 = 0) as skipped_keyword_count from {part}")
+def file_import_figures(t) -> DataFrame:
+    """Counters of a CSV import, taken in the pass that writes the parse."""
+    return _file_import(t)["metrics"]
+
+
+@query(_FILE_MENUS)
+def odcloud_sync(t) -> DataFrame:
+    """JOB good_price_odcloud_sync: the same rows as pages of a file service."""
+    row = F.struct(*[value.alias(h) for h, value in _wide_menus().items()])
+    pages = t("part").groupBy(F.floor(_key() / 100).alias("page")).agg(F.collect_list(row).alias("rows"))  # at most 100 a page
+    landed = pages.select("page", F.to_json(F.struct(F.col("rows").alias("data"))).alias("payload"), at().alias("fetched_at"))
+    return _menus_by_name(jobs.JOBS["good_price_odcloud_sync"](food_tables(t), landed))

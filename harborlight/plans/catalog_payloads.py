@@ -9,7 +9,7 @@ from harborlight.functions import text as tx
 from harborlight.functions.spatial import in_box
 from harborlight.operators import aggregates as agg
 from harborlight.operators import generators as gen
-from harborlight.operators import geocode, guards, mutations, normalize, runlog
+from harborlight.operators import geocode, guards, headers, mutations, normalize, runlog
 from harborlight.plans.catalog import query
 from harborlight.sources import envelopes as env
 
@@ -380,5 +380,5 @@ def menu_headers(t) -> DataFrame:
     single = F.when(_key() % 2 == 0, F.map_from_arrays(F.array(F.lit("itemNm"), F.lit("menuPrc")), F.array(F.concat(F.lit("single "), "p_name"), _text(F.col("p_size") * 1000))))
     late = F.create_map(F.lit("메뉴 25"), F.concat(F.lit("late "), "p_name"), F.lit("가격 25"), _text(F.col("p_size") * 100), F.lit("key"), _text(_key()))
     row = F.when(single.isNotNull(), F.map_concat(late, single)).otherwise(late)
-    found = gen.with_menus(gen.with_headers(t("part").select(row.alias("row"))))
-    return found.select(F.element_at("row", "key").cast("long").alias("key"), F.inline("menus")).select("key", "menu_name", "price", "display_order")
+    found = gen.with_menus(headers.resolved(headers.as_cells(t("part").select(row.alias("row"))), normalize.HEADERS))
+    return found.select(F.element_at(headers.as_row(), "key").cast("long").alias("key"), F.inline("menus")).select("key", "menu_name", "price", "display_order")

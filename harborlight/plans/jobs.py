@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from harborlight.functions.similarity import RADIUS
 from harborlight.operators import aggregates as agg
-from harborlight.operators import geocode, guards, matching, mutations, normalize, runlog
+from harborlight.operators import geocode, guards, headers, matching, mutations, normalize, runlog
+from harborlight.session import counted, stored
 from harborlight.sources import envelopes as env
 from harborlight.sources import files
 
@@ -33,6 +34,11 @@ def _figures(**counts: DataFrame) -> DataFrame:
     return rows.agg(*[F.count_if(F.col("name") == n).alias(n) for n in counts])
 
 
+def _one_row(spark: SparkSession, figures: dict[str, int]) -> DataFrame:
+    """Figures, each a long, as a row."""
+    return spark.createDataFrame([tuple(figures.values())], ", ".join(f"{n} long" for n in figures))
+
+
 def spots_sync(tables: Tables, listing: DataFrame, details: DataFrame, run: dict, at: Column) -> Tables:
     """Listed spots that changed, upserted with details, images and raw document; spots that are not listed deactivated if the gate allows.
 
@@ -128,9 +134,13 @@ def food_sync(tables: Tables, rows: DataFrame, flavour: str, keep_non_null: bool
     Serves the store, menu, guide, file-service and CSV jobs. Rows count one after the other: of rows of one place, or of one
     menu, the last counts; every price is an observation. A known place is overwritten, nulls included, unless keep_non_null.
     """
-    parsed, rejects = normalize.food_places(rows, flavour)
-    free = normalize.drop_blocked(parsed)
-    known = normalize.assign_ids(free, tables["sources"])
+    parsed = normalize.food_rows(stored(headers.as_cells(rows), "food-rows"), flavour)
+    named = F.col("name").isNotNull()
+    counts = {"fetched": F.count("*"), "upserted": F.count_if(named & ~F.col("_blocked")), "failed": F.count_if(~named), "skipped_keyword_count": F.count_if(named & F.col("_blocked"))}
+    # the parse is written, and counted, once; its keys alone are cheap to have before
+    identified = normalize.assign_ids(parsed, tables["sources"], parsed.filter(named))
+    known, figures = counted(identified, "food-places", counts, named & ~F.col("_blocked"))
+    known = known.drop("_label", "_blocked")
     key, order = ["source", "external_id"], normalize.PLACE_ORDER
     menus = known.select("food_place_id", F.col("menu_source").alias("source"), "source_type", *order, F.inline("menus"))
     observed = menus.filter("price is not null").select("food_place_id", "menu_name", F.col("price").alias("observed_price"), "source", "source_type", F.col("fetched_at").alias("observed_at"))
@@ -143,21 +153,21 @@ def food_sync(tables: Tables, rows: DataFrame, flavour: str, keep_non_null: bool
     else:
         place = mutations.last_write(known, key, order)
     sources = mutations.last_write(known, key, order).withColumn("raw_json", F.to_json("row"))
-    counted = _figures(kept=free, parsed=parsed, failed=rejects)
     return {
         "places": mutations.apply_upsert(tables["places"], _only(tables["places"], place.withColumn("id", F.col("food_place_id"))), ["id"], policy),
         "sources": mutations.apply_upsert(tables["sources"], _only(tables["sources"], sources), key),
         "menus": mutations.apply_upsert(tables["menus"], _only(tables["menus"], mutations.last_write(menus, ["food_place_id", "menu_name", "source"], order)), ["food_place_id", "menu_name", "source"]),
         "observations": mutations.append(tables["observations"], observed),
-        "rejects": rejects,
-        "metrics": counted.select((F.col("parsed") + F.col("failed")).alias("fetched"), F.col("kept").alias("upserted"), "failed", (F.col("parsed") - F.col("kept")).alias("skipped_keyword_count")),
+        "rejects": normalize.nameless(parsed),
+        "metrics": _one_row(tables["sources"].sparkSession, figures),
     }
 
 
 def file_rows(csv: DataFrame, at: Column) -> DataFrame:
     """Rows of read_csv_rows with their file name among the headers, in row order (CSV import)."""
-    named = F.map_concat("row", F.create_map(F.lit("_source_file"), "source_file"))
-    return csv.select(named.alias("row"), at.alias("fetched_at"), F.lit(0).alias("page"), F.col("row_number").alias("ordinal"))
+    own = F.array_contains("headers", "_source_file")  # a file that has such a column keeps it
+    named = [F.when(own, F.col(c)).otherwise(F.array_append(c, value)).alias(c) for c, value in (("headers", F.lit("_source_file")), ("cells", F.col("source_file")))]
+    return csv.select(*named, at.alias("fetched_at"), F.lit(0).alias("page"), F.col("row_number").alias("ordinal"))
 
 
 def store_enrich(tables: Tables) -> Tables:

@@ -8,7 +8,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
@@ -60,6 +60,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def counted(df: DataFrame, name: str, figures: dict[str, Column], keep: Column | None = None) -> tuple[DataFrame, dict[str, int]]:
+    """stored(df), and figures (aggregates) over the rows of df, taken in the pass that writes it; with `keep`, only such rows are written."""
+    seen = Observation(f"{name}-{uuid.uuid4().hex}")
+    observed = df.observe(seen, *[c.alias(n) for n, c in figures.items()])
+    kept = stored(observed if keep is None else observed.filter(keep), name)
+    return kept, dict(seen.get)
+
+
 def clear(spark: SparkSession) -> None:
     """Delete the intermediate tables of this application. Results that were not yet written or collected can't be read after it."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_dir(spark))

@@ -1,28 +1,14 @@
-"""CSV sources and versioned snapshot sinks."""
+"""Versioned snapshot sinks."""
 
 from __future__ import annotations
 
 import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_csv_rows(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of header CSV files (a byte-order mark is dropped): row (map of header to text), source_file and row_number, from 2 on (SRC-9)."""
-    table = spark.read.option("header", True).option("encoding", "UTF-8").csv(path)
-    pairs = [x for c in table.columns for x in (F.lit(c.strip("﻿")), F.col(f"`{c}`"))]
-    file = F.col("_metadata.file_path")
-    rows = table.select(F.create_map(*pairs).alias("row"), file.alias("_path"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"))
-    # rows are counted per block of a file, so that no file has to be read by one task
-    blocks = rows.groupBy("_path", "_block").agg(F.count("*").alias("_rows"), F.min("_at").alias("_first"))
-    before = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
-    numbered = rows.join(blocks, ["_path", "_block"])
-    return numbered.select("row", F.element_at(F.split("_path", "/"), -1).alias("source_file"), (F.col("_before") + F.col("_at") - F.col("_first") + 2).alias("row_number"))
-
-
 def publish(spark: SparkSession, tables: dict[str, DataFrame], root: str) -> str:
     """Write every table to a new version folder, then name the version in the manifest: readers see all or nothing (SNK-1)."""
     version = uuid.uuid4().hex

@@ -8,7 +8,7 @@ from harborlight.plans import jobs
 from harborlight.streaming.observations import current_prices
 from harborlight.streaming.snapshots import latest_snapshot, run_incremental
 from harborlight.operators import mutations, normalize, runlog
-from harborlight.sources import files
+from harborlight.sources import csv_records, files
 
 AT = datetime.datetime(2024, 1, 2)
 OLD = datetime.datetime(2023, 12, 1)
@@ -182,12 +182,11 @@ def test_file_import_numbers_rows(spark, tmp_path):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
     try:
-        rows = files.read_csv_rows(spark, str(tmp_path / "*.csv"))
-        assert rows.rdd.getNumPartitions() > 3
+        rows = csv_records.read_csv_rows(spark, str(tmp_path / "*.csv"))
         out = jobs.JOBS["good_price_file_import"](food_tables(spark), rows, F.lit(AT))
         assert sorted(r.ordinal for r in out["rejects"].collect()) == [2, 4000]
         assert out["metrics"].first().failed == 2 and out["places"].count() == 2 * 5998 - 2
-        names = {r["row"]["업소명"]: r.row_number for r in rows.collect()}
+        names = {r.cells[0]: r.row_number for r in rows.collect()}
         assert all(names[f"a{i}"] == i for i in range(2, 6000) if i != 4000)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from harborlight.functions.similarity import similarity_udf
 from harborlight.operators import generators, geocode, normalize
 from harborlight.plans import jobs
+from harborlight.sources import csv_records, files
 from harborlight.sources import envelopes as env
-from harborlight.sources import files
 
 AT = datetime.datetime(2024, 1, 2, 3, 4, 5)
 
@@ -155,7 +155,7 @@ def test_csv_import_to_tables(spark, tmp_path):
         "menus": spark.createDataFrame([], "food_place_id long, menu_name string, source string, price int, display_order int, is_representative boolean"),
         "observations": spark.createDataFrame([], "food_place_id long, menu_name string, observed_price int, source string, source_type string, observed_at timestamp"),
     }
-    csv = files.read_csv_rows(spark, str(tmp_path / "shops.csv"))
+    csv = csv_records.read_csv_rows(spark, str(tmp_path / "shops.csv"))
     out = jobs.JOBS["good_price_file_import"](tables, csv, F.lit(AT))
     assert [(r.name, r.representative_menu) for r in out["places"].collect()] == [("가게", "국밥")]
     assert out["menus"].first().price == 7000 and out["observations"].count() == 1 and out["rejects"].count() == 1
