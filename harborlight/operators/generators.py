@@ -23,13 +23,16 @@ def with_menus(rows: DataFrame) -> DataFrame:
     kind = "array<struct<menu_name:string,price:int,display_order:int,is_representative:boolean>>"
     read = F.transform("_slots", lambda s: F.struct(first_filled(s["names"]).alias("name"), first_filled(s["prices"]).alias("price"), s["slot"].alias("slot")))
 
+    def menu(x: Column, before: Column) -> Column:
+        return F.struct(x["name"].alias("menu_name"), parse_price(x["price"]).alias("price"), F.coalesce(x["slot"], before + 1).alias("display_order"), (before == 0).alias("is_representative"))
+
     def add(done: Column, x: Column) -> Column:
         known = F.exists(done, lambda d: F.lower(d["menu_name"]) == F.lower(x["name"]))
-        new = F.struct(x["name"].alias("menu_name"), parse_price(x["price"]).alias("price"), F.coalesce(x["slot"], F.size(done) + 1).alias("display_order"), (F.size(done) == 0).alias("is_representative"))
-        return F.when(known, done).otherwise(F.concat(done, F.array(new).cast(kind)))
+        return F.when(known, done).otherwise(F.concat(done, F.array(menu(x, F.size(done))).cast(kind)))
 
     found = once(rows, "_found", F.filter(read, lambda x: x["name"].isNotNull()))
-    return once(found, "menus", F.aggregate("_found", F.array().cast(kind), add)).drop("_found")
+    several = F.aggregate("_found", F.array().cast(kind), add)
+    return once(found, "menus", F.when(F.size("_found") <= 1, F.transform("_found", lambda x: menu(x, F.lit(0))).cast(kind)).otherwise(several)).drop("_found")
 
 
 def unpivot_menus(rows: DataFrame, key: str, slots: int = MENU_SLOTS) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from harborlight.functions import text as tx
 from harborlight.functions.spatial import point
 from harborlight.operators import headers as hd
-from harborlight.operators.generators import number_course_items, spot_images, with_menus
+from harborlight.operators.generators import number_course_items, once, spot_images, with_menus
 from harborlight.sources import envelopes as env
 
 #: source of the place, source of its menus, kind of source: of each flavour of food rows.
@@ -57,7 +57,8 @@ def food_rows(rows: DataFrame, flavour: str) -> DataFrame:
         if n not in rows.columns:
             rows = rows.withColumn(n, F.lit(0))
     base = with_menus(hd.resolved(hd.as_cells(rows), HEADERS))
-    fields = base.withColumns({f"_{f}": hd.first_filled(F.get("_places", F.lit(i))) for i, f in enumerate(HEADERS)} | {"row": hd.as_row()})
+    values = once(once(base, "_values", F.transform("_places", lambda p: hd.first_filled(p))), "row", hd.as_row())
+    fields = values.withColumns({f"_{f}": F.get("_values", F.lit(i)) for i, f in enumerate(HEADERS)})
     c = F.col
     address = F.when(c("_address").isNotNull() & c("_addr2").isNotNull(), F.concat_ws(" ", "_address", "_addr2")).otherwise(c("_address"))
     tel = tx.squeeze(c("_tel"))
@@ -85,7 +86,7 @@ def food_rows(rows: DataFrame, flavour: str) -> DataFrame:
         F.lit(menu_source).alias("menu_source"),
         F.lit(kind).alias("source_type"),
         *PLACE_ORDER,
-        tx.reject_label(c("row")).alias("_label"),
+        F.when(c("_name").isNull(), tx.reject_label(c("row"))).alias("_label"),
     )
     return places.withColumn("_blocked", tx.blocked_place(c("name"), c("business_category"), c("representative_menu"), c("menus")))
 
@@ -188,21 +189,27 @@ def districts(codes: DataFrame, area: str) -> DataFrame:
     return codes.filter(F.col("regn_cd") == area).orderBy("signgu_cd")
 
 
-def assign_ids(places: DataFrame, sources: DataFrame, keys: DataFrame | None = None) -> DataFrame:
-    """places with food_place_id: the known one of (source, external_id), else a 63-bit hash of both (JN-9).
+def place_ids(places: DataFrame, sources: DataFrame) -> DataFrame:
+    """food_place_id of each (source, external_id) of places: the known one, else a 63-bit hash of both (JN-9).
 
-    keys: rows with the keys of all places, where these can be had for less than places. Of keys whose hashes agree, with each other or with a known id, the later ones are hashed again with their number.
+    Of keys whose hashes agree, with each other or with a known id, the later ones are hashed again with their number.
     """
     key = ["source", "external_id"]
+    own = places.select(*key).distinct()
     known = sources.select(*key, F.col("food_place_id").alias("_known"))
     hashed = lambda *more: F.xxhash64(*key, *more).bitwiseAND(F.lit((1 << 63) - 1))
-    fresh = (places if keys is None else keys).select(*key).distinct().join(known, key, "left_anti").select(*key, hashed().alias("_id"), F.lit(1).alias("_new"))
+    fresh = own.join(known, key, "left_anti").select(*key, hashed().alias("_id"), F.lit(1).alias("_new"))
     none = F.lit(None).cast("string")
     taken = known.select(none.alias("source"), none.alias("external_id"), F.col("_known").alias("_id"), F.lit(0).alias("_new")).distinct()
     number = rank_in(["_id"], [F.col("_new"), *[F.col(k) for k in key]])
     given = fresh.unionByName(taken).withColumn("_n", number).filter("_new = 1")
     given = given.select(*key, F.when(F.col("_n") == 1, F.col("_id")).otherwise(hashed("_n")).alias("_known"))
-    return places.join(known.unionByName(given).withColumnRenamed("_known", "food_place_id"), key, "left")
+    return known.join(own, key, "left_semi").unionByName(given).withColumnRenamed("_known", "food_place_id")
+
+
+def assign_ids(places: DataFrame, sources: DataFrame) -> DataFrame:
+    """places with the food_place_id of place_ids."""
+    return places.join(place_ids(places, sources), ["source", "external_id"], "left")
 
 
 def work_list(places: DataFrame, kind: str, limit: int | None = None) -> DataFrame:

@@ -137,10 +137,9 @@ def food_sync(tables: Tables, rows: DataFrame, flavour: str, keep_non_null: bool
     parsed = normalize.food_rows(stored(headers.as_cells(rows), "food-rows"), flavour)
     named = F.col("name").isNotNull()
     counts = {"fetched": F.count("*"), "upserted": F.count_if(named & ~F.col("_blocked")), "failed": F.count_if(~named), "skipped_keyword_count": F.count_if(named & F.col("_blocked"))}
-    # the parse is written, and counted, once; its keys alone are cheap to have before
-    identified = normalize.assign_ids(parsed, tables["sources"], parsed.filter(named))
-    known, figures = counted(identified, "food-places", counts, named & ~F.col("_blocked"))
-    known = known.drop("_label", "_blocked")
+    kept, figures = counted(parsed, "food-places", counts, named & ~F.col("_blocked"))  # the parse is written, and counted, once
+    ids = stored(normalize.place_ids(kept, tables["sources"]), "food-place-ids")
+    known = kept.drop("_label", "_blocked").join(ids, ["source", "external_id"], "left")
     key, order = ["source", "external_id"], normalize.PLACE_ORDER
     menus = known.select("food_place_id", F.col("menu_source").alias("source"), "source_type", *order, F.inline("menus"))
     observed = menus.filter("price is not null").select("food_place_id", "menu_name", F.col("price").alias("observed_price"), "source", "source_type", F.col("fetched_at").alias("observed_at"))
