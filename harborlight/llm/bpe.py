@@ -33,7 +33,7 @@ SLICE = 4 << 20
 #: White space before a space, and where a stretch ends: before a space after something else.
 SPACES, CUT = regex.compile(r"\s "), regex.compile(r"(?V1)(?<=\S)(?= )")
 #: Words, and bytes of their ids, that a task remembers before it starts anew.
-WORDS, WORD_BYTES = 400_000, 16 << 20
+WORDS, WORD_BYTES = 200_000, 8 << 20
 #: Tokens that are gathered at a time.
 BLOCK = 1 << 20
 
@@ -269,19 +269,13 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, pattern: str, text: str = "t
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """encoded with the bytes that its ids stand for."""
-    shared = encoded.sparkSession.sparkContext.broadcast(vocabulary)
-    own: list[tuple] = []
-
-    def table() -> tuple:
-        spelled = {rank: token for token, rank in shared.value.ranks.items()}
-        tokens = [spelled.get(i, b"") for i in range(shared.value.width)]
-        sizes = np.array([len(t) for t in tokens], np.int64)
-        return np.frombuffer(b"".join(tokens), np.uint8), np.cumsum(sizes) - sizes, sizes
+    spelled = {rank: token for token, rank in vocabulary.ranks.items()}
+    tokens = [spelled.get(i, b"") for i in range(vocabulary.width)]
+    sizes = np.array([len(t) for t in tokens], np.int64)
+    shared = encoded.sparkSession.sparkContext.broadcast((np.frombuffer(b"".join(tokens), np.uint8), np.cumsum(sizes) - sizes, sizes))
 
     def run(lists: pa.Array) -> list[pa.Array]:
-        if not own:
-            own.append(table())
-        data, starts, sizes = own[0]
+        data, starts, sizes = shared.value
         rows = []
         for x in lists:
             n = x.values.to_numpy(zero_copy_only=False) if x.is_valid else None
