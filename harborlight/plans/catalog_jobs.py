@@ -14,7 +14,8 @@ from harborlight.plans import jobs
 from harborlight.plans.catalog import query
 from harborlight.plans.catalog_payloads import at, envelope
 from harborlight.session import shared_dir
-from harborlight.sources import csv_records
+from harborlight.sources import csv_records, files
+from harborlight.streaming.snapshots import run_incremental
 
 _MENUS = "food_place_id long, menu_name string, price int, display_order int, is_representative boolean, source string"
 _OBSERVATIONS = "food_place_id long, menu_name string, observed_price int, source string, source_type string, observed_at timestamp"
@@ -357,3 +358,24 @@ def odcloud_sync(t) -> DataFrame:
     pages = t("part").groupBy(F.floor(_key() / 100).alias("page")).agg(F.collect_list(row).alias("rows"))  # at most 100 a page
     landed = pages.select("page", F.to_json(F.struct(F.col("rows").alias("data"))).alias("payload"), at().alias("fetched_at"))
     return _menus_by_name(jobs.JOBS["good_price_odcloud_sync"](food_tables(t), landed))
+
+
+@query("select c_custkey, case when c_custkey % 3 = 0 then c_name || ' again' else c_name end as name, case when c_custkey % 3 = 0 and c_custkey % 2 = 1 then 'x' else c_phone end as phone from {customer} where c_custkey % 7 <> 0 or c_custkey % 3 = 0")
+def incremental_landing(t) -> DataFrame:
+    """STR-1: payloads that land one after the other, worked off by a stream into a snapshot in buckets; repeated keys keep what is not null."""
+    spark = t("region").sparkSession
+    home = f"{shared_dir(spark)}/harborlight/landing-{uuid.uuid4().hex}"
+    rows = t("customer").select("c_custkey", F.col("c_name").alias("name"), F.col("c_phone").alias("phone"))
+    again = rows.filter("c_custkey % 3 = 0").select("c_custkey", F.concat("name", F.lit(" again")).alias("name"), F.when(F.col("c_custkey") % 2 == 1, "x").when(F.col("c_custkey") % 7 == 0, F.col("phone")).alias("phone"))
+    for number, landed in enumerate((rows.filter("c_custkey % 7 <> 0"), again)):
+        landed.write.parquet(f"{home}/in/{number}")
+        stream = spark.readStream.schema(rows.schema).option("recursiveFileLookup", "true").parquet(f"{home}/in")
+        run_incremental(stream, f"{home}/store", "customers", ["c_custkey"], f"{home}/checkpoint", policy={"phone": "keep_non_null"}).awaitTermination()
+    return files.current(spark, f"{home}/store", "customers")
+
+
+@query("select o_orderkey as content_id, o_orderstatus as source from {orders} where o_orderstatus = 'F'")
+def one_source_only(t) -> DataFrame:
+    """FLT-11: rows of one source pass; a job whose rows hold another one fails whole."""
+    rows = t("orders").select(F.col("o_orderkey").alias("content_id"), F.col("o_orderstatus").alias("source"))
+    return mutations.require_source(rows.filter("source = 'F'"), "source", "F")

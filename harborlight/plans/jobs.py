@@ -241,10 +241,11 @@ JOBS = {
 REPORTS = ("metrics", "rejects", "errors", "deactivated", "requests")
 
 
-def run_job(spark: SparkSession, root: str, name: str, run_id: int, tables: Tables, *inputs, run_type: str = "manual", dry_run: bool = False, **options) -> Tables:
+def run_job(spark: SparkSession, root: str, name: str, run_id: int, tables: Tables, *inputs, run_type: str = "manual", dry_run: bool = False, built_on: int | None = None, **options) -> Tables:
     """Run a job, publish its tables under root and log the run there: running, then success with its figures, or failed (MUT-20).
 
-    A dry run does and counts the same, but publishes nothing (MUT-23). A failure is logged and raised again.
+    A dry run does and counts the same, but publishes nothing (MUT-23). A failure is logged and raised again; so is files.Conflict, if one of
+    the tables has changed since version `built_on`, the one that `tables` were read from.
     """
     started = datetime.datetime.now(datetime.UTC)
     end = lambda status, figures: runlog.append(spark, root, runlog.end_row(spark, run_id, name, started, datetime.datetime.now(datetime.UTC), status, *[figures.pop(c, None) for c in ("fetched", "upserted", "failed")], figures, run_type))
@@ -255,7 +256,7 @@ def run_job(spark: SparkSession, root: str, name: str, run_id: int, tables: Tabl
         if "rejects" in out:
             figures["errors"] = [r.asDict() for r in runlog.error_sample(out["rejects"].withColumn("run", F.lit(run_id)), "run", "label").select("label", "error").collect()]  # at most 50
         if not dry_run:
-            files.publish(spark, {n: df for n, df in out.items() if n not in REPORTS}, root)
+            files.publish(spark, {n: df for n, df in out.items() if n not in REPORTS}, root, built_on)
     except Exception as error:
         end("failed", {"error_message": str(error)[:300]})
         raise

@@ -3,12 +3,20 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from harborlight.session import shared_dir
-from harborlight.streaming.snapshots import is_folder, latest_snapshot, run_incremental
+from harborlight.sources import files
+from harborlight.streaming.snapshots import is_folder, run_incremental
+
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def newest_price(rows: DataFrame, keys: list[str], price: str, order: list[str]) -> DataFrame:
@@ -17,17 +25,58 @@ def newest_price(rows: DataFrame, keys: list[str], price: str, order: list[str])
     return rows.groupBy(*keys).agg(last.alias("r")).select(*keys, "r.*")
 
 
-def current_prices(stream: DataFrame, keys: list[str], price: str, order: list[str], event: str, root: str, checkpoint: str, late: str = "7 days"):
-    """Run the stream to its end (STR-2): repeated events within the watermark count once; late rows never replace newer prices."""
-    once = stream.withWatermark(order[0], late).dropDuplicatesWithinWatermark([event])
+def newest_processor(keys: list[str], schema: T.StructType) -> StatefulProcessor:
+    """Keeps the newest observation of a key as value state; a key whose newer one comes gives a row.
+
+    An event-time timer at that observation forgets the state once the watermark has passed it: what may still come is newer.
+    The class is made here, so that Spark ships it whole: the process that starts it knows no files of the application.
+    """
+
+    row = Row(*keys, *schema.names)
+
+    class Newest(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.handle = handle
+            self.newest = handle.getValueState("newest", schema)
+
+        def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803 the interface's names
+            """Rows are keys, price, order values; the first order value is the event time."""
+            best = max((tuple(r)[len(keys) :] for r in rows), key=lambda v: v[1:])
+            old = self.newest.get()
+            if old is None or tuple(old)[1:] < best[1:]:
+                self.newest.update(best)
+                self.handle.registerTimer(int(best[1].timestamp() * 1000))
+                yield row(*key, *best)
+
+        def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
+            old = self.newest.get()
+            if old is not None and int(tuple(old)[1].timestamp() * 1000) <= expiredTimerInfo.getExpiryTimeInMs():
+                self.newest.clear()
+            return iter(())
+
+        def close(self) -> None:
+            pass
+
+    return Newest()
+
 
-    def merge(old: DataFrame | None, batch: DataFrame) -> DataFrame:
-        fresh = newest_price(batch, keys, price, order)
-        if old is None:
-            return fresh
-        return newest_price(old.unionByName(fresh), keys, "price", order)
+def current_prices(stream: DataFrame, keys: list[str], price: str, order: list[str], root: str, checkpoint: str, late: str = "7 days", count: int = files.BUCKETS) -> StreamingQuery:
+    """Run the stream to its end (STR-2) into table `prices` of root: repeated events change nothing, late rows never replace newer prices.
 
-    return run_incremental(once, merge, root, checkpoint)
+    order: event time first, then what decides between equal times. Rows without key, time or order value take no part.
+    """
+    spark = stream.sparkSession
+    rows = stream.select(*keys, F.col(price).alias("price"), *order).dropna(subset=[*keys, *order])
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema.fields])
+    state = T.StructType(schema.fields[len(keys) :])
+    newest = rows.withWatermark(order[0], late).groupBy(*keys).transformWithState(statefulProcessor=newest_processor(keys, state), outputStructType=schema, outputMode="Update", timeMode="EventTime")
+    merge = lambda old, batch: newest_price(old.unionByName(batch), keys, "price", order)
+    before = spark.conf.get(_PROVIDER)
+    spark.conf.set(_PROVIDER, _ROCKS)  # the only store that keeps such state; the query takes its own copy of the settings
+    try:
+        return run_incremental(newest, root, "prices", keys, checkpoint, lambda batch: newest_price(batch, keys, "price", order), merge=merge, mode="update", count=count)
+    finally:
+        spark.conf.set(_PROVIDER, before)
 
 
 def stream_current_prices(spark: SparkSession, path: str) -> DataFrame:
@@ -38,6 +87,5 @@ def stream_current_prices(spark: SparkSession, path: str) -> DataFrame:
     # a stream reads folders; a table that is one file is picked from its folder
     events = reader.parquet(path) if is_folder(spark, path) else reader.option("pathGlobFilter", name).parquet(folder)
     rows = events.select(F.col("user_id").alias("food_place_id"), F.col("event_type").alias("menu_name"), F.round("value").cast("int").alias("observed_price"), F.col("ts").cast("timestamp").alias("observed_at"), "event_id")
-    query = current_prices(rows, ["food_place_id", "menu_name"], "observed_price", ["observed_at", "event_id"], "event_id", f"{home}/snapshots", f"{home}/checkpoint")
-    query.awaitTermination()
-    return latest_snapshot(spark, f"{home}/snapshots").select("food_place_id", "menu_name", "price")
+    current_prices(rows, ["food_place_id", "menu_name"], "observed_price", ["observed_at", "event_id"], f"{home}/snapshots", f"{home}/checkpoint").awaitTermination()
+    return files.current(spark, f"{home}/snapshots", "prices").select("food_place_id", "menu_name", "price")

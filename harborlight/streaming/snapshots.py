@@ -1,4 +1,4 @@
-"""Snapshots that streams keep current: one folder per micro-batch, so that a repeated batch overwrites itself."""
+"""Bucketed snapshots that streams keep current: each micro-batch is merged once, into the buckets that it touches."""
 
 from __future__ import annotations
 
@@ -7,42 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 
-
-def _path(spark: SparkSession, where: str):
-    """The path and the file system that holds it."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(where)
-    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+from harborlight.sources import files
 
 
 def is_folder(spark: SparkSession, where: str) -> bool:
-    path, fs = _path(spark, where)
-    return fs.getFileStatus(path).isDirectory()
-
-
-def _versions(spark: SparkSession, root: str) -> list[int]:
-    """Complete versions, oldest first."""
-    jvm = spark.sparkContext._jvm
-    path, fs = _path(spark, root)
-    if not fs.exists(path):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(path) if fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
-    return sorted(int(n.removeprefix("v")) for n in names if n.startswith("v"))
-
-
-def latest_snapshot(spark: SparkSession, root: str, before: int | None = None) -> DataFrame | None:
-    """The newest complete version (older than `before`), None if there is none."""
-    known = [v for v in _versions(spark, root) if before is None or v < before]
-    return spark.read.parquet(f"{root}/v{known[-1]}") if known else None
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(where)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(path).isDirectory()
 
 
-def run_incremental(stream: DataFrame, merge: Callable[[DataFrame | None, DataFrame], DataFrame], root: str, checkpoint: str) -> StreamingQuery:
-    """Work off what is new in the stream: merge(old snapshot or None, batch) becomes the next version (STR-1).
+def run_incremental(stream: DataFrame, root: str, table: str, keys: list[str], checkpoint: str, before: Callable[[DataFrame], DataFrame] | None = None, policy: dict | None = None, merge: Callable[[DataFrame, DataFrame], DataFrame] | None = None, mode: str = "append", count: int = files.BUCKETS) -> StreamingQuery:
+    """Work off what is new in the stream: before(batch), of unique keys, is merged into the table of root (STR-1).
 
-    The checkpoint remembers which files are done, in place of a paging cursor.
+    The checkpoint remembers which files are done, in place of a paging cursor; the manifest remembers the last merged micro-batch
+    of this checkpoint, so that a batch that is repeated after a crash changes nothing.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        old = latest_snapshot(batch.sparkSession, root, batch_id)
-        merge(old, batch).write.mode("overwrite").parquet(f"{root}/v{batch_id}")
+        rows = before(batch) if before else batch
+        files.upsert(batch.sparkSession, root, table, rows, keys, policy, merge, stream=(checkpoint, batch_id), count=count)
 
-    return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return stream.writeStream.foreachBatch(apply).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

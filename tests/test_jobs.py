@@ -5,8 +5,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from harborlight.plans import jobs
-from harborlight.streaming.observations import current_prices
-from harborlight.streaming.snapshots import latest_snapshot, run_incremental
 from harborlight.operators import mutations, normalize, runlog
 from harborlight.sources import csv_records, files
 
@@ -76,38 +74,6 @@ def test_place_geocode(spark):
     assert (m.scanned, m.resolved, m.failed) == (2, 1, 1)
 
 
-def test_incremental_landing(spark, tmp_path):
-    folder, schema = tmp_path / "in", "k int, v string"
-    spark.createDataFrame([(1, "a"), (2, "b")], schema).write.parquet(str(folder / "1"))
-
-    def merge(old, batch):
-        return batch if old is None else mutations.apply_upsert(old, batch, ["k"])
-
-    def run():
-        stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(str(folder))
-        run_incremental(stream, merge, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
-        return {r.k: r.v for r in latest_snapshot(spark, str(tmp_path / "out")).collect()}
-
-    assert run() == {1: "a", 2: "b"}
-    spark.createDataFrame([(2, "c"), (3, "d")], schema).write.parquet(str(folder / "2"))
-    assert run() == {1: "a", 2: "c", 3: "d"} == run()
-
-
-def test_observation_stream_late_and_repeated(spark, tmp_path):
-    schema = "place int, menu string, price int, at timestamp, event long"
-    day = lambda d: datetime.datetime(2024, 1, d)
-    spark.createDataFrame([(1, "m", 10, day(5), 1), (1, "m", 10, day(5), 1)], schema).write.parquet(str(tmp_path / "in" / "1"))
-
-    def run():
-        stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(str(tmp_path / "in"))
-        current_prices(stream, ["place", "menu"], "price", ["at", "event"], "event", str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
-        return {(r.place, r.menu): r.price for r in latest_snapshot(spark, str(tmp_path / "out")).collect()}
-
-    assert run() == {(1, "m"): 10}
-    spark.createDataFrame([(1, "m", 7, day(4), 2), (1, "n", 3, day(6), 3)], schema).write.parquet(str(tmp_path / "in" / "2"))
-    assert run() == {(1, "m"): 10, (1, "n"): 3}
-
-
 def test_spots_sync_from_pages(spark):
     """Ids as texts and numbers, an item without one, a type whose last page was not read."""
     schema = "content_id string, content_type_id string, title string, l_dong_regn_cd string, source_tour_api boolean, source_busan_food boolean, source_modified_time timestamp, synced_at timestamp, is_active boolean, inactive_since timestamp"
