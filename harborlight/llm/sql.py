@@ -79,25 +79,27 @@ def _url_sql() -> str:
         r"""h as (select page_id, translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host, regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) as path from u)""",
         f"""x as (select *, {name} as rule, {verdict} as v, list_filter(string_split(path, '/'), lambda s: s <> '') as parts from h)""",
         f"""y as (select *, {', '.join(segs)} from x)""",
-        f"""c0 as (select host, {', '.join(levels)}, count(*) as n, count(v) as labels, count(*) filter (where v = 'block') as blocked from y group by all)""",
+        f"""q as (select host, {', '.join(levels)}, count(*) as n, count(v) as labels, count(*) filter (where v = 'block') as blocked from y group by all)""",
+        "g as (select coalesce(sum(blocked) / nullif(sum(labels), 0), 0.0) as share from q)",
+        "c0 as (select q.*, cast(share as double) as e0 from q, g)",
     ]
     done: list[str] = []
     for i in range(1, depth + 1):
-        node, s = ["host", *done], f"s{i}"
+        node, s, e = ["host", *done], f"s{i}", f"e{i - 1}"
         keys = ", ".join(node)
         same = lambda a, b, cols: " and ".join(f"{a}.{c} is not distinct from {b}.{c}" for c in cols)
-        parts.append(f"k{i} as (select {keys}, {s}, sum(n) as n, sum(labels) as labels, sum(blocked) as blocked from c{i - 1} group by all)")
-        parts.append(f"p{i} as (select {keys}, count({s}) as kids, sum(n) as p_n, sum(labels) as p_labels, sum(blocked) as p_blocked from k{i} group by all)")
+        parts.append(f"k{i} as (select {keys}, {s}, {e}, sum(n) as n, sum(labels) as labels, sum(blocked) as blocked from c{i - 1} group by all)")
+        vote = f"case when {s} = '*' then cast(blocked as double) when labels = 0 then 0.0::double when 2 * blocked > labels then 1.0::double when 2 * blocked = labels then 0.5::double else 0.0::double end"
+        parts.append(f"p{i} as (select {keys}, count({s}) as kids, cast(sum(case when {s} = '*' then labels when labels > 0 then 1 else 0 end) as bigint) as voters, sum({vote}) as votes, sum(n) as p_n, sum(labels) as p_labels, sum(blocked) as p_blocked from k{i} group by all)")
         ll = lambda k, n: f"(case when {k} > 0 then {k} * ln({k} / {n}) else 0.0 end + case when {n} > {k} then ({n} - {k}) * ln(({n} - {k}) / {n}) else 0.0 end)"
         others = ll("(p_blocked - blocked)", "(p_labels - labels)")
-        alike = f"(kids > 1 and 2 * ({ll('blocked', 'labels')} + {others} - {ll('p_blocked', 'p_labels')}) <= {url_filter.RATIO})"
-        rare = f"(kids > {url_filter.FANOUT} and n < {url_filter.SHARE}::double * p_n)"
-        parts.append(f"m{i} as (select {', '.join('k.' + c for c in node)}, k.{s}, case when k.{s} is null then null when {rare} or {alike} then '*' else k.{s} end as t{i} from k{i} k join p{i} p on {same('k', 'p', node)})")
-        parts.append(f"c{i} as (select a.*, b.t{i} from c{i - 1} a join m{i} b on {same('a', 'b', [*node, s])})")
+        alike = f"(labels > 0 and kids > 1 and 2 * ({ll('blocked', 'labels')} + {others} - {ll('p_blocked', 'p_labels')}) <= {url_filter.RATIO})"
+        rare = f"(labels = 0 and kids > {url_filter.FANOUT} and n < {url_filter.SHARE}::double * p_n)"
+        parts.append(f"m{i} as (select {', '.join('k.' + c for c in node)}, k.{s}, case when k.{s} is null then null when {rare} or {alike} then '*' else k.{s} end as t{i}, case when kids > 1 then (votes + {url_filter.VOTES}::double * k.{e}) / (voters + {url_filter.VOTES}::double) else k.{e} end as e{i} from k{i} k join p{i} p on {same('k', 'p', node)})")
+        parts.append(f"c{i} as (select a.*, b.t{i}, b.e{i} from c{i - 1} a join m{i} b on {same('a', 'b', [*node, s])})")
         done.append(f"t{i}")
     keys = ["host", *done]
-    parts.append("g as (select coalesce(sum(blocked) / nullif(sum(labels), 0), 0.0) as share from c0)")
-    parts.append(f"f as (select {', '.join(keys)}, (sum(blocked) + {url_filter.PRIOR}::double * (select share from g)) / (sum(labels) + {url_filter.PRIOR}::double) as purity from c{depth} group by all)")
+    parts.append(f"f as (select {', '.join(keys)}, (sum(blocked) + {url_filter.PRIOR}::double * max(e{depth})) / (sum(labels) + {url_filter.PRIOR}::double) as purity from c{depth} group by all)")
     shown = " || ".join(f"coalesce('/' || a.t{i}, '')" for i in range(1, depth + 1))
     parts.append(f"j as (select {', '.join('a.' + c for c in ('host', *levels))}, {shown} as template, f.purity from c{depth} a join f on {' and '.join(f'a.{c} is not distinct from f.{c}' for c in keys)})")
     last = f"coalesce(y.v, case when j.purity >= {url_filter.REJECT} then 'block' else 'allow' end)"

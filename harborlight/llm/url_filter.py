@@ -1,18 +1,22 @@
 """URL filter: rules first, then a path-template tree per host, judged by smoothed labelled purity.
 
 Rules (host, path, verdict) decide the urls they fit and, by that, label them. For the others, the urls of each host form a
-tree of path templates, as deep as their paths. A segment with a digit, or longer than
-`LONG` characters, is a wildcard; so is a rare child where a node has more than `FANOUT` children; and a child is merged with
-its siblings into the wildcard unless the labels speak against it: unless one share of blocked labels for each is likelier than
-one share for all by a ratio above `RATIO` (twice its logarithm). A branch without labels has nothing against it and goes with
-its siblings, so labels reach it. A template is rejected if its share of blocked labels, smoothed with `PRIOR` labels at the
-overall share, reaches `REJECT`. All steps group and join counts of (host, template), never lists of urls.
+tree of path templates, as deep as their paths. A segment with a digit, or longer than `LONG` characters, is a wildcard. A labelled child is
+merged with its siblings into the wildcard unless the labels speak against it: unless one share of blocked labels for each is likelier than
+one share for all by a ratio above `RATIO` (twice its logarithm). A child without labels joins the wildcard only on evidence of its own, as one
+of more than `FANOUT` siblings with less than `SHARE` of their urls, which marks a variable segment; else it stays a branch of its own.
+
+A branch expects what its siblings say, each labelled one with one vote, whatever its number of urls (those of a variable segment with one
+vote a labelled url, for each stands for a sibling), smoothed with `VOTES` votes at
+what its parent expects; a host expects the overall share. A template is rejected if its share of blocked labels, smoothed with
+`PRIOR` labels at what it expects, reaches `REJECT`. So a branch without labels below a rejected one is rejected, and one beside
+two rejected ones is not. All steps group and join counts of (host, template), never lists of urls.
 
 `PRIOR` and `REJECT` are set by `held_out`: the labels of one part of the labelled urls, or of whole first segments of hosts, are
 hidden, and their templates judge them.
 
 Defined results: null urls and urls without '://' have empty host and path, fit no rule and form one template; without
-labels all templates are allowed; equal rows count each; an empty table gives an empty result.
+labels all templates are allowed; equal rows count each; columns besides page_id and url are left out; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -35,7 +39,7 @@ DEPTH = 3
 LONG, FANOUT, SHARE = 32, 50, 0.05
 #: Twice the logarithm of the likelihood ratio above which a child is a branch of its own (two standard errors).
 RATIO = 4.0
-PRIOR, REJECT = 2.0, 0.8
+PRIOR, VOTES, REJECT = 2.0, 6.0, 0.8
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -73,32 +77,37 @@ def log_likelihood(blocked: Column, labels: Column) -> Column:
 
 
 def grow(open_: DataFrame, level: int) -> DataFrame:
-    """Rows (host, way, n, labels, blocked, template of `level` segments) with the template grown by a segment, and whether it is final.
+    """Rows (host, way, n, labels, blocked, template of `level` segments, expected) with the template grown by a segment, what it expects, and whether it is final.
 
     A path alone in its node has nothing to merge with, so the rest of its template is its own.
     """
-    node, sums = ["host", "template"], ("n", "labels", "blocked", "ways")
+    node, sums = ["host", "template", "expected"], ("n", "labels", "blocked", "ways")
     parts = F.split("way", "/")
     rows = open_.withColumns({"s": F.get(parts, F.lit(level + 1)), "ways": F.lit(1)})
     child = rows.groupBy(*node, "s").agg(*[F.sum(c).alias(c) for c in sums])
-    parent = child.groupBy(*node).agg(F.count("s").alias("kids"), *[F.sum(c).alias("p_" + c) for c in sums])
+    vote = F.when(2 * F.col("blocked") > F.col("labels"), 1.0).when(2 * F.col("blocked") == F.col("labels"), 0.5).otherwise(0.0)
+    labelled, variable = F.col("labels") > 0, F.col("s").eqNullSafe("*")  # each url of a variable segment is a sibling of its own
+    voters = F.when(variable, F.col("labels")).otherwise(labelled.cast("long"))
+    votes = F.when(variable, F.col("blocked").cast("double")).when(labelled, vote).otherwise(0.0)
+    parent = child.groupBy(*node).agg(F.count("s").alias("kids"), F.sum(voters).alias("voters"), F.sum(votes).alias("votes"), *[F.sum(c).alias("p_" + c) for c in sums])
     met = child.join(parent, node)
-    rare = (F.col("kids") > FANOUT) & (F.col("n") < SHARE * F.col("p_n"))
+    rare = (F.col("labels") == 0) & (F.col("kids") > FANOUT) & (F.col("n") < SHARE * F.col("p_n"))
     left, blocked = F.col("p_labels") - F.col("labels"), F.col("p_blocked") - F.col("blocked")
     ratio = 2 * (log_likelihood(F.col("blocked"), F.col("labels")) + log_likelihood(blocked, left) - log_likelihood(F.col("p_blocked"), F.col("p_labels")))
-    alike = (F.col("kids") > 1) & (ratio <= RATIO)
-    names = met.select(*node, "s", F.when(rare | alike, F.lit("*")).otherwise(F.col("s")).alias("t"), (F.col("p_ways") == 1).alias("alone"))
-    keys = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in [*node, "s"]]
+    alike = (F.col("labels") > 0) & (F.col("kids") > 1) & (ratio <= RATIO)
+    expects = F.when(F.col("kids") > 1, (F.col("votes") + VOTES * F.col("expected")) / (F.col("voters") + VOTES)).otherwise(F.col("expected"))
+    names = met.select("host", "template", "s", F.when(rare | alike, F.lit("*")).otherwise(F.col("s")).alias("t"), expects.alias("e"), (F.col("p_ways") == 1).alias("alone"))
+    keys = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in ("host", "template", "s")]
     rest = F.slice(parts, F.lit(level + 2), F.size(parts))
     grown = F.when(F.col("b.s").isNull(), F.lit("")).when(F.col("alone"), F.concat(F.lit("/"), F.array_join(rest, "/"))).otherwise(F.concat(F.lit("/"), F.col("t")))
     both = rows.alias("a").join(names.alias("b"), keys)
-    return both.select("a.host", "way", "n", "labels", "blocked", F.concat("a.template", grown).alias("template"), (F.col("b.s").isNull() | F.col("alone")).alias("final"))
+    return both.select("a.host", "way", "n", "labels", "blocked", F.concat("a.template", grown).alias("template"), F.col("b.e").alias("expected"), (F.col("b.s").isNull() | F.col("alone")).alias("final"))
 
 
-def templates(counts: DataFrame) -> DataFrame:
-    """counts (host, way, n, labels, blocked) with the template each way belongs to, grown level by level while any open way has a further segment."""
-    columns = ["host", "way", "n", "labels", "blocked", "template"]
-    open_, done, level = counts.withColumn("template", F.lit("")).select(columns), [], 0
+def templates(counts: DataFrame, share: float) -> DataFrame:
+    """counts (host, way, n, labels, blocked) with the template each way belongs to and the share it expects, grown level by level while any open way has a further segment."""
+    columns = ["host", "way", "n", "labels", "blocked", "template", "expected"]
+    open_, done, level = counts.withColumns({"template": F.lit(""), "expected": F.lit(float(share))}).select(columns), [], 0
     while (open_.agg(F.max(F.size(F.split("way", "/")) - 1)).first()[0] or 0) > level:
         grown = stored(grow(open_, level), "url-level")
         done.append(grown.filter("final").select(columns))
@@ -120,10 +129,9 @@ def judge_ways(rows: DataFrame, label: Column) -> DataFrame:
     """host, way, template, purity for rows (host, way) labelled 'block', 'allow' or null."""
     counts = rows.groupBy("host", "way").agg(F.count("*").alias("n"), F.count(label).alias("labels"), F.count_if(label == "block").alias("blocked"))
     counts = stored(counts, "url-counts")
-    named = templates(counts)
     total = counts.agg(F.sum("labels").alias("l"), F.sum("blocked").alias("b")).first()
-    share = (total["b"] or 0) / total["l"] if total["l"] else 0.0
-    purity = (F.sum("blocked") + PRIOR * share) / (F.sum("labels") + PRIOR)
+    named = templates(counts, (total["b"] or 0) / total["l"] if total["l"] else 0.0)
+    purity = (F.sum("blocked") + PRIOR * F.max("expected")) / (F.sum("labels") + PRIOR)  # all ways of a template expect the same
     by_template = named.groupBy("host", "template").agg(purity.alias("purity"))
     return named.select("host", "way", "template").join(by_template, ["host", "template"])
 
