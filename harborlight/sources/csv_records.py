@@ -150,19 +150,21 @@ def records(spark: SparkSession, path: str) -> DataFrame:
     ship(spark)
     lines = spark.read.option("lineSep", "\n").text(path).select("value", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block"))
     chunks = lines.mapInArrow(_chunks, "_path string, _block long, _seq int, _chunk string, _from_outside boolean, _from_inside boolean")
-    parsed = stored(chunks.join(_entered_inside(chunks), PLACE).select(*PLACE, "_chunk", "_inside").mapInArrow(_records, _RECORDS), "csv-records")
+    states = stored(_entered_inside(chunks), "csv-states")  # a flag a chunk, whose size Spark then knows
+    parsed = stored(chunks.join(states, PLACE).select(*PLACE, "_chunk", "_inside").mapInArrow(_records, _RECORDS), "csv-records")
     parts = parsed.filter("_role is not null")
     order = Window.partitionBy("_path").orderBy("_block", "_seq", "_role")  # head, middle, tail
     owned = parts.withColumn("_owner", F.sum((F.col("_role") == "tail").cast("long")).over(order))
     whole = owned.groupBy("_path", "_owner").agg(F.array_sort(F.collect_list(F.struct("_block", "_seq", "_role", "_text"))).alias("_parts"))  # two a chunk at most, of one record
     first = F.get("_parts", F.lit(0))
     texts = whole.select("_path", first["_block"].alias("_block"), first["_seq"].alias("_seq"), F.array_join(F.transform("_parts", lambda p: p["_text"]), "\n").alias("_text"))
-    return parsed.filter("_role is null and _idx >= -1").unionByName(texts.mapInArrow(_joined, _RECORDS)).select(*PLACE, "_late", "_idx", "_cells")
+    joined = stored(texts.mapInArrow(_joined, _RECORDS), "csv-joined")
+    return parsed.filter("_role is null and _idx >= -1").unionByName(joined).select(*PLACE, "_late", "_idx", "_cells")
 
 
 def read_csv_rows(spark: SparkSession, path: str) -> DataFrame:
     """Rows of header CSV files: headers and cells (arrays), surplus (cells beyond the header), source_file and row_number, which counts from 2 on in each file."""
-    rows = stored(records(spark, path), "csv-rows")
+    rows = records(spark, path)
     head = rows.groupBy("_path").agg(F.min_by("_cells", F.struct("_block", "_seq", "_late", "_idx")).alias("_names"))
     own = F.array_distinct("_names")
     at = F.transform(own, lambda n: F.size("_names") - F.array_position(F.reverse("_names"), n).cast("int"))
@@ -171,7 +173,7 @@ def read_csv_rows(spark: SparkSession, path: str) -> DataFrame:
     before = Window.partitionBy("_path").orderBy("_block", "_seq").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
     number = F.col("_before") + F.when(F.col("_late"), F.col("_early")).otherwise(0) + F.col("_idx") + F.when(F.size("_names") > 0, 1).otherwise(2)
-    numbered = rows.filter("_idx >= 0").join(counts, PLACE).join(head, "_path").withColumn("row_number", number).filter("row_number > 1")
+    numbered = rows.filter("_idx >= 0").join(stored(counts, "csv-counts"), PLACE).join(stored(head, "csv-headers"), "_path").withColumn("row_number", number).filter("row_number > 1")
     size = F.size("_names")
     return numbered.select(
         "headers",
