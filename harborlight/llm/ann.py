@@ -8,11 +8,12 @@ from each other need no edges between them. Near means near in direction here. W
 products lie elsewhere, so each node also gets edges to the `REACH` largest ones that a search with it as query finds.
 Shards are written once. Queries go in blocks; every shard meets every block in tasks of one shard and at most `BLOCKS` blocks,
 a beam search by inner product answers them, and the best of all shards are merged. Only queries and k rows for each query
-and shard move; a shard is copied once for every `BLOCKS` blocks.
+and shard move; a shard is copied once for every `BLOCKS` blocks. Searches by inner product compare directions in single precision times
+lengths in double precision, scaled together, and begin at the longest nodes of a shard as well.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components take no part, nor do rows without
 id; vectors of another length are another index; equal rows count once; of an id with different vectors each is a query and
-a candidate (but never for its own id); ties go to the smaller id; an empty table gives an empty result.
+a candidate (but never for its own id); ties go to the smaller id; a product that overflows is infinite, one that overflows both ways -infinity; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -42,24 +43,41 @@ def directions(vectors: np.ndarray) -> np.ndarray:
     return (scaled / np.sqrt((scaled**2).sum(1, keepdims=True))).astype(np.float32)
 
 
-def comparable(vectors: np.ndarray) -> np.ndarray:
-    """The vectors in single precision, scaled together to a largest component of 1."""
-    return (vectors / np.abs(vectors).max()).astype(np.float32)
+def lengths(vectors: np.ndarray) -> np.ndarray:
+    """Lengths in double precision, scaled together so that the longest does not overflow and none within 600 orders of magnitude of it vanishes."""
+    largest = np.abs(vectors).max(1)
+    log = np.log(largest) + np.log(((vectors / largest[:, None]) ** 2).sum(1)) / 2
+    return np.exp(log - log.max() + 690)  # about 1e300
 
 
-def entries(n: int) -> np.ndarray:
-    """The nodes of a shard of n that searches begin with; also the order of building begins with them."""
-    return np.random.default_rng(3).permutation(n)[:ENTRIES]
+def products(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """Inner products of rows in double precision; one that overflows is infinite, one that overflows both ways -infinity."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        found = np.einsum("ij,ij->i", queries, vectors)
+    return np.where(np.isnan(found), -np.inf, found)
 
 
-def beam_search(nodes: np.ndarray, edges: np.ndarray, begin: np.ndarray, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
-    """Best `beam` nodes (-1 past the end) by inner product for each query, found greedily from `begin`, all queries in step; and their products."""
+def entries(n: int, length: np.ndarray | None = None) -> np.ndarray:
+    """The nodes of a shard of n that searches begin with; also the order of building begins with them. With lengths, the longest nodes besides."""
+    begin = np.random.default_rng(3).permutation(n)[:ENTRIES]
+    if length is None:
+        return begin
+    longest = np.lexsort((np.arange(n), -length))[:ENTRIES]
+    return np.concatenate([begin, longest[~np.isin(longest, begin)]])
+
+
+def beam_search(nodes: np.ndarray, edges: np.ndarray, begin: np.ndarray, queries: np.ndarray, beam: int, length: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Best `beam` nodes (-1 past the end) by inner product for each query, found greedily from `begin`, all queries in step; and their products.
+
+    Nodes are directions; with lengths, a product is that of the directions times the node's length in double precision.
+    """
+    times = np.ones(len(nodes), np.float32) if length is None else length
     q, n = len(queries), len(nodes)
     degree = edges.shape[1]
     ids = np.full((q, beam), -1, np.int64)
-    near = np.full((q, beam), -np.inf, np.float32)
+    near = np.full((q, beam), -np.inf, times.dtype)
     done = np.ones((q, beam), bool)
-    known = queries @ nodes[begin].T
+    known = (queries @ nodes[begin].T) * times[begin]
     best = np.argsort(-known, 1, kind="stable")[:, :beam]
     width = best.shape[1]
     ids[:, :width], near[:, :width], done[:, :width] = begin[best], np.take_along_axis(known, best, 1), False
@@ -73,8 +91,8 @@ def beam_search(nodes: np.ndarray, edges: np.ndarray, begin: np.ndarray, queries
         fresh = (step >= 0) & ~seen[live[:, None], np.maximum(step, 0)]
         r, c = np.nonzero(fresh)
         seen[live[r], step[r, c]] = True
-        product = np.full((len(live), degree), -np.inf, np.float32)
-        product[r, c] = np.einsum("ij,ij->i", queries[live[r]], nodes[step[r, c]])
+        product = np.full((len(live), degree), -np.inf, times.dtype)
+        product[r, c] = np.einsum("ij,ij->i", queries[live[r]], nodes[step[r, c]]) * times[step[r, c]]
         all_ids = np.concatenate([ids[live], np.where(fresh, step, -1)], 1)
         all_near = np.concatenate([near[live], product], 1)
         all_done = np.concatenate([done[live], ~fresh], 1)
@@ -112,7 +130,7 @@ def robust_prune(nodes: np.ndarray, own: np.ndarray, candidates: np.ndarray, deg
 
 def build_graph(vectors: np.ndarray, degree: int = DEGREE, reach: int = REACH, beam: int = BUILD_BEAM, relax: float = RELAX) -> np.ndarray:
     """Edges (n, degree + reach; -1: none)."""
-    nodes, raw = directions(vectors), comparable(vectors)
+    nodes, length = directions(vectors), lengths(vectors)
     n = len(nodes)
     edges = np.full((n, degree), -1, np.int64)
     far = np.full((n, reach), -1, np.int64)
@@ -130,9 +148,10 @@ def build_graph(vectors: np.ndarray, degree: int = DEGREE, reach: int = REACH, b
         found, _ = beam_search(nodes, edges, begin, nodes[batch], beam)
         edges[batch] = robust_prune(nodes, batch, np.concatenate([found, edges[batch]], 1), degree, relax)
         _add_reverse(nodes, edges, batch, degree, relax)
+    begin = entries(n, length)
     for i in range(0, n if reach else 0, BATCH):
         batch = order[i : i + BATCH]
-        found, _ = beam_search(raw, np.concatenate([edges, far], 1), begin, nodes[batch], beam)
+        found, _ = beam_search(nodes, np.concatenate([edges, far], 1), begin, nodes[batch], beam, length)
         # no edge twice, or a step would find its end twice
         known = np.concatenate([batch[:, None], edges[batch]], 1)
         found[(found[:, :, None] == known[:, None, :]).any(2)] = -1
@@ -218,15 +237,15 @@ FOUND = "query_id long, row int, block int, vec_id long, score double"
 def _search(k: int, beam: int):
     """Of one shard and some blocks of queries: the k best of each query."""
 
-    def answer(shard: dict, vectors: np.ndarray, nodes: np.ndarray, block: dict) -> pa.RecordBatch:
+    def answer(shard: dict, vectors: np.ndarray, nodes: np.ndarray, length: np.ndarray, block: dict) -> pa.RecordBatch:
         edges = np.frombuffer(shard["edges"], np.int32).reshape(len(vectors), -1)
         ids, edge = np.frombuffer(shard["ids"], np.int64), np.frombuffer(shard["edge"], np.int64)
         owner = np.frombuffer(block["query_ids"], np.int64)
         queries = np.frombuffer(block["queries"], np.float64).reshape(len(owner), -1)
-        found, _ = beam_search(nodes, edges, entries(len(vectors)), directions(queries), beam)
+        found, _ = beam_search(nodes, edges, entries(len(vectors), length), directions(queries), beam, length)
         q, c = np.nonzero(found >= 0)
         node = found[q, c]
-        product = np.einsum("ij,ij->i", queries[q], vectors[node])
+        product = products(queries[q], vectors[node])
         size = edge[node + 1] - edge[node]
         inner = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
         one_q, one_s = np.repeat(q, size), np.repeat(product, size)
@@ -245,8 +264,8 @@ def _search(k: int, beam: int):
         out = []
         for shard in shards.to_pylist() if blocks.num_rows else []:
             vectors = np.frombuffer(shard["vectors"], np.float64).reshape(-1, shard["dim"])
-            nodes = comparable(vectors)
-            out += [answer(shard, vectors, nodes, b) for b in blocks.to_pylist()]
+            nodes, length = directions(vectors), lengths(vectors)
+            out += [answer(shard, vectors, nodes, length, b) for b in blocks.to_pylist()]
         return pa.Table.from_batches(out, schema)
 
     return run

@@ -356,7 +356,7 @@ def test_nearest_recall_ties_and_bad_rows(spark):
     assert hot == [i for i in range(100, 160) if i != 120][:20] or float(x[120] @ x[hot[0]]) > float(x[120] @ x[100])
 
 
-@pytest.mark.parametrize("kind", ["clusters", "one length", "lengths differ"])
+@pytest.mark.parametrize("kind", ["clusters", "one length", "lengths differ", "one giant", "heavy tail", "tiny", "huge"])
 def test_recall_of_several_shards(spark, kind):
     """Four shards, many blocks of queries and columns of clashing names; vectors without any structure are the hard case."""
     rng = np.random.default_rng(7)
@@ -368,6 +368,11 @@ def test_recall_of_several_shards(spark, kind):
         v /= np.sqrt((v**2).sum(1, keepdims=True))
     if kind == "lengths differ":
         v *= rng.lognormal(0, 0.4, (n, 1))
+    if kind == "one giant":
+        v[77] *= 1e60
+    if kind == "heavy tail":
+        v *= rng.lognormal(0, 3, (n, 1))
+    v *= {"tiny": 1e-120, "huge": 1e150}.get(kind, 1.0)
     df = spark.createDataFrame([(i, x.tolist(), 0) for i, x in enumerate(v)], "vec_id long, embedding array<double>, dim int").withColumns({"v": F.lit("own"), "shard": F.lit(1)})
     index = ann.build_index(df, 20, shard_rows=1500)
     assert index.count() == 4
@@ -580,6 +585,13 @@ def test_classifiers_without_labels(spark):
 # url filter
 
 
+def test_products_that_overflow():
+    found = ann.products(np.array([[1e200, 1.0], [1e200, 1e200], [1.0, 2.0]]), np.array([[1e200, 1.0], [1e200, -1e200], [3.0, 4.0]]))
+    assert found.tolist() == [np.inf, -np.inf, 11.0]
+    scaled = ann.lengths(np.array([[1.7e308] * 4, [1e-300, 0, 0, 0], [1.0, 0, 0, 0]]))
+    assert np.isfinite(scaled).all() and scaled[1] > 0 and scaled[0] > scaled[2] > scaled[1]
+
+
 def test_url_filter(spark):
     urls = {
         "https://www.Example.com/en/1?x": ("www.example.com", "/en/1", "www.example.com/en/", "allow"),
