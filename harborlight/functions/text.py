@@ -118,6 +118,12 @@ def kst_timestamp(c: Column) -> Column:
     return F.when(text.rlike("^[0-9]{14}$"), F.to_utc_timestamp(F.try_to_timestamp(text, F.lit("yyyyMMddHHmmss")), "Asia/Seoul"))
 
 
+def impossible_time(c: Column) -> Column:
+    """Whether a text has the 14 digits of a time that does not exist, which makes its record a reject (PRJ-10)."""
+    text = blank_to_null(c)
+    return F.coalesce(text.rlike("^[0-9]{14}$") & kst_timestamp(c).isNull(), F.lit(False))
+
+
 def ymd(c: Column) -> Column:
     """YYYYMMDD as a date (PRJ-11)."""
     return F.when(c.rlike("^[0-9]{8}$"), F.try_to_timestamp(c, F.lit("yyyyMMdd")).cast("date"))

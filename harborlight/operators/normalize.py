@@ -112,36 +112,41 @@ def _text(v: Column, name: str) -> Column:
 
 
 def _detail_rows(details: DataFrame) -> DataFrame:
-    """Rows of combine_details with the variants common, intro, info, image and content_id from the first."""
+    """Rows of combine_details with the variants common, intro, info, image, and content_id and _error from the first (PRJ-10, FLT-10)."""
     v = lambda e: F.try_parse_json(e)
     rows = details.withColumns({"common": env.first_item(v("detailCommon2")), "intro": env.first_item(v("detailIntro2")), "info": v("detailInfo2"), "image": v("detailImage2")})
-    return rows.withColumn("content_id", _text(F.col("common"), "contentid"))
+    rows = rows.withColumn("content_id", _text(F.col("common"), "contentid"))
+    times = [tx.impossible_time(_text(F.col("common"), k)) for k in ("modifiedtime", "createdtime")]
+    error = F.when(F.col("content_id").isNull(), "content id is missing").when(times[0] | times[1], "time does not exist")
+    return rows.withColumn("_error", error)
+
+
+def _detail_rejects(rows: DataFrame) -> DataFrame:
+    return rows.filter("_error is not null").select(F.substring(F.coalesce("detailCommon2", F.lit("")), 1, 120).alias("label"), F.col("_error").alias("error"))
 
 
 def spots(details: DataFrame, synced_at: Column, fetched_at: Column) -> dict[str, DataFrame]:
     """core, detail, images, raw and rejects of spots (GEN-7, PRJ-22 to 25): one parse serves all. A missing id is a reject (FLT-10)."""
     rows = _detail_rows(details)
-    good, c = rows.filter("content_id is not null"), F.col("common")
+    good, c = rows.filter("_error is null"), F.col("common")
     parking = F.coalesce(*[_text(F.col("intro"), k) for k in PARKING])
     x, y = tx.to_double(_text(c, "mapx")), tx.to_double(_text(c, "mapy"))
     core = good.select("content_id", _text(c, "contenttypeid").alias("content_type_id"), _text(c, "title").alias("title"), x.alias("map_x"), y.alias("map_y"), point(x, y).alias("point"), _text(c, "lDongRegnCd").alias("l_dong_regn_cd"), _text(c, "lDongSignguCd").alias("l_dong_signgu_cd"), *[_text(c, f"lclsSystm{i}").alias(f"lcls_systm_{i}") for i in (1, 2, 3)], _text(c, "firstimage").alias("first_image"), _text(c, "firstimage2").alias("first_image2"), _text(c, "cpyrhtDivCd").alias("first_image_cpyrht_div_cd"), tx.kst_timestamp(_text(c, "modifiedtime")).alias("source_modified_time"), synced_at.alias("synced_at"), F.lit(True).alias("is_active"))
     detail = good.select("content_id", *[_text(c, k).alias(n) for k, n in (("tel", "tel"), ("telname", "tel_name"), ("homepage", "homepage"), ("addr1", "addr1"), ("addr2", "addr2"), ("zipcode", "zipcode"), ("overview", "overview"))], tx.text_hash(_text(c, "overview")).alias("overview_hash"), F.to_json("intro").alias("intro"), tx.yes_no(parking).alias("parking_available"), tx.kst_timestamp(_text(c, "createdtime")).alias("source_created_at"))
     raw = good.select("content_id", env.raw_snapshot({e: F.col(e) for e in env.DETAIL_ENDPOINTS}, fetched_at).alias("raw_json"), fetched_at.alias("fetched_at"))
-    rejects = rows.filter("content_id is null").select(F.substring(F.coalesce("detailCommon2", F.lit("")), 1, 120).alias("label"), F.lit("content id is missing").alias("error"))
-    return {"core": core, "detail": detail, "images": spot_images(good), "raw": raw, "rejects": rejects}
+    return {"core": core, "detail": detail, "images": spot_images(good), "raw": raw, "rejects": _detail_rejects(rows)}
 
 
 def courses(details: DataFrame, synced_at: Column, fetched_at: Column) -> dict[str, DataFrame]:
     """course, items, raw and rejects of travel courses (GEN-8, PRJ-26)."""
     rows = _detail_rows(details)
-    good, c = rows.filter("content_id is not null"), F.col("common")
+    good, c = rows.filter("_error is null"), F.col("common")
     course = good.select("content_id", F.coalesce(_text(c, "title"), F.concat(F.lit("course-"), "content_id")).alias("title"), _text(c, "overview").alias("overview"), tx.text_hash(_text(c, "overview")).alias("overview_hash"), _text(c, "theme").alias("theme"), _text(c, "taketime").alias("taketime"), tx.digits_as_int(_text(c, "taketime")).alias("taketime_minutes"), tx.duration_minutes(_text(c, "taketime")).alias("duration_minutes"), _text(c, "distance").alias("distance"), tx.km(_text(c, "distance")).alias("distance_km"), _text(c, "schedule").alias("schedule"), _text(c, "infocentertourcourse").alias("infocenter_tourcourse"), _text(c, "firstimage").alias("first_image"), _text(c, "cpyrhtDivCd").alias("first_image_cpyrht_div_cd"), _text(c, "lDongRegnCd").alias("l_dong_regn_cd"), tx.kst_timestamp(_text(c, "modifiedtime")).alias("source_modified_time"), tx.kst_timestamp(_text(c, "createdtime")).alias("source_created_at"), synced_at.alias("synced_at"), F.lit(True).alias("is_active"))
     exploded = good.select(F.col("content_id").alias("course_content_id"), F.posexplode(env.course_items(F.col("info"))).alias("pos", "item"))
     i = F.col("item")
     listed = exploded.select("course_content_id", "pos", _text(i, "subnum").alias("subnum"), _text(i, "subcontentid").alias("sub_content_id"), _text(i, "subcontentid").alias("matched_spot_id"), _text(i, "subname").alias("sub_name"), _text(i, "subdetailoverview").alias("sub_overview"), _text(i, "subdetailimg").alias("sub_image"), _text(i, "subdetailalt").alias("sub_image_alt"))
     raw = good.select("content_id", env.raw_snapshot({e: F.col(e) for e in env.DETAIL_ENDPOINTS}, fetched_at).alias("raw_json"), fetched_at.alias("fetched_at"))
-    rejects = rows.filter("content_id is null").select(F.substring(F.coalesce("detailCommon2", F.lit("")), 1, 120).alias("label"), F.lit("content id is missing").alias("error"))
-    return {"courses": course, "items": number_course_items(listed), "raw": raw, "rejects": rejects}
+    return {"courses": course, "items": number_course_items(listed), "raw": raw, "rejects": _detail_rejects(rows)}
 
 
 def forecasts(landed: DataFrame, source: str = "tourapi") -> tuple[DataFrame, DataFrame]:
@@ -167,6 +172,7 @@ def listing(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(content_id, source_modified_time of listed items, last page first where an id comes twice; items without id) of landed list pages (PRJ-46, FLT-9)."""
     i = F.col("item")
     rows = env.list_items(pages).select("content_type_id", "page", "ordinal", env.item_id(i).alias("content_id"), tx.kst_timestamp(env.modified_text(i)).alias("source_modified_time"), F.to_json("item").alias("label"))
+    # a listed time that does not exist counts as unknown: the item is listed, is read, and its details are the reject
     good = rows.filter("content_id is not null").groupBy("content_id").agg(F.max_by("source_modified_time", F.struct("page", "ordinal")).alias("source_modified_time"))
     return good, rows.filter("content_id is null").select(F.substring("label", 1, 120).alias("label"), F.lit("content id is missing").alias("error"))
 

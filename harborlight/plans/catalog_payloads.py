@@ -274,12 +274,12 @@ def geocode_counters(t) -> DataFrame:
     return counted.select(F.inline(F.array(*[F.struct(F.lit(o).alias("outcome"), F.col(o).alias("n")) for o in ("resolved", "failed")])))
 
 
-@query("select l_orderkey, l_linenumber, case when l_linenumber = 3 then null else cast(floor(l_extendedprice) as double) + 0.5 end as plain, case when l_linenumber = 3 then null else cast(floor(l_extendedprice) as double) * 1000 + 1 end as grouped from {lineitem}")
+@query("select l_orderkey, l_linenumber, case when l_linenumber in (3, 4, 5) then null when l_linenumber = 6 then 1000.0 * (l_suppkey % 9 + 1) else cast(floor(l_extendedprice) as double) + 0.5 end as plain, case when l_linenumber = 3 then null else cast(floor(l_extendedprice) as double) * 1000 + 1 end as grouped from {lineitem}")
 def number_texts(t) -> DataFrame:
-    """PRJ-2 and PRJ-3."""
-    n = _text(F.floor("l_extendedprice"))
-    plain = F.when(F.col("l_linenumber") == 3, "1.2.3").otherwise(F.concat(F.lit(" "), n, F.lit(".5 ")))
-    grouped = F.when(F.col("l_linenumber") == 3, "1,x").otherwise(F.concat(n, F.lit(",001")))
+    """PRJ-2 and PRJ-3, also the forms that only some languages read as numbers."""
+    n, number = _text(F.floor("l_extendedprice")), F.col("l_linenumber")
+    plain = F.when(number == 3, "1.2.3").when(number == 4, F.concat(n, F.lit("d"))).when(number == 5, F.concat(n, F.lit(".5f"))).when(number == 6, F.concat(_text(F.col("l_suppkey") % 9 + 1), F.lit("_000"))).otherwise(F.concat(F.lit(" "), n, F.lit(".5 ")))
+    grouped = F.when(number == 3, "1,x").otherwise(F.concat(n, F.lit(",001")))
     return t("lineitem").select("l_orderkey", "l_linenumber", tx.to_double(plain).alias("plain"), tx.to_double(grouped, commas=True).alias("grouped"))
 
 

@@ -25,32 +25,31 @@ def newest_price(rows: DataFrame, keys: list[str], price: str, order: list[str])
     return rows.groupBy(*keys).agg(last.alias("r")).select(*keys, "r.*")
 
 
-def newest_processor(keys: list[str], schema: T.StructType) -> StatefulProcessor:
-    """Keeps the newest observation of a key as value state; a key whose newer one comes gives a row.
+def newest_processor(keys: list[str], values: list[str], state: T.StructType) -> StatefulProcessor:
+    """Keeps the rank of the newest observation of a key as value state; a key whose newer one comes gives a row of keys and values.
 
-    An event-time timer at that observation forgets the state once the watermark has passed it: what may still come is newer.
+    Rows are keys, values, and the rank: microseconds of the event time, and what decides between equal times. An event-time timer at that
+    observation forgets the state once the watermark has passed it: what may still come is newer.
     The class is made here, so that Spark ships it whole: the process that starts it knows no files of the application.
     """
-
-    row = Row(*keys, *schema.names)
+    row, first, last = Row(*keys, *values), len(keys), len(keys) + len(values)
 
     class Newest(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:
             self.handle = handle
-            self.newest = handle.getValueState("newest", schema)
+            self.newest = handle.getValueState("newest", state)
 
         def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803 the interface's names
-            """Rows are keys, price, order values; the first order value is the event time."""
-            best = max((tuple(r)[len(keys) :] for r in rows), key=lambda v: v[1:])
+            best = max((tuple(r) for r in rows), key=lambda r: r[last:])
             old = self.newest.get()
-            if old is None or tuple(old)[1:] < best[1:]:
-                self.newest.update(best)
-                self.handle.registerTimer(int(best[1].timestamp() * 1000))
-                yield row(*key, *best)
+            if old is None or tuple(old) < best[last:]:
+                self.newest.update(best[last:])
+                self.handle.registerTimer(best[last] // 1000)
+                yield row(*key, *best[first:last])
 
         def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
             old = self.newest.get()
-            if old is not None and int(tuple(old)[1].timestamp() * 1000) <= expiredTimerInfo.getExpiryTimeInMs():
+            if old is not None and tuple(old)[0] // 1000 <= expiredTimerInfo.getExpiryTimeInMs():
                 self.newest.clear()
             return iter(())
 
@@ -67,9 +66,12 @@ def current_prices(stream: DataFrame, keys: list[str], price: str, order: list[s
     """
     spark = stream.sparkSession
     rows = stream.select(*keys, F.col(price).alias("price"), *order).dropna(subset=[*keys, *order])
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema.fields])
-    state = T.StructType(schema.fields[len(keys) :])
-    newest = rows.withWatermark(order[0], late).groupBy(*keys).transformWithState(statefulProcessor=newest_processor(keys, state), outputStructType=schema, outputMode="Update", timeMode="EventTime")
+    schema = rows.schema
+    rank = {"_micros": F.unix_micros(order[0])} | {f"_rank{i}": F.col(c) for i, c in enumerate(order[1:])}
+    ranked = rows.select("*", *[c.alias(n) for n, c in rank.items()])
+    state = T.StructType(ranked.schema.fields[len(schema.fields) :])
+    processor = newest_processor(keys, ["price", *order], state)
+    newest = ranked.withWatermark(order[0], late).groupBy(*keys).transformWithState(statefulProcessor=processor, outputStructType=schema, outputMode="Update", timeMode="EventTime")
     merge = lambda old, batch: newest_price(old.unionByName(batch), keys, "price", order)
     before = spark.conf.get(_PROVIDER)
     spark.conf.set(_PROVIDER, _ROCKS)  # the only store that keeps such state; the query takes its own copy of the settings

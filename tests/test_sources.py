@@ -99,6 +99,18 @@ def test_spot(spark):
     assert normalize.spots(details(spark, detailCommon2={"title": "x"}), F.lit(AT), F.lit(AT))["rejects"].count() == 1
 
 
+@pytest.mark.parametrize(("text", "fails"), [("20240230000000", True), ("20241301000000", True), ("20240101250000", True), ("20240229235959", False), ("2024", False), ("", False)])
+def test_impossible_times_are_rejects(spark, text, fails):
+    """PRJ-10: 14 digits that are no time fail the record; anything else that is no time is unknown."""
+    for field in ("modifiedtime", "createdtime"):
+        for parse in (normalize.spots, normalize.courses):
+            out = parse(details(spark, detailCommon2={"contentid": "1", "title": "t", field: text}), F.lit(AT), F.lit(AT))
+            kept = out["core" if parse is normalize.spots else "courses"]
+            assert (out["rejects"].count(), kept.count()) == ((1, 0) if fails else (0, 1))
+            if fails:
+                assert out["rejects"].first().error == "time does not exist"
+
+
 def test_course(spark):
     info = [{"subnum": "2", "subcontentid": "b"}, {"subcontentid": "x"}, {"subnum": "0", "subcontentid": "a"}]
     out = normalize.courses(details(spark, detailCommon2={"contentid": "7", "taketime": "3시간 30분", "distance": "14.2Km"}, detailInfo2=info), F.lit(AT), F.lit(AT))
