@@ -360,12 +360,12 @@ def odcloud_sync(t) -> DataFrame:
     return _menus_by_name(jobs.JOBS["good_price_odcloud_sync"](food_tables(t), landed))
 
 
-@query("select c_custkey, case when c_custkey % 3 = 0 then c_name || ' again' else c_name end as name, case when c_custkey % 3 = 0 and c_custkey % 2 = 1 then 'x' else c_phone end as phone from {customer} where c_custkey % 7 <> 0 or c_custkey % 3 = 0")
+@query("select c_custkey, case when c_custkey % 3 = 0 then c_name || ' again' else c_name end as name, case when c_custkey % 3 = 0 and c_custkey % 2 = 1 then 'x' else c_mktsegment end as phone from {customer} where c_custkey % 7 <> 0 or c_custkey % 3 = 0")
 def incremental_landing(t) -> DataFrame:
     """STR-1: payloads that land one after the other, worked off by a stream into a snapshot in buckets; repeated keys keep what is not null."""
     spark = t("region").sparkSession
     home = f"{shared_dir(spark)}/harborlight/landing-{uuid.uuid4().hex}"
-    rows = t("customer").select("c_custkey", F.col("c_name").alias("name"), F.col("c_phone").alias("phone"))
+    rows = t("customer").select("c_custkey", F.col("c_name").alias("name"), F.col("c_mktsegment").alias("phone"))
     again = rows.filter("c_custkey % 3 = 0").select("c_custkey", F.concat("name", F.lit(" again")).alias("name"), F.when(F.col("c_custkey") % 2 == 1, "x").when(F.col("c_custkey") % 7 == 0, F.col("phone")).alias("phone"))
     for number, landed in enumerate((rows.filter("c_custkey % 7 <> 0"), again)):
         landed.write.parquet(f"{home}/in/{number}")
