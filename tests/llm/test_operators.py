@@ -287,6 +287,44 @@ def test_network_learns_from_rare_findings(spark):
     assert np.mean([(scores(word()) >= net.threshold).any() for _ in range(100)]) < 0.05
 
 
+def secret_rows(rng, n, every):
+    words = lambda: "".join(rng.choice(LOWER) for _ in range(14))
+    secret = lambda: "token=" + "".join(rng.choice(DIGITS + "abcdef") for _ in range(24))
+    return [(i, f"{words()} /usr/{words()}/{words()} {secret() if i % every == 0 else 'none'} end", "en", "s", 1) for i in range(n)]
+
+
+def test_every_frame_is_learnt_from(spark, monkeypatch):
+    """More findings and others than the 4000 of each that training was bounded by: shards hold every distinct frame, and each has its turn."""
+    rows = secret_rows(random.Random(21), 4500, 1)
+    label, codes = map(np.concatenate, zip(*secret_scan._labelled(pa.array([r[1] for r in rows])), strict=True))
+    want = [{c.tobytes() for c in codes[label == k]} for k in (0, 1)]
+    monkeypatch.setattr(secret_scan, "SHARD", 5000)
+    shards, n_own, n_other = secret_scan.deal(frame(spark, rows))
+    shards = shards.collect()
+    assert len(shards) > 2 and (n_other, n_own) == tuple(map(len, want)) and min(map(len, want)) > 4000
+    own = [c.tobytes() for r in shards for c, first in zip(secret_scan._codes([r.own]), np.frombuffer(r.original, bool), strict=True) if first]
+    other = [c.tobytes() for r in shards for c in secret_scan._codes([r.other])]
+    assert sorted(own) == sorted(want[1]) and sorted(other) == sorted(want[0])
+    for n in (0, 1, secret_scan.ROUND, 50001):
+        turns = [secret_scan._turn(np.arange(n), turn, 10) for turn in range(10)]
+        assert set(np.concatenate(turns).tolist()) == set(range(n))
+
+
+def test_shards_learn_one_network(spark, monkeypatch):
+    """Few findings are copied to several shards and counted once; the averaged network finds others of their kind, whatever the partitions."""
+    rows = secret_rows(random.Random(22), 1500, 40)
+    monkeypatch.setattr(secret_scan, "SHARD", 1200)
+    shards, n_own, _ = secret_scan.deal(frame(spark, rows))
+    shards = shards.collect()
+    assert len(shards) > 2 and all(len(secret_scan._codes([r.own])) == n_own for r in shards) and sum(np.frombuffer(r.original, bool).sum() for r in shards) == n_own == 38
+    nets = [secret_scan.train(docs) for docs in (frame(spark, rows), frame(spark, rows[::-1]).repartition(3))]
+    assert nets[0].threshold == nets[1].threshold and (nets[0].state() == nets[1].state()).all()
+    asked = pa.array([t for _, t, *_ in secret_rows(random.Random(23), 200, 2)])
+    monkeypatch.setattr(secret_scan, "base_findings", lambda text: [])
+    spans = secret_scan.scan_texts(asked, nets[0])[4].to_pylist()
+    assert np.mean(["model" in x for x in spans[::2]]) >= 0.95 and np.mean(["model" in x for x in spans[1::2]]) <= 0.03
+
+
 def test_redact(spark):
     rows = [(1, "a 0123456789abcdef b", "en", "s", 20), (2, "clean", "en", "s", 77), (3, None, None, None, None)]
     docs = frame(spark, rows).withColumn("_redacted", F.lit("own"))
