@@ -8,13 +8,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from harborlight.functions import similarity as sim
-from harborlight.functions.spatial import band, cell, metres
+from harborlight.functions.spatial import band, cell, metres, span
 from harborlight.functions.text import match_address, match_name
-from harborlight.session import stored
 
 #: Categories that are not matched.
 NOT_MATCHED = ("beauty", "bath", "lodging")
 NEAREST = 30
+#: Least reach of the nearest search, metres.
+FINEST = 25.0
 
 
 def match_targets(places: DataFrame, matches: DataFrame, rematch_pending: bool = False) -> DataFrame:
@@ -50,22 +51,76 @@ def restaurant_spots(spots: DataFrame) -> DataFrame:
     return rows.select(F.col("content_id").alias("spot_content_id"), F.col("title").alias("spot_title"), F.col("tel").alias("spot_tel"), F.col("address").alias("spot_address"), F.col("map_x").alias("spot_x"), F.col("map_y").alias("spot_y"))
 
 
-def nearest(pairs: DataFrame, key: str = "id", n: int = NEAREST) -> DataFrame:
+def nearest(pairs: DataFrame, key: str | list[str] = "id", n: int = NEAREST) -> DataFrame:
     """The n nearest candidates of each place, ties by spot id (WIN-4)."""
     order = Window.partitionBy(key).orderBy("distance_m", "spot_content_id")
     return pairs.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= n).drop("_n")
 
 
-def nearest_within(left: DataFrame, right: DataFrame, radius: float, n: int = NEAREST) -> DataFrame:
-    """The n nearest partners within the radius of each row of left, by its id (WIN-4).
+def around(rows: DataFrame, x: str, y: str, size: float | Column, steps: int = 1, reach: int | None = None) -> DataFrame:
+    """rows copied to the cells (_cx, _cy) up to `steps` from their own; each band counts by its own longitude step."""
+    by = F.array(*[F.lit(i) for i in range(-steps, steps + 1)])
+    banded = rows.select("*", F.explode(by).alias("_cy")).withColumn("_cy", band(F.col(y), size) + F.col("_cy"))
+    return banded.select("*", F.explode(by).alias("_cx")).withColumn("_cx", cell(F.col(x), F.col("_cy"), size, reach or steps) + F.col("_cx"))
 
-    Rows with n partners in a quarter of the radius have their nearest there; only the others look further, so that in a dense
-    area few of the pairs within the radius are ever made.
+
+def in_cell(rows: DataFrame, size: float | Column, reach: int = 1) -> DataFrame:
+    """rows with the cell (_cx, _cy) of (map_x, map_y)."""
+    return rows.withColumn("_cy", band(F.col("map_y"), size)).withColumn("_cx", cell(F.col("map_x"), F.col("_cy"), size, reach))
+
+
+def located(rows: DataFrame, x: str, y: str, on: list[str]) -> DataFrame:
+    """Rows with a point and a value in each column of `on`."""
+    return rows.dropna(subset=[x, y, *on])
+
+
+def apart() -> Column:
+    return metres(F.col("map_x"), F.col("map_y"), F.col("spot_x"), F.col("spot_y"))
+
+
+def nearest_within(left: DataFrame, right: DataFrame, radius: float, n: int = NEAREST, on: tuple[str, ...] = (), key: str | None = "id") -> DataFrame:
+    """The n nearest partners within the radius of each row of left, equal in the columns `on`, ties by spot id (WIN-4).
+
+    Found once per point of left. A point looks as far as the least of radius, radius / 2, ... whose block of nine cells around it is known to
+    hold n partners and to lie within that reach, so it meets few more than n of them in a dense area as in a thin one. Partners of one
+    point count together, and only the n least ids of a point can be among the nearest. Where values of `key` repeat, the n nearest
+    are those of all rows of a value; None: of each row.
     """
-    near = stored(nearest(within(left, right, radius / 4), n=n), "near-pairs")
-    full = near.groupBy("id").count().filter(F.col("count") == n).select("id")
-    rest = within(left.join(full, "id", "left_anti"), right, radius)
-    return near.join(full, "id", "left_semi").unionByName(nearest(rest, n=n))
+    on, at, partners = list(on), ["map_x", "map_y", *on], ["spot_x", "spot_y", *on]
+    columns = [c for c in right.columns if c not in on]
+    reaches = [radius]
+    while reaches[-1] / 2 >= FINEST:
+        reaches.append(reaches[-1] / 2)
+    tries = F.array(*[F.lit(r) for r in reaches])
+    reach = F.col("_reach")
+
+    least = located(right, "spot_x", "spot_y", on).withColumn("_n", F.row_number().over(Window.partitionBy(*partners).orderBy("spot_content_id"))).filter(F.col("_n") <= n)
+    spots = least.groupBy(*partners).agg(F.count("*").alias("_m"))
+    lists = least.groupBy(*partners).agg(F.collect_list(F.struct(*columns)).alias("_rows"))
+
+    cells = ["_reach", "_cx", "_cy", *on]
+    full = around(spots.select("*", F.explode(tries).alias("_reach")).filter(reach < radius), "spot_x", "spot_y", reach / 3).groupBy(*cells).agg(F.sum("_m").alias("_m")).filter(F.col("_m") >= n).drop("_m")
+    points = located(left, "map_x", "map_y", on).select(*at).distinct()
+    tried = in_cell(points.select("*", F.explode(tries).alias("_reach")), reach / 3).filter((reach == radius) | (span(F.col("_cy"), reach / 3) <= reach))
+    chosen = tried.join(full.withColumn("_full", F.lit(True)), cells, "left").filter((reach == radius) | F.col("_full")).groupBy(*at).agg(F.min("_reach").alias("_reach"))
+
+    used = chosen.select("_reach").distinct()
+    far = around(spots.crossJoin(F.broadcast(used)), "spot_x", "spot_y", reach)
+    pairs = in_cell(chosen, reach).join(far, cells).withColumn("distance_m", apart()).filter(F.col("distance_m") <= reach)
+    one = Window.partitionBy(*cells, "map_x", "map_y")
+    counted = pairs.withColumn("_sum", F.sum("_m").over(one.orderBy("distance_m").rowsBetween(Window.unboundedPreceding, 0)))
+    enough = counted.withColumn("_enough", F.min(F.when(F.col("_sum") >= n, F.col("distance_m"))).over(one)).filter(F.col("_enough").isNull() | (F.col("distance_m") <= F.col("_enough")))
+    rows = enough.select(*at, "spot_x", "spot_y", "distance_m").join(lists, partners).select(*at, "distance_m", F.inline("_rows"))
+    return _opened(left, nearest(rows, at, n), at, [*columns, "distance_m"], key, ["distance_m", "spot_content_id"], n)
+
+
+def _opened(left: DataFrame, found: DataFrame, at: list[str], columns: list[str], key: str | None, order: list[str], n: int) -> DataFrame:
+    """Rows of left with the partners found for their point."""
+    lists = found.groupBy(*at).agg(F.collect_list(F.struct(*columns)).alias("_found"))
+    rows = left.join(lists, at).select(*left.columns, F.inline("_found"))
+    if key is None or left.groupBy(key).count().filter("count > 1").isEmpty():
+        return rows
+    return rows.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(*order))).filter(F.col("_n") <= n).drop("_n")
 
 
 def semi_near(left: DataFrame, right: DataFrame, radius: float) -> DataFrame:
