@@ -48,7 +48,7 @@ def cell(x: Column, in_band: Column, radius: float | Column, reach: int = 1) ->
 
 def span(in_band: Column, radius: float | Column, reach: int = 1) -> Column:
     """Metres that a point of a cell and one of the nine cells around it are apart at most; null near the poles, where cells widen without bound."""
-    high = radius / 110574.0
+    high = F.lit(radius) / 110574.0
     low = F.when((in_band <= 1) & (in_band >= -2), 0.0).otherwise(F.least(F.abs(in_band - 1), F.abs(in_band + 2)) * high)
     along = F.radians(2 * high) * (AXIS / (1 - ECCENTRICITY2) ** 0.5)
     across = F.radians(2 * _widest(in_band, radius, reach)) * (AXIS / (1 - ECCENTRICITY2) ** 0.5) * F.cos(F.radians(low))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from harborlight.functions import text as tx
@@ -37,14 +37,23 @@ def keyword_requests(targets: DataFrame) -> DataFrame:
 def best_documents(documents: DataFrame, similarity: Callable[[Column, Column], Column]) -> DataFrame:
     """Best acceptable document per (id, query_pos), then the first query that has one (SIM-11, FLT-14, WIN-7, WIN-8).
 
-    documents: id, name, tel, query_pos, query, ordinal, place_name, phone, x, y, address.
+    documents: id, name, tel, query_pos, query, ordinal, place_name, phone, x, y, address. similarity is at most 1, and 1 for equal names:
+    an acceptable document with the place's telephone or name leaves only earlier queries to compare.
     """
-    name = F.when(F.col("place_name").isNotNull(), F.greatest(similarity(tx.match_name(F.col("name")), tx.match_name(F.col("place_name"))), phone_score(F.col("tel"), F.col("phone")))).otherwise(0.0)
+    named = F.col("place_name").isNotNull()
+    a, b = tx.match_name(F.col("name")), tx.match_name(F.col("place_name"))
+    phone = phone_score(F.col("tel"), F.col("phone"))
     city = F.col("address").isNull() | tx.mentions_city(F.col("address"))
-    good = documents.withColumn("score", name).filter((F.col("score") >= MIN_NAME) & in_box(F.col("x"), F.col("y")) & city)
-    ranked = good.withColumn("_n", rank_in(["id", "query_pos"], [F.col("score").desc(), F.col("ordinal")])).filter("_n = 1")
-    first = ranked.withColumn("_q", rank_in(["id"], [F.col("query_pos")])).filter("_q = 1")
-    return first.select("id", "query", "x", "y", "address", "score")
+    open_ = documents.filter(named & in_box(F.col("x"), F.col("y")) & city)
+    place = F.struct("query_pos", "ordinal")
+    sure = F.min(F.when((phone == 1) | (a == b), place)).over(Window.partitionBy("id"))
+    left = open_.withColumn("_sure", sure).filter(F.col("_sure").isNull() | (F.col("query_pos") < F.col("_sure.query_pos")) | (place == F.col("_sure")))
+    # A sure document needs no comparison: it gets two empty names, which are equal.
+    is_sure = F.coalesce(place == F.col("_sure"), F.lit(False))
+    score = F.greatest(similarity(F.when(is_sure, "").otherwise(a), F.when(is_sure, "").otherwise(b)), phone)
+    good = left.withColumn("score", score).filter(F.col("score") >= MIN_NAME)
+    ranked = good.withColumn("_n", rank_in(["id"], [F.col("query_pos"), F.col("score").desc(), F.col("ordinal")])).filter("_n = 1")
+    return ranked.select("id", "query", "x", "y", "address", "score")
 
 
 def inference_requests(targets: DataFrame, menus: DataFrame) -> DataFrame:

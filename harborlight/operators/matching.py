@@ -74,6 +74,12 @@ def located(rows: DataFrame, x: str, y: str, on: list[str]) -> DataFrame:
     return rows.dropna(subset=[x, y, *on])
 
 
+def spread(rows: DataFrame, *by: str) -> DataFrame:
+    """rows over all cores, by a number of partitions that adaptive execution keeps: few bytes become many pairs."""
+    spark = rows.sparkSession
+    return rows.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), *by)
+
+
 def apart() -> Column:
     return metres(F.col("map_x"), F.col("map_y"), F.col("spot_x"), F.col("spot_y"))
 
@@ -95,7 +101,7 @@ def nearest_within(left: DataFrame, right: DataFrame, radius: float, n: int = NE
     reach = F.col("_reach")
 
     least = located(right, "spot_x", "spot_y", on).withColumn("_n", F.row_number().over(Window.partitionBy(*partners).orderBy("spot_content_id"))).filter(F.col("_n") <= n)
-    spots = least.groupBy(*partners).agg(F.count("*").alias("_m"))
+    spots = spread(least.groupBy(*partners).agg(F.count("*").alias("_m")))
     lists = least.groupBy(*partners).agg(F.collect_list(F.struct(*columns)).alias("_rows"))
 
     cells = ["_reach", "_cx", "_cy", *on]
@@ -106,7 +112,7 @@ def nearest_within(left: DataFrame, right: DataFrame, radius: float, n: int = NE
 
     used = chosen.select("_reach").distinct()
     far = around(spots.crossJoin(F.broadcast(used)), "spot_x", "spot_y", reach)
-    pairs = in_cell(chosen, reach).join(far, cells).withColumn("distance_m", apart()).filter(F.col("distance_m") <= reach)
+    pairs = spread(in_cell(chosen, reach), *cells).join(far, cells).withColumn("distance_m", apart()).filter(F.col("distance_m") <= reach)
     one = Window.partitionBy(*cells, "map_x", "map_y")
     counted = pairs.withColumn("_sum", F.sum("_m").over(one.orderBy("distance_m").rowsBetween(Window.unboundedPreceding, 0)))
     enough = counted.withColumn("_enough", F.min(F.when(F.col("_sum") >= n, F.col("distance_m"))).over(one)).filter(F.col("_enough").isNull() | (F.col("distance_m") <= F.col("_enough")))
@@ -114,6 +120,26 @@ def nearest_within(left: DataFrame, right: DataFrame, radius: float, n: int = NE
     return _opened(left, nearest(rows, at, n), at, [*columns, "distance_m"], key, ["distance_m", "spot_content_id"], n)
 
 
+def first_within(left: DataFrame, right: DataFrame, radius: float, n: int = 1, on: tuple[str, ...] = (), key: str | None = "id") -> DataFrame:
+    """The n partners of least spot id within the radius of each row of left, equal in the columns `on`, with distance_m; `key` as in nearest_within.
+
+    Cells are a third of the radius wide, so the nine around a point lie within it: partners beyond the n-th id of these nine are
+    none of the first n, and of the others few are left for each cell.
+    """
+    on, at = list(on), ["map_x", "map_y", *on]
+    size, columns, cells = radius / 3, [c for c in right.columns if c not in on], ["_cx", "_cy", *on]
+    spots = spread(located(right, "spot_x", "spot_y", on))
+    points = in_cell(located(left, "map_x", "map_y", on).select(*at).distinct(), size, 3)
+    block = around(spots.select("spot_x", "spot_y", "spot_content_id", *on), "spot_x", "spot_y", size, 1, 3)
+    last = block.withColumn("_n", F.row_number().over(Window.partitionBy(*cells).orderBy("spot_content_id"))).filter(F.col("_n") == n)
+    sure = last.filter(span(F.col("_cy"), size, 3) <= radius).select(*cells, F.col("spot_content_id").alias("_last"))
+    asked = points.select(*cells).distinct().join(sure, cells, "left")
+    some = around(spots, "spot_x", "spot_y", size, 3).join(asked, cells).filter(F.col("_last").isNull() | (F.col("spot_content_id") <= F.col("_last"))).drop("_last")
+    pairs = spread(points, *cells).join(some, cells).withColumn("distance_m", apart()).filter(F.col("distance_m") <= radius)
+    ranked = pairs.withColumn("_n", F.row_number().over(Window.partitionBy(*cells, "map_x", "map_y").orderBy("spot_content_id"))).filter(F.col("_n") <= n)
+    return _opened(left, ranked, at, [*columns, "distance_m"], key, ["spot_content_id"], n)
+
+
 def _opened(left: DataFrame, found: DataFrame, at: list[str], columns: list[str], key: str | None, order: list[str], n: int) -> DataFrame:
     """Rows of left with the partners found for their point."""
     lists = found.groupBy(*at).agg(F.collect_list(F.struct(*columns)).alias("_found"))

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from harborlight.functions import spatial
-from harborlight.operators import matching
+from harborlight.operators import geocode, matching
 
 
 @pytest.fixture
@@ -81,3 +81,44 @@ def test_nearest_of_repeated_ids_and_of_equal_names(spark):
     assert rows(matching.nearest_within(twice, right, 500.0, n=4)) == every(twice, right, 500.0, n=4)
     named = right.withColumn("name", F.col("spot_title"))
     assert rows(matching.nearest_within(left, named, 500.0, n=2, on=("name",))) == every(left, right, 500.0, n=2, same=True)
+
+
+def test_first_by_id_makes_few_pairs_in_a_dense_area(spark, made):
+    left, right = town(spark, 300, 1500, size=0.006)
+    got = rows(matching.first_within(left, right, 300.0, 3))
+    assert got == every(left, right, 300.0, ("spot_content_id",), 3) and len(got) == 900
+    assert made.value < 40_000
+
+
+@pytest.mark.parametrize(("latitude", "step", "radius"), [(35.1, 0.0005, 300.0), (0.0, 0.0005, 200.0), (-72.0, 0.0005, 300.0), (89.95, 0.0005, 300.0), (60.0, None, 900.0)])
+def test_first_by_id_at_any_latitude(spark, latitude, step, radius):
+    left, right = town(spark, 150, 300, latitude=latitude, step=step)
+    got = rows(matching.first_within(left, right, radius, 4))
+    assert got == every(left, right, radius, ("spot_content_id",), 4) and len(got) > 300
+
+
+def test_first_by_id_of_repeated_ids_and_of_equal_names(spark):
+    left, right = town(spark, 80, 150, step=0.0005)
+    twice = left.withColumn("id", F.col("id") % 40)
+    ids = lambda found: [r[:2] for r in found]
+    assert ids(rows(matching.first_within(twice, right, 400.0, 3))) == ids(every(twice, right, 400.0, ("spot_content_id",), 3))
+    named = right.withColumn("name", F.col("spot_title"))
+    assert rows(matching.first_within(left, named, 400.0, 2, on=("name",))) == every(left, right, 400.0, ("spot_content_id",), 2, same=True)
+
+
+def test_best_documents_compares_no_more_than_it_must(spark):
+    """A document with the place's telephone or name ends the comparison of its query and of later ones."""
+    asked = spark.sparkContext.accumulator(0)
+
+    @F.pandas_udf("double")
+    def alike(a: pd.Series, b: pd.Series) -> pd.Series:
+        asked.add(int((a != "").sum()))
+        return (a == b).astype("float64").where(a == b, 0.8)
+
+    document = lambda i, q, n, name, phone=None, x=129.0: (i, "가나", "051-111-2222", q, f"q{q}", n, name, phone, x, 35.1, None)
+    found = [document(1, 0, n, "다라") for n in range(50)] + [document(1, 0, 7, "다라", "0511112222")] + [document(1, 1, n, "가나") for n in range(50)]
+    found += [document(2, 0, 0, "가나", x=120.0), document(2, 0, 1, None), document(2, 1, 3, "마바"), document(2, 1, 2, "사아"), document(2, 2, 1, "가나")]
+    schema = "id long, name string, tel string, query_pos int, query string, ordinal int, place_name string, phone string, x double, y double, address string"
+    best = geocode.best_documents(spark.createDataFrame(found, schema), alike).collect()
+    assert sorted((r.id, r.query, r.score) for r in best) == [(1, "q0", 1.0), (2, "q1", 0.8)]
+    assert asked.value <= 4  # two documents, in the filter and in the result
