@@ -72,6 +72,12 @@ def phone_score(left: Column, right: Column) -> Column:
     return F.when(hit, 1.0).otherwise(0.0)
 
 
+def phone_key(c: Column) -> Column:
+    """What two numbers have in common that phone_score takes for one: the last 8 digits, or all 7; null for shorter ones."""
+    digits = match_phone(c)
+    return F.when(F.length(digits) >= 8, F.right(digits, F.lit(8))).when(F.length(digits) == 7, digits)
+
+
 def match_score(tel: Column, name: Column, address: Column, distance: Column) -> Column:
     """Weighted sum to three places (SIM-4)."""
     return F.bround(tel * W_TEL + name * W_NAME + address * W_ADDRESS + distance * W_DISTANCE, 3)

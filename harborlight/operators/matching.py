@@ -165,6 +165,21 @@ def score_candidates(pairs: DataFrame, similarity: Callable[[Column, Column], Co
     return scored.withColumn("match_score", sim.match_score(F.col("tel_score"), F.col("name_score"), F.col("address_score"), sim.distance_score(F.col("distance_m"))))
 
 
+def contenders(places: DataFrame, spots: DataFrame, radius: float) -> DataFrame:
+    """Pairs within the radius that hold the two best of each place, where only telephone, equal names and distance tell scores apart.
+
+    Of the spots with a pair's telephone or name hits, or more of them, a nearer one scores no less. So a place's two best are
+    among its two nearest of all spots, of those with its telephone, with its name, or with both; `_kind` says which hits a pair has.
+    """
+    tel, name = F.col("_tel"), F.col("_name")
+    keys = (F.lit(""), tel, name, F.concat(tel, F.lit("\n"), name))
+    kinds = F.array(*[F.struct(F.lit(i).alias("_kind"), k.alias("_key")) for i, k in enumerate(keys)])
+    sides = [rows.withColumns({"_tel": sim.phone_key(F.col(t)), "_name": F.col(n)}).select(*rows.columns, F.inline(kinds)) for rows, t, n in ((places, "tel", "name"), (spots, "spot_tel", "spot_title"))]
+    pairs = nearest_within(*sides, radius, 2, on=("_kind", "_key"), key=None)
+    hits = F.when(sim.phone_score(F.col("tel"), F.col("spot_tel")) > 0, 1).otherwise(0) + F.when(F.col("name") == F.col("spot_title"), 2).otherwise(0)
+    return pairs.filter(F.col("_kind") == hits).drop("_kind", "_key")
+
+
 def pick_best(scored: DataFrame, key: str = "id") -> DataFrame:
     """Best candidate of each place with its final status (WIN-5, SIM-8, SIM-9); ties keep distance order."""
     order = Window.partitionBy(key).orderBy(F.col("match_score").desc(), "distance_m", "spot_content_id")

@@ -8,6 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from harborlight.functions import similarity as sim
 from harborlight.functions import spatial
 from harborlight.operators import geocode, matching
 from harborlight.plans import catalog
@@ -130,8 +131,25 @@ TABLES = "/root/testdata/sf0.1"
 
 
 @pytest.mark.skipif(not os.path.isdir(TABLES), reason="no test tables")
-@pytest.mark.parametrize(("name", "most"), [("cheap_restaurants_near_spot", 600_000), ("geocode_best_equal_names", 400_000)])
+@pytest.mark.parametrize(("name", "most"), [("cheap_restaurants_near_spot", 600_000), ("geocode_best_equal_names", 400_000), ("match_decision", 350_000)])
 def test_query_makes_few_pairs(spark, made, name, most):
     """`most` is a fraction of the pairs in neighbouring cells."""
     catalog.QUERIES[name](spark, TABLES).write.format("noop").mode("overwrite").save()
     assert 0 < made.value < most
+
+
+def test_contenders_hold_the_two_best(spark):
+    """Against the scores of all pairs, with telephones of 7, 8 and more digits, equal names, and nulls."""
+    left, right = town(spark, 150, 400, step=0.0005)
+    tels = F.array(*[F.lit(t) for t in (None, "123-4567", "051-123-4567", "51 123 4567", "02-765-4321", "12345", "0511234567")])
+    tel = lambda c, n: F.element_at(tels, (F.col(c).cast("int") % n + 1).cast("int"))
+    places, spots = left.withColumns({"tel": tel("id", 7), "name": F.when(F.col("id") % 9 > 0, F.col("name"))}), right.withColumn("spot_tel", tel("spot_content_id", 6))
+
+    def best(pairs):
+        scored = pairs.withColumns({"tel_score": sim.phone_score(F.col("tel"), F.col("spot_tel")), "name_score": F.when(F.col("name") == F.col("spot_title"), 1.0).otherwise(0.0)})
+        scored = scored.withColumn("match_score", sim.match_score(F.col("tel_score"), F.col("name_score"), F.lit(1.0), sim.distance_score(F.col("distance_m"))))
+        return sorted(map(tuple, matching.pick_best(scored).collect()))
+
+    few = matching.contenders(places, spots, 300.0).localCheckpoint()
+    assert best(few) == best(matching.within(places, spots, 300.0))
+    assert few.groupBy("id").count().agg(F.max("count")).first()[0] <= 8 and few.count() == few.select("id", "spot_content_id").distinct().count()
