@@ -16,6 +16,8 @@ NOT_MATCHED = ("beauty", "bath", "lodging")
 NEAREST = 30
 #: Least reach of the nearest search, metres.
 FINEST = 25.0
+#: Rows of one point that are paired together.
+GATHERED = 256
 
 
 def match_targets(places: DataFrame, matches: DataFrame, rematch_pending: bool = False) -> DataFrame:
@@ -29,20 +31,28 @@ def match_targets(places: DataFrame, matches: DataFrame, rematch_pending: bool =
     return joined.filter(own & free).select(places.columns)
 
 
-def within(left: DataFrame, right: DataFrame, radius: float) -> DataFrame:
-    """Pairs of rows at most `radius` metres apart, with distance_m (JN-4).
+def gathered(rows: DataFrame, x: str, y: str, point: tuple[str, str], name: str, most: int = GATHERED) -> DataFrame:
+    """Up to `most` rows of one point as an array `name` beside it; rows without a point are left out."""
+    nth = F.row_number().over(Window.partitionBy(x, y).orderBy(F.lit(0)))
+    parts = rows.dropna(subset=[x, y]).withColumn("_part", F.floor((nth - 1) / most))
+    return parts.groupBy(F.col(x).alias(point[0]), F.col(y).alias(point[1]), "_part").agg(F.collect_list(F.struct(*rows.columns)).alias(name)).drop("_part")
+
+
+def within(left: DataFrame, right: DataFrame, radius: float, digits: int | None = None) -> DataFrame:
+    """Pairs of rows at most `radius` metres apart, with distance_m (JN-4), rounded afterwards if `digits` are given.
 
     left has map_x, map_y; right has spot_x, spot_y. Cells are at least a radius wide at any latitude, so the neighbours of a
     cell hold all partners: right goes to three cells of its latitude band and of both neighbours, by the longitude step of
-    each, and the join is on equality. No pair is met twice.
+    each, and the join is on equality. No pair is met twice. Rows of one point go together, some hundred at a time, and are paired
+    after the distance of their points is known.
     """
-    ly, ry = band(F.col("map_y"), radius), band(F.col("spot_y"), radius)
-    lx = cell(F.col("map_x"), ly, radius)
-    around = F.array(*[F.struct((cell(F.col("spot_x"), ry + j, radius) + i).alias("_cx"), (ry + j).alias("_cy")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    far = right.filter("spot_x is not null and spot_y is not null").select("*", F.inline(around))
-    near = left.filter("map_x is not null and map_y is not null").withColumns({"_cx": lx, "_cy": ly})
-    pairs = near.join(far, ["_cx", "_cy"]).drop("_cx", "_cy")
-    return pairs.withColumn("distance_m", metres(F.col("map_x"), F.col("map_y"), F.col("spot_x"), F.col("spot_y"))).filter(F.col("distance_m") <= radius)
+    near = in_cell(gathered(left, "map_x", "map_y", ("_x", "_y"), "_rows"), radius, x="_x", y="_y")
+    far = around(spread(gathered(right, "spot_x", "spot_y", ("_sx", "_sy"), "_partners")), "_sx", "_sy", radius)
+    # Merged, as sizes estimated from compressed keys would have arrays broadcast.
+    pairs = spread(near, "_cx", "_cy").join(far.hint("merge"), ["_cx", "_cy"]).withColumn("distance_m", metres(F.col("_x"), F.col("_y"), F.col("_sx"), F.col("_sy"))).filter(F.col("distance_m") <= radius)
+    if digits is not None:
+        pairs = pairs.withColumn("distance_m", F.round("distance_m", digits))
+    return pairs.select(F.inline("_rows"), "_partners", "distance_m").select(*left.columns, F.inline("_partners"), "distance_m")
 
 
 def restaurant_spots(spots: DataFrame) -> DataFrame:
@@ -64,9 +74,9 @@ def around(rows: DataFrame, x: str, y: str, size: float | Column, steps: int = 1
     return banded.select("*", F.explode(by).alias("_cx")).withColumn("_cx", cell(F.col(x), F.col("_cy"), size, reach or steps) + F.col("_cx"))
 
 
-def in_cell(rows: DataFrame, size: float | Column, reach: int = 1) -> DataFrame:
-    """rows with the cell (_cx, _cy) of (map_x, map_y)."""
-    return rows.withColumn("_cy", band(F.col("map_y"), size)).withColumn("_cx", cell(F.col("map_x"), F.col("_cy"), size, reach))
+def in_cell(rows: DataFrame, size: float | Column, reach: int = 1, x: str = "map_x", y: str = "map_y") -> DataFrame:
+    """rows with the cell (_cx, _cy) of their point."""
+    return rows.withColumn("_cy", band(F.col(y), size)).withColumn("_cx", cell(F.col(x), F.col("_cy"), size, reach))
 
 
 def located(rows: DataFrame, x: str, y: str, on: list[str]) -> DataFrame:

@@ -127,6 +127,17 @@ def test_best_documents_compares_no_more_than_it_must(spark):
     assert asked.value <= 4  # two documents, in the filter and in the result
 
 
+def test_within_takes_a_distance_of_shared_points_once(spark, made, monkeypatch):
+    left, right = town(spark, 300, 200, size=0.002, step=0.001)
+    got = rows(matching.within(left, right, 120.0))
+    assert got == every(left, right, 120.0) and len(got) > 20_000
+    assert made.value < 200
+    monkeypatch.setattr(matching.gathered, "__defaults__", (7,))
+    assert rows(matching.within(left, right, 120.0)) == got
+    rounded = matching.within(left, right, 120.0, digits=1).select("id", "spot_content_id", "distance_m")
+    assert sorted(map(tuple, rounded.collect())) == [(i, s, round(d, 1)) for i, s, d in got]
+
+
 TABLES = "/root/testdata/sf0.1"
 
 
